@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.operators.lookup import heavy_keys, lookup
+from tabprep.operators.lookup import BROADCAST_ROWS, heavy_keys, lookup
 from tabprep.operators.ordered import BUCKET, ROWS_PER_BUCKET, OrderedBuckets, running_before
 from tabprep.operators.roles import numeric_columns
 from tabprep.operators.stats import col, one_row
 
 METHODS = ("pearson", "spearman", "kendall")
+PAIRS_PER_JOB = 12
 DIGIT_BITS = 4
 RADIX = 1 << DIGIT_BITS
 
@@ -69,53 +72,108 @@ def _pearson(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float
     return {pair: _bounded(r) for pair, r in one_row(df, exprs).items()}
 
 
+@dataclass(frozen=True)
+class _Ranking:
+    """The average ranks of one column over the rows where ``other``, if given, is present too."""
+
+    column: str
+    other: str | None
+
+    def cell(self) -> Column:
+        return F.when(col(self.other).isNotNull(), col(self.column)) if self.other else col(self.column)
+
+
 def _spearman(df: DataFrame, names: Sequence[str], rows_per_bucket: int) -> dict[tuple[str, str], float | None]:
-    nulls = _null_counts(df, names)
-    whole = [c for c in names if not nulls[c]]
-    found = _rank_correlation(df, whole, rows_per_bucket) if whole else {}
-    # Ranks of a pair with nulls are taken over the rows where both are present, so each has its own.
-    for a, b in combinations(names, 2):
-        if nulls[a] or nulls[b]:
-            both = df.select(col(a), col(b)).dropna()
-            found[a, b] = _rank_correlation(both, [a, b], rows_per_bucket)[a, b]
-    for c in names:
-        if nulls[c]:
-            found[c, c] = _rank_correlation(df.select(col(c)).dropna(), [c], rows_per_bucket)[c, c]
-    return found
+    """Pearson correlation of average ranks.
 
+    All rankings are counted in one scan. Ranks of a pair with nulls are taken over the rows where both are present;
+    columns without nulls share one ranking.
+    """
+    nulls = _null_counts(df, names)
 
-def _rank_correlation(df: DataFrame, names: Sequence[str], rows_per_bucket: int) -> dict[tuple[str, str], float | None]:
-    """Pearson correlation of average ranks over a table without nulls."""
-    cells = df.groupBy(*[col(c) for c in names]).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.count()
-    ranked = cells
-    for i, c in enumerate(names):
-        ranks, distinct, heavy = average_ranks(df, c, total, rows_per_bucket)
-        ranked = lookup(ranked, ranks.withColumnRenamed("rank", f"__r{i}"), c, "value", [f"__r{i}"], distinct, heavy)
-    middle = (total + 1) / 2
-    n = F.col("__n")
-    centred = [F.col(f"__r{i}") - F.lit(middle) for i in range(len(names))]
-    pairs = [*combinations(range(len(names)), 2), *[(i, i) for i in range(len(names))]]
-    sums = one_row(ranked, {(i, j): F.sum(n * centred[i] * centred[j]) for i, j in pairs})
-    out = {}
-    for i, j in pairs:
-        spread = math.sqrt((sums[i, i] or 0.0) * (sums[j, j] or 0.0))
-        out[names[i], names[j]] = _bounded(sums[i, j] / spread) if spread else None
-    return out
+    def ranking(c: str, other: str) -> _Ranking:
+        return _Ranking(c, other if nulls[other] and other != c else None)
+
+    pairs = [*combinations(names, 2), *[(c, c) for c in names]]
+    rankings = list(dict.fromkeys(r for a, b in pairs for r in (ranking(a, b), ranking(b, a))))
+    ids = {r: i for i, r in enumerate(rankings)}
+    cells = F.array(*[F.struct(F.lit(i).alias("id"), r.cell().alias("value")) for r, i in ids.items()])
+    counts = (
+        df.select(F.inline(cells)).where(F.col("value").isNotNull())
+        .groupBy("id", "value").agg(F.count(F.lit(1)).alias("n")).persist()
+    )
+    ranks = None
+    try:
+        facts = {
+            r["id"]: (r["values"], r["rows"]) for r in
+            counts.groupBy("id").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()
+        }
+        ranks = average_ranks(counts, {i: v for i, (v, _) in facts.items()}, rows_per_bucket).persist()
+        found: dict[tuple[str, str], float | None] = {}
+        for start in range(0, len(pairs), PAIRS_PER_JOB):
+            part = pairs[start:start + PAIRS_PER_JOB]
+            sides = [(ids[ranking(a, b)], ids[ranking(b, a)]) for a, b in part]
+            found.update(_rank_products(df, ranks, facts, rankings, part, sides))
+    finally:
+        counts.unpersist()
+        if ranks is not None:
+            ranks.unpersist()
+    return found
 
 
-def average_ranks(
-    df: DataFrame, name: str, total: int, rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> tuple[DataFrame, int, list[float]]:
-    """``(value, n, rank)`` per distinct value, the number of values, and the values that fill many rows.
+def average_ranks(counts: DataFrame, sizes: Mapping[int, int], rows_per_bucket: int) -> DataFrame:
+    """Add ``rank`` to ``(id, value, n)``, per id: ties of any size are one row when the counts are run up.
 
-    The distinct values are counted first, so ties of any size are one row when the counts are run up.
+    Ids with few values are ranked side by side, one task each; the others are cut into buckets.
     """
-    counts = df.where(col(name).isNotNull()).groupBy(col(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    buckets = OrderedBuckets.fit(counts, ["value"], rows_per_bucket)
-    before = running_before(counts, "value", F.col("n"), "before", buckets)
-    ranks = before.select("value", "n", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
-    return ranks, buckets.rows, heavy_keys(counts, "value", "n", total)
+    few = [i for i, values in sizes.items() if values <= rows_per_bucket]
+    parts = [counts.where(F.col("id").isin(few)).withColumn("before", F.expr(
+        "coalesce(sum(n) over (partition by id order by value rows between unbounded preceding and 1 preceding), 0L)"))]
+    for i in sizes.keys() - set(few):
+        mine = counts.where(F.col("id") == i)
+        buckets = OrderedBuckets.fit(mine, ["value"], rows_per_bucket, rows=sizes[i])
+        parts.append(running_before(mine, "value", "n", "before", buckets))
+    return reduce(DataFrame.unionByName, parts).withColumn("rank", F.expr("before + (n + 1) / 2.0D"))
+
+
+def _rank_products(df, ranks, facts, rankings, pairs, sides) -> dict[tuple[str, str], float | None]:
+    """Look up the ranks the given pairs need, with one join per column, and sum their products in one pass."""
+    used: dict[str, list[int]] = {}
+    for i in sorted({i for side in sides for i in side if i in facts}):
+        used.setdefault(rankings[i].column, []).append(i)
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    # A ranking over all rows of a column has every value that its other rankings have.
+    sizes = {
+        c: (max if any(rankings[i].other is None for i in mine) else sum)(facts[i][0] for i in mine)
+        for c, mine in used.items()
+    }
+    ranked = df.select(*[col(c) for c in columns]).withColumn("__n", F.lit(1))
+    if any(size > BROADCAST_ROWS for size in sizes.values()):
+        # Equal rows become one before they are spread by their hash.
+        ranked = ranked.groupBy(*[col(c) for c in columns]).agg(F.count(F.lit(1)).alias("__n"))
+    for c, mine in used.items():
+        named = [f"__r{i}" for i in mine]
+        entries = ranks.where(F.col("id").isin(mine))
+        heavy: list[float] = []
+        if sizes[c] > BROADCAST_ROWS:
+            heavy = sorted({v for i in mine for v in heavy_keys(
+                entries.where(F.col("id") == i), "value", "n", facts[i][1])})
+        wide = entries.groupBy("value").agg(*[F.expr(f"max(rank) filter (where id = {i}) as __r{i}") for i in mine])
+        ranked = lookup(ranked, wide, c, "value", named, sizes[c], heavy)
+    exprs: dict[tuple, Column] = {}
+    for (a, b), (i, j) in zip(pairs, sides):
+        if i in facts and j in facts:
+            middle = (facts[i][1] + 1) / 2
+            x, y = f"(__r{i} - {middle}D)", f"(__r{j} - {middle}D)"
+            for part, product in (("xy", f"{x} * {y}"), ("xx", f"{x} * {x}"), ("yy", f"{y} * {y}")):
+                exprs[a, b, part] = F.expr(
+                    f"sum(__n * {product}) filter (where `{a}` is not null and `{b}` is not null)")
+    sums = one_row(ranked, exprs)
+    out: dict[tuple[str, str], float | None] = {}
+    for a, b in pairs:
+        spread = math.sqrt((sums.get((a, b, "xx")) or 0.0) * (sums.get((a, b, "yy")) or 0.0))
+        out[a, b] = _bounded(sums[a, b, "xy"] / spread) if spread else None
+    return out
 
 
 def _kendall(df: DataFrame, names: Sequence[str], rows_per_bucket: int) -> dict[tuple[str, str], float | None]:
@@ -136,58 +194,58 @@ def kendall_tau_b(pairs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> f
     where the counts per digit of all rows with a smaller x are running sums. Groups are cut into buckets of x, and
     a bucket meets earlier ones only through its digit totals.
     """
-    cells = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
-
-    def tied(*by: str) -> tuple[float, int, int]:
+    cells = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).persist()
+    try:
         n = F.col("n").cast("double")
-        row = cells.groupBy(*by).agg(F.sum("n").alias("n")).agg(
-            F.sum(n * (n - 1) / 2), F.sum("n"), F.count(F.lit(1))).first()
-        return row[0] or 0.0, row[1] or 0, row[2]
-
-    both, rows, _ = tied("x", "y")
-    in_x, _, _ = tied("x")
-    in_y, _, y_values = tied("y")
-    pairs_all = rows * (rows - 1) / 2
-    spread = math.sqrt((pairs_all - in_x) * (pairs_all - in_y))
-    if not spread:
-        return None
-    score = pairs_all - in_x - in_y + both - 2 * _inversions(cells, rows, y_values, rows_per_bucket)
-    return _bounded(score / spread)
-
-
-def _inversions(cells: DataFrame, rows: int, y_values: int, rows_per_bucket: int) -> float:
+        sides = [
+            cells.groupBy(*by).agg(F.sum("n").alias("n")).agg(
+                F.lit(name).alias("side"), F.sum(n * (n - 1) / 2).alias("tied"), F.sum("n").alias("rows"),
+                F.count(F.lit(1)).alias("values"))
+            for name, by in (("both", ["x", "y"]), ("x", ["x"]), ("y", ["y"]))
+        ]
+        facts = {r["side"]: r for r in reduce(DataFrame.unionByName, sides).collect()}
+        rows = facts["both"]["rows"] or 0
+        pairs_all = rows * (rows - 1) / 2
+        in_x, in_y, both = (facts[s]["tied"] or 0.0 for s in ("x", "y", "both"))
+        spread = math.sqrt((pairs_all - in_x) * (pairs_all - in_y))
+        if not spread:
+            return None
+        inversions = _inversions(cells, rows, facts["both"]["values"], facts["y"]["values"], rows_per_bucket)
+    finally:
+        cells.unpersist()
+    return _bounded((pairs_all - in_x - in_y + both - 2 * inversions) / spread)
+
+
+def _inversions(cells: DataFrame, rows: int, cell_rows: int, y_values: int, rows_per_bucket: int) -> float:
     y_counts = cells.groupBy(col("y").alias("value")).agg(F.sum("n").alias("n"))
-    y_buckets = OrderedBuckets.fit(y_counts, ["value"], rows_per_bucket)
-    dense = running_before(y_counts, "value", F.lit(1), "place", y_buckets)
-    heavy = heavy_keys(y_counts, "value", "n", rows)
+    y_buckets = OrderedBuckets.fit(y_counts, ["value"], rows_per_bucket, rows=y_values)
+    dense = running_before(y_counts, "value", "1L", "place", y_buckets)
+    heavy = heavy_keys(y_counts, "value", "n", rows) if y_values > BROADCAST_ROWS else ()
     placed = lookup(cells, dense, "y", "value", ["place"], y_values, heavy)
 
     levels = max(1, math.ceil(max(y_values - 1, 1).bit_length() / DIGIT_BITS))
-    steps = F.array(*[
-        F.struct(
-            F.lit(level).alias("level"),
-            F.shiftright(F.col("place"), DIGIT_BITS * (level + 1)).alias("prefix"),
-            F.shiftright(F.col("place"), DIGIT_BITS * level).bitwiseAND(F.lit(RADIX - 1)).alias("digit"),
-        ) for level in range(levels)
-    ])
+    shifts = [DIGIT_BITS * level for level in range(levels)]
+    steps = ", ".join(
+        f"struct({level} as level, shiftright(place, {shift + DIGIT_BITS}) as prefix, "
+        f"cast(shiftright(place, {shift}) & {RADIX - 1} as int) as digit)" for level, shift in enumerate(shifts))
+    digits = [f"d{d}" for d in range(RADIX)]
     # Ties in x are folded per digit first, so a heavy x is one row in each group it touches.
-    folded = placed.select("x", "n", F.inline(steps)).groupBy("level", "prefix", "x").agg(*[
-        F.sum(F.when(F.col("digit") == d, F.col("n")).otherwise(0)).alias(f"d{d}") for d in range(RADIX)
-    ])
-    tagged = OrderedBuckets.fit(cells, ["x"], rows_per_bucket).tag(folded)
-
-    def crossings(table: DataFrame, group: Sequence[str], order: str) -> float:
-        past = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        seen = table.select(*[F.col(f"d{d}").cast("double").alias(f"d{d}") for d in range(RADIX)], *[
-            F.coalesce(F.sum(f"d{d}").over(past), F.lit(0)).cast("double").alias(f"s{d}") for d in range(1, RADIX)
-        ])
-        above: Column = F.lit(0.0)
-        total: Column = F.lit(0.0)
-        for d in range(RADIX - 2, -1, -1):
-            above = above + F.col(f"s{d + 1}")
-            total = total + F.col(f"d{d}") * above
-        return seen.agg(F.sum(total)).first()[0] or 0.0
-
-    within = crossings(tagged, ["level", "prefix", BUCKET], "x")
-    totals = tagged.groupBy("level", "prefix", BUCKET).agg(*[F.sum(f"d{d}").alias(f"d{d}") for d in range(RADIX)])
-    return within + crossings(totals, ["level", "prefix"], BUCKET)
+    folded = placed.selectExpr("x", "n", f"inline(array({steps}))").groupBy("level", "prefix", "x").agg(*[
+        F.expr(f"coalesce(sum(n) filter (where digit = {d}), 0L) as {name}") for d, name in enumerate(digits)])
+    tagged = OrderedBuckets.fit(cells, ["x"], rows_per_bucket, rows=cell_rows).tag(folded).persist()
+
+    def crossings(table: DataFrame, group: str, order: str) -> float:
+        """Pairs of a row and an earlier one with a larger digit, summed over all groups."""
+        past = f"over (partition by {group} order by {order} rows between unbounded preceding and 1 preceding)"
+        larger = [" + ".join(digits[d + 1:]) for d in range(RADIX - 1)]
+        seen = table.selectExpr(*digits, *[
+            f"coalesce(sum({above}) {past}, 0L) as s{d}" for d, above in enumerate(larger)])
+        crossed = " + ".join(f"cast(d{d} as double) * s{d}" for d in range(RADIX - 1))
+        return seen.selectExpr(f"sum({crossed}) as total").first()[0] or 0.0
+
+    try:
+        within = crossings(tagged, f"level, prefix, {BUCKET}", "x")
+        totals = tagged.groupBy("level", "prefix", BUCKET).agg(*[F.expr(f"sum({d}) as {d}") for d in digits])
+        return within + crossings(totals, "level, prefix", BUCKET)
+    finally:
+        tagged.unpersist()

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,9 @@ from tabprep.functions.hashing import row_hash
 from tabprep.operators.quantiles import exact_quantiles
 from tabprep.operators.stats import col, one_row
 
+# The tree functions travel with the tasks, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EULER = 0.5772156649015329
 NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, depth double"
 

@@ -32,8 +32,7 @@ def lookup(
     """
     right = table.select(col(table_key).alias("__rk"), *[col(t) for t in take])
     if table_rows <= BROADCAST_ROWS:
-        joined = df.join(F.broadcast(right), col(key) == F.col("__rk"), "left")
-        return joined.select(*[col(c) for c in df.columns], *take)
+        return df.join(F.broadcast(right), col(key) == F.col("__rk"), "left").drop("__rk")
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     is_heavy = F.col("__rk").isin(list(heavy)) if heavy else F.lit(False)
     right = right.withColumn("__rs", F.explode(F.when(is_heavy, salts).otherwise(F.array(F.lit(0)))))
@@ -41,4 +40,4 @@ def lookup(
     on_left = col(key).isin(list(heavy)) if heavy else F.lit(False)
     left = df.withColumn("__ls", F.when(on_left | col(key).isNull(), spread).otherwise(F.lit(0)))
     joined = left.join(right, (col(key) == F.col("__rk")) & (F.col("__ls") == F.col("__rs")), "left")
-    return joined.select(*[col(c) for c in df.columns], *take)
+    return joined.drop("__rk", "__rs", "__ls")

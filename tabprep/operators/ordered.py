@@ -51,14 +51,14 @@ class OrderedBuckets:
     @classmethod
     def fit(
         cls, df: DataFrame, keys: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET,
-        max_buckets: int = MAX_BUCKETS,
+        max_buckets: int = MAX_BUCKETS, rows: int | None = None,
     ) -> OrderedBuckets:
         numbers = [order_number(df, k) for k in keys[:2]]
         if numbers[0] is None:
             raise ValueError(f"the first order key must be a number, a date or a timestamp: {keys[0]}")
         numbers = [n for n in numbers if n is not None]
         keyed = df.select(*[n.alias(f"k{i}") for i, n in enumerate(numbers)])
-        rows = keyed.count()
+        rows = keyed.count() if rows is None else rows
         wanted = min(max_buckets, math.ceil(rows / rows_per_bucket))
         if wanted <= 1:
             return cls(tuple(keys), ((),), (), rows)
@@ -146,15 +146,17 @@ def fill(
     return done.select(*[col(c) for c in df.columns])
 
 
-def running_before(df: DataFrame, key: str, weight: Column, name: str, buckets: OrderedBuckets) -> DataFrame:
-    """Add the total weight of all rows with a smaller key. The key must be unique."""
-    tagged = buckets.tag(df.withColumn("__w", weight))
-    before = Window.partitionBy(BUCKET).orderBy(col(key)).rowsBetween(Window.unboundedPreceding, -1)
-    local = tagged.withColumn(name, F.coalesce(F.sum("__w").over(before), F.lit(0)))
+def running_before(df: DataFrame, key: str, weight: str, name: str, buckets: OrderedBuckets) -> DataFrame:
+    """Add the total weight (a SQL expression) of all rows with a smaller key. The key must be unique."""
+    tagged = buckets.tag(df.withColumn("__w", F.expr(weight)))
+    local = tagged.withColumn(name, F.expr(
+        f"coalesce(sum(__w) over (partition by {BUCKET} order by `{key}` rows between unbounded preceding "
+        "and 1 preceding), 0L)"))
     if not buckets.single:
-        past = Window.partitionBy(F.lit(0)).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = tagged.groupBy(BUCKET).agg(F.sum("__w").alias("__total")).select(
-            F.col(BUCKET).alias("__b"), F.coalesce(F.sum("__total").over(past), F.lit(0)).alias("__offset"))
-        local = local.join(F.broadcast(offsets), F.col(BUCKET) == F.col("__b")).withColumn(   # one row per bucket
-            name, F.col(name) + F.col("__offset"))
-    return local.select(*[col(c) for c in df.columns], name)
+        offsets = tagged.groupBy(BUCKET).agg(F.sum("__w").alias("__total")).selectExpr(
+            f"{BUCKET} as __b",
+            f"coalesce(sum(__total) over (partition by 0 order by {BUCKET} rows between unbounded preceding "
+            "and 1 preceding), 0L) as __offset")
+        local = local.join(F.broadcast(offsets), F.expr(f"{BUCKET} = __b")).withColumn(       # one row per bucket
+            name, F.expr(f"`{name}` + __offset"))
+    return local.drop("__w", BUCKET, "__b", "__offset")

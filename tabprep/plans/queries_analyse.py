@@ -212,7 +212,7 @@ def _spearman_sql(source, cols):
 
 @query("corr_spearman", _spearman_sql(MEASURES_SQL, MEASURES))
 def corr_spearman(spark, sf_dir):
-    return rounded(correlation(_measures(spark, sf_dir), "spearman", rows_per_bucket=5_000), 8)
+    return rounded(correlation(_measures(spark, sf_dir), "spearman"), 8)
 
 
 PART_COLUMNS = ("p_size", "price", "p_retailprice")
@@ -239,7 +239,7 @@ def _kendall_sql(source, cols):
 
 @query("corr_kendall", _kendall_sql(PART_SQL, PART_COLUMNS))
 def corr_kendall(spark, sf_dir):
-    return rounded(correlation(view(spark, sf_dir, "part", PART_EXPRS), "kendall", rows_per_bucket=500), 10)
+    return rounded(correlation(view(spark, sf_dir, "part", PART_EXPRS), "kendall"), 10)
 
 
 # ---- distributions ----
