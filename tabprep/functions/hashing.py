@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -11,10 +12,20 @@ HASH_DIGITS = 13                 # 52 bits: exact in a double
 HASH_SPACE = 16 ** HASH_DIGITS
 
 
-def row_hash(key: Sequence[str], seed: int = 42) -> Column:
-    """A whole number in ``[0, HASH_SPACE)`` from the md5 of ``seed:key1:key2...``."""
+def hash_digits(key: Sequence[str], seed: int = 42) -> Column:
+    """The leading hex digits of the md5 of ``seed:key1:key2...``."""
     if not key:
         raise ValueError("name at least one key column")
     parts = [F.col(f"`{k}`").cast("string") for k in key]
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
-    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("bigint")
+    return F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *parts)), 1, HASH_DIGITS)
+
+
+def row_hash(key: Sequence[str], seed: int = 42) -> Column:
+    """The digits as a whole number in ``[0, HASH_SPACE)``."""
+    return F.conv(hash_digits(key, seed), 16, 10).cast("bigint")
+
+
+def hash_below(key: Sequence[str], share: float, seed: int = 42) -> Column:
+    """Whether the hash falls into the lowest ``share`` of its range. Hex digits of one length sort like numbers."""
+    bound = math.floor(share * HASH_SPACE)
+    return hash_digits(key, seed) < F.lit(f"{bound:0{HASH_DIGITS}x}")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from tabprep.operators.stats import col, one_row
 
 METHODS = ("pearson", "spearman", "kendall")
 PAIRS_PER_JOB = 12
+KENDALL_THREADS = 4
 DIGIT_BITS = 4
 RADIX = 1 << DIGIT_BITS
 
@@ -177,10 +180,14 @@ def _rank_products(df, ranks, facts, rankings, pairs, sides) -> dict[tuple[str,
 
 
 def _kendall(df: DataFrame, names: Sequence[str], rows_per_bucket: int) -> dict[tuple[str, str], float | None]:
-    found: dict[tuple[str, str], float | None] = {}
-    for a, b in combinations(names, 2):
-        both = df.select(col(a).alias("x"), col(b).alias("y")).dropna()
-        found[a, b] = kendall_tau_b(both, rows_per_bucket)
+    def one(pair: tuple[str, str]) -> float | None:
+        both = df.select(*[col(c).alias(n) for c, n in zip(pair, ("x", "y"))]).dropna()
+        return kendall_tau_b(both, rows_per_bucket)
+
+    pairs = list(combinations(names, 2))
+    with ThreadPoolExecutor(KENDALL_THREADS) as pool:      # each pair is a chain of small jobs
+        found: dict[tuple[str, str], float | None] = dict(
+            zip(pairs, pool.map(inheritable_thread_target(df.sparkSession)(one), pairs)))
     counts = one_row(df, {c: F.count(col(c)) for c in names})
     found.update({(c, c): 1.0 if counts[c] else None for c in names})
     return found

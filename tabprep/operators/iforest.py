@@ -9,12 +9,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.functions.hashing import row_hash
 from tabprep.operators.quantiles import exact_quantiles
 from tabprep.operators.stats import col, one_row
 
@@ -22,7 +21,7 @@ from tabprep.operators.stats import col, one_row
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EULER = 0.5772156649015329
-NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, depth double"
+NODE_SCHEMA = "tree int, node int, feature int, cut double, depth double"
 
 
 def expected_depth(n: float) -> float:
@@ -35,64 +34,65 @@ def expected_depth(n: float) -> float:
 
 
 def grow_tree(data: np.ndarray, tree: int, limit: int, seed: int) -> pd.DataFrame:
-    """Split at random until rows are alone, alike or at the depth limit. Leaves carry the depth of their rows."""
+    """Split at random until rows are alone, alike or at the depth limit.
+
+    The tree is a full binary heap of depth ``limit``: node i has the children 2i+1 and 2i+2. Below an early leaf
+    every row is sent left, so all rows reach the bottom row, whose nodes carry the expected depth.
+    """
     draw = np.random.default_rng([seed, tree])
-    nodes: list[list[float]] = []
-    todo = [(data, 0, -1, "")]
+    size = 2 ** (limit + 1) - 1
+    feature, cut, depth = np.zeros(size, dtype=int), np.full(size, np.inf), np.zeros(size)
+    todo = [(data, 0, 0)]
     while todo:
-        part, depth, parent, side = todo.pop()
-        here = len(nodes)
-        if parent >= 0:
-            nodes[parent][3 if side == "left" else 4] = here
+        part, node, level = todo.pop()
         low, high = part.min(axis=0), part.max(axis=0)
         usable = np.flatnonzero(high > low)
-        if depth >= limit or len(part) <= 1 or len(usable) == 0:
-            nodes.append([here, -1, 0.0, -1, -1, depth + expected_depth(len(part))])
+        if level == limit or len(part) <= 1 or len(usable) == 0:
+            bottom = (node + 1) * 2 ** (limit - level) - 1
+            depth[bottom] = level + expected_depth(len(part))
             continue
-        feature = int(draw.choice(usable))
-        cut = float(draw.uniform(low[feature], high[feature]))
-        nodes.append([here, feature, cut, -1, -1, 0.0])
-        goes_left = part[:, feature] <= cut
-        todo.append((part[~goes_left], depth + 1, here, "right"))
-        todo.append((part[goes_left], depth + 1, here, "left"))
-    out = pd.DataFrame(nodes, columns=["node", "feature", "cut", "left", "right", "depth"])
-    out.insert(0, "tree", tree)
-    return out
+        feature[node] = draw.choice(usable)
+        cut[node] = draw.uniform(low[feature[node]], high[feature[node]])
+        goes_left = part[:, feature[node]] <= cut[node]
+        todo.append((part[~goes_left], 2 * node + 2, level + 1))
+        todo.append((part[goes_left], 2 * node + 1, level + 1))
+    return pd.DataFrame({"tree": tree, "node": np.arange(size), "feature": feature, "cut": cut, "depth": depth})
 
 
 @dataclass(frozen=True)
 class IsolationForestModel:
     columns: tuple[str, ...]
-    nodes: pd.DataFrame           # at most 2 * sample_rows rows per tree
+    nodes: pd.DataFrame           # fewer than 4 * sample_rows rows per tree
     sample_rows: int
     contamination: float
     cut: float | None = None
 
     def score(self) -> Column:
         """The anomaly score of a row in (0, 1], as an expression over the fitted columns."""
-        trees = [
-            (t["feature"].to_numpy(), t["cut"].to_numpy(), t["left"].to_numpy(), t["right"].to_numpy(),
-             t["depth"].to_numpy())
-            for _, t in self.nodes.sort_values(["tree", "node"]).groupby("tree")
+        ordered = self.nodes.sort_values(["tree", "node"])
+        trees = ordered["tree"].nunique()
+        size = len(ordered) // trees
+        levels = (size + 1).bit_length() - 2
+        feature, cut, depth = [
+            ordered[c].to_numpy(dtype=kind).reshape(trees, size)
+            for c, kind in (("feature", np.int64), ("cut", float), ("depth", float))
         ]
         scale = expected_depth(self.sample_rows) or 1.0
 
         @F.pandas_udf(T.DoubleType())
         def forest_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for batch in batches:
-                data = np.column_stack([s.to_numpy(dtype=float) for s in batch])
-                rows = np.arange(len(data))
-                total = np.zeros(len(data))
-                for feature, cut, left, right, depth in trees:
-                    at = np.zeros(len(data), dtype=np.int64)
-                    moving = rows
-                    while len(moving):
-                        moving = moving[feature[at[moving]] >= 0]
-                        node = at[moving]
-                        goes_left = data[moving, feature[node]] <= cut[node]
-                        at[moving] = np.where(goes_left, left[node], right[node])
-                    total += depth[at]
-                yield pd.Series(np.exp2(-total / len(trees) / scale))
+                values = np.concatenate([s.to_numpy(dtype=float) for s in batch])      # column after column
+                rows = np.arange(len(batch[0]))
+                total = np.zeros(len(rows))
+                for tree in range(trees):
+                    column_start = feature[tree] * len(rows)
+                    at = np.zeros(len(rows), dtype=np.int64)
+                    for _ in range(levels):
+                        above = values.take(column_start.take(at) + rows) > cut[tree].take(at)
+                        at = 2 * at + 1 + above
+                    total += depth[tree].take(at)
+                yield pd.Series(np.exp2(-total / trees / scale))
 
         return forest_score(*[col(c).cast("double") for c in self.columns])
 
@@ -135,15 +135,18 @@ class IsolationForest:
 
         nodes = self._samples(df, cols, names, rows, size).groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
         model = IsolationForestModel(tuple(cols), nodes, size, self.contamination)
-        scored = df.select(model.score().alias("score"))
-        cut = exact_quantiles(scored, ["score"], [1.0 - self.contamination], {"score": rows})
+        scored = df.select(model.score().alias("score")).persist(StorageLevel.MEMORY_AND_DISK)   # one double per row
+        try:
+            cut = exact_quantiles(scored, ["score"], [1.0 - self.contamination], {"score": rows})
+        finally:
+            scored.unpersist()
         return IsolationForestModel(
             model.columns, nodes, size, self.contamination, cut["score"][1.0 - self.contamination])
 
     def _samples(self, df: DataFrame, cols: Sequence[str], names: Sequence[str], rows: int, size: int) -> DataFrame:
         """``size`` rows per tree, chosen by seeded hash: the same ones however the table is partitioned."""
         values = [col(c).cast("double").alias(n) for c, n in zip(cols, names)]
-        hashed = df.select(row_hash(self.row_key or cols, self.seed).alias("pick"), *values)
+        hashed = df.select(F.xxhash64(F.lit(self.seed), *[col(k) for k in self.row_key or cols]).alias("pick"), *values)
         lowest = hashed.orderBy("pick", *names).limit(self.trees * size)       # top-k per task, then merged
         if rows >= self.trees * size:
             place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("pick", *names))

@@ -24,6 +24,8 @@ MAX_INSIDE = 200_000         # rows per bracket, or per small column, that may b
 SAMPLE_ROWS = 1_000_000      # rows that propose brackets; a tenth of it is enough below LARGE rows
 LARGE = 5_000_000
 ACCURACY = 10_000            # percentile_approx: rank error of at most rows / ACCURACY
+THIN = 64                    # one row in so many is sketched while the rows are counted
+LADDER = (0.0005, 0.001, 0.0025, 0.005, 0.01, 0.02, 0.05)     # distances of bracket edges from the percentage
 INF = float("inf")
 
 
@@ -66,6 +68,14 @@ class _Rank:
         return F.when((c > self.low) & (c < self.high), c)
 
 
+@dataclass(frozen=True)
+class _Sketch:
+    """Approximate values at the ladder of percentages around each wanted one."""
+
+    probs: tuple[float, ...]
+    edges: Mapping[str, Mapping[float, float]]
+
+
 def interpolate(low: float, high: float, weight: float) -> float:
     """Linear interpolation measured from the nearer end."""
     gap = high - low
@@ -88,8 +98,9 @@ def exact_quantiles(
     if not cols or not probs:
         return {c: {} for c in cols}
     values = df.select(*[col(c).cast("double").alias(c) for c in cols])
+    first: _Sketch | None = None
     if counts is None:
-        counts = one_row(values, {c: F.count(col(c)) for c in cols})
+        counts, first = _count_and_sketch(values, cols, probs)
     out: dict[str, dict[float, float | None]] = {c: dict.fromkeys(probs) for c in cols}
     small = [c for c in cols if 0 < counts[c] <= max_inside]
     if small:
@@ -102,7 +113,7 @@ def exact_quantiles(
         found = order_statistics(values, {
             c: {k for (cc, _), at in places.items() if cc == c for k in (math.floor(at), math.ceil(at))}
             for c, _ in places
-        }, counts, max_inside)
+        }, counts, max_inside, first)
         for (c, p), at in places.items():
             low = math.floor(at)
             out[c][p] = interpolate(found[c][low], found[c][math.ceil(at)], at - low)
@@ -111,10 +122,14 @@ def exact_quantiles(
 
 def order_statistics(
     values: DataFrame, ranks: Mapping[str, set[int]], counts: Mapping[str, int], max_inside: int = MAX_INSIDE,
+    first: _Sketch | None = None,
 ) -> dict[str, dict[int, float]]:
     """The values at the given 0-based ranks of each column."""
     wanted = [_Rank(c, k, counts[c]) for c, ks in ranks.items() for k in sorted(ks)]
-    _propose(values, wanted)
+    if first is None:
+        _propose(values, wanted)
+    else:
+        _propose_from(first, wanted)
     open_ranks = wanted
     while open_ranks:
         _count(values, open_ranks)
@@ -155,6 +170,38 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method
     raise ValueError(f"unknown quantile method: {method!r}")
 
 
+def _count_and_sketch(
+    values: DataFrame, cols: Sequence[str], probs: Sequence[float],
+) -> tuple[dict[str, int], _Sketch]:
+    """Row counts and, in the same scan, a sketch of a thin sample around the wanted percentages.
+
+    How wide the brackets must be depends on the counts, so edges at several distances are asked for.
+    """
+    asked = sorted({e for p in probs for d in LADDER for e in (max(p - d, 0.0), min(p + d, 1.0))})
+    drawn = values.withColumn("__draw", F.rand(3))
+    exprs: dict[tuple[str, str], Column] = {}
+    for c in cols:
+        exprs[c, "rows"] = F.count(col(c))
+        exprs[c, "sketch"] = F.percentile_approx(F.when(F.col("__draw") < 1 / THIN, col(c)), asked, ACCURACY)
+    got = one_row(drawn, exprs)
+    return (
+        {c: got[c, "rows"] for c in cols},
+        _Sketch(tuple(probs), {c: dict(zip(asked, got[c, "sketch"] or [])) for c in cols}),
+    )
+
+
+def _propose_from(sketch: _Sketch, ranks: Sequence[_Rank]) -> None:
+    """Set brackets from the sketch taken while counting."""
+    for r in ranks:
+        at = sketch.edges[r.column]
+        p = min(sketch.probs, key=lambda q: abs(q - r.rank / r.rows))
+        need = 2.5 / math.sqrt(r.rows / THIN) + 1.5 / ACCURACY + 1 / r.rows
+        reach = next((d for d in LADDER if d >= need), 1.0)
+        left, right = max(p - reach, 0.0), min(p + reach, 1.0)
+        r.low = -INF if left == 0.0 else at.get(left, -INF)
+        r.high = INF if right == 1.0 else at.get(right, INF)
+
+
 def _sample_rows(rows: int) -> int:
     return SAMPLE_ROWS if rows > LARGE else SAMPLE_ROWS // 10
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.functions.hashing import HASH_SPACE, row_hash
+from tabprep.functions.hashing import hash_below, row_hash
 from tabprep.operators.quantiles import order_statistics
 from tabprep.operators.stats import col
 
@@ -20,7 +20,7 @@ def split_hash(
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test parts by a hash of the key: two filters, no shuffle. The test share is met on average."""
     _check_share(test_size)
-    in_test = row_hash(key, seed) < math.floor(test_size * HASH_SPACE)
+    in_test = hash_below(key, test_size, seed)
     return df.where(~in_test), df.where(in_test)
 
 

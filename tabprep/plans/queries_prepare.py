@@ -21,7 +21,7 @@ from tabprep.operators.scale import Scaler
 from tabprep.operators.split import split_hash
 from tabprep.plans.registry import (
     DIRTY_CUSTOMER_SPARK, DIRTY_CUSTOMER_SQL, DIRTY_DATES_SPARK, DIRTY_DATES_SQL, DIRTY_LINEITEM, DIRTY_LINEITEM_SQL,
-    DIRTY_TEXT_SPARK, DIRTY_TEXT_SQL, GAPPY_EVENTS, GAPPY_EVENTS_SQL, NUMBER_SQL, hash_sql, query, rounded, table,
+    DIRTY_TEXT_SPARK, DIRTY_TEXT_SQL, GAPPY_EVENTS, GAPPY_EVENTS_SQL, NUMBER_SQL, hash_sql, query, rounded, spread, table,
     view,
 )
 from tabprep.session import shared_dir
@@ -393,8 +393,8 @@ def report(spark, sf_dir):
 
 @query("outlier_isolation_forest")
 def isolation(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    lines = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     return IsolationForest(row_key=key).fit(lines, cols).keep_inliers(lines)

@@ -29,6 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a file scan with fewer splits than cores one partition per core, ahead of work that is slow per row.
+
+    Tables of any size have more splits than that and are left as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def rounded(df: DataFrame, digits: Mapping[str, int] | int, cols: list[str] | None = None) -> DataFrame:
     """Round doubles where the last digits depend on the order of a sum."""
     if isinstance(digits, int):

@@ -56,8 +56,8 @@ class RegressionFlow:
     scaling: str = "standard"
     keep_key: bool = False
 
-    def fit(self, df: DataFrame) -> tuple[TrainedFlow, DataFrame, DataFrame]:
-        """The fitted flow, the prepared training part and the prepared test part."""
+    def fit(self, df: DataFrame) -> tuple[TrainedFlow, int, DataFrame]:
+        """The fitted flow, the number of training rows left after the outlier step, and the prepared test part."""
         train, test = split_hash(df, self.key, self.test_size, self.seed)
         train, test = self._clean(train), self._clean(test)
         ignore = () if self.impute_label else (self.label,)
@@ -71,11 +71,12 @@ class RegressionFlow:
                     ready, self.outlier_method, self.outlier_strategy, (*self.outlier_exclude, self.label))
             scaler = Scaler(self.scaling, (self.label,)).fit(ready)
             scaled = scaler.transform(ready)
+            rows = scaled.count()
             model = fit_linear(scaled, self.label, feature_columns(scaled, self.label))
         finally:
             train.unpersist()
         flow = TrainedFlow(self.label, imputer, scaler, model)
-        return flow, scaled, flow.prepare(test)
+        return flow, rows, flow.prepare(test)
 
     def _clean(self, df: DataFrame) -> DataFrame:
         hidden = () if self.keep_key else self.key
@@ -84,8 +85,9 @@ class RegressionFlow:
 
     def run(self, df: DataFrame) -> DataFrame:
         """One row ``(n_train, n_test, mse, r2, mae)``; train rows are those left after the outlier step."""
-        flow, train, test = self.fit(df)
+        flow, rows, test = self.fit(df)
         scored = flow.model.predict(test)
         parts = metric_exprs(col(self.label), F.col("prediction"))
-        metrics = scored.agg(F.count(F.lit(1)).alias("n_test"), *[parts[m].alias(m) for m in ("mse", "r2", "mae")])
-        return metrics.select(F.lit(train.count()).cast("bigint").alias("n_train"), "n_test", "mse", "r2", "mae")
+        return scored.agg(
+            F.lit(rows).cast("bigint").alias("n_train"), F.count(F.lit(1)).alias("n_test"),
+            *[parts[m].alias(m) for m in ("mse", "r2", "mae")])
