@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame
 
 
 def clean_name(raw: str) -> str:
-    """Snake-case one header: blanks and symbols become single underscores, accents decompose."""
+    """Snake-case one header: blanks and symbols become single underscores.
+
+    Accented letters decompose into a letter and a mark, and the mark counts as a symbol: ``crème`` -> ``cre_me``.
+    """
     words = re.split(r"\s+", raw.strip())
     decomposed = unicodedata.normalize("NFKD", "_".join(words).lower())
     return re.sub(r"(?:[^\w]|_)+", "_", decomposed).strip("_") or "col"

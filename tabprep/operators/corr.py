@@ -62,17 +62,44 @@ def _bounded(r: float | None) -> float | None:
 
 
 def _pearson(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float | None]:
-    nulls = _null_counts(df, names)
-
-    def present(c: str, other: str) -> Column:
-        return F.when(col(other).isNotNull(), col(c)) if nulls[other] else col(c)
+    """Two scans: nulls and means, then the moments of all pairs.
 
-    exprs: dict[tuple[str, str], Column] = {}
-    for a, b in [*combinations(names, 2), *[(c, c) for c in names]]:
-        x, y = present(a, b), present(b, a)
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        exprs[a, b] = F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
-    return {pair: _bounded(r) for pair, r in one_row(df, exprs).items()}
+    Columns without nulls share one deviation per column. A pair with nulls has its own rows, so its moments are
+    sums of products around the column means, which are far cheaper than one running variance per pair and side.
+    """
+    first = one_row(df, {(c, m): e for c in names for m, e in (
+        ("nulls", F.count_if(col(c).isNull())), ("mean", F.avg(col(c))))})
+    whole = {c for c in names if not first[c, "nulls"]}
+    found: dict[tuple[str, str], float | None] = {}
+    exprs: dict[tuple, Column] = {(c, "std"): F.stddev_pop(col(c)) for c in names}
+    partial = []
+    for a, b in combinations(names, 2):
+        if a in whole and b in whole:
+            exprs[a, b] = F.covar_pop(col(a), col(b))
+        elif first[a, "mean"] is None or first[b, "mean"] is None:
+            found[a, b] = None
+        else:
+            partial.append((a, b))
+            x, y = f"(`{a}` - {first[a, 'mean']!r}D)", f"(`{b}` - {first[b, 'mean']!r}D)"
+            both = f"filter (where `{a}` is not null and `{b}` is not null)"
+            for part in ("x", "y", "xx", "yy", "xy"):
+                product = " * ".join(x if side == "x" else y for side in part)
+                exprs[a, b, part] = F.expr(f"sum({product}) {both}")
+            exprs[a, b, "n"] = F.expr(f"count(*) {both}")
+            for side, c in (("x", a), ("y", b)):
+                exprs[a, b, "constant", side] = F.expr(f"min(`{c}`) {both} = max(`{c}`) {both}")
+    got = one_row(df, exprs)
+    for a, b in combinations(names, 2):
+        if (a, b) in got:
+            spread = (got[a, "std"] or 0.0) * (got[b, "std"] or 0.0)
+            found[a, b] = _bounded(got[a, b] / spread) if spread else None
+    for a, b in partial:
+        n, x, y, xx, yy, xy = (got[a, b, part] for part in ("n", "x", "y", "xx", "yy", "xy"))
+        flat = not n or got[a, b, "constant", "x"] or got[a, b, "constant", "y"]
+        spread = 0.0 if flat else math.sqrt((xx - x * x / n) * (yy - y * y / n))
+        found[a, b] = _bounded((xy - x * y / n) / spread) if spread else None
+    found.update({(c, c): 1.0 if got[c, "std"] else None for c in names})
+    return found
 
 
 @dataclass(frozen=True)

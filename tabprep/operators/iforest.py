@@ -82,8 +82,9 @@ class IsolationForestModel:
         @F.pandas_udf(T.DoubleType())
         def forest_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for batch in batches:
-                values = np.concatenate([s.to_numpy(dtype=float) for s in batch])      # column after column
-                rows = np.arange(len(batch[0]))
+                parts = batch if isinstance(batch, tuple) else (batch,)      # one column comes as a bare series
+                values = np.concatenate([s.to_numpy(dtype=float) for s in parts])      # column after column
+                rows = np.arange(len(parts[0]))
                 total = np.zeros(len(rows))
                 for tree in range(trees):
                     column_start = feature[tree] * len(rows)

@@ -217,7 +217,8 @@ def _propose(values: DataFrame, ranks: Sequence[_Rank]) -> None:
     fraction = min(1.0, _sample_rows(rows) / min(r.rows for r in ranks))
     edges = {}
     for r in ranks:
-        share, margin = r.rank / r.rows, _margin(r.rows, r.stretch)
+        # Rounded, so that neighbouring ranks share one bracket.
+        share, margin = round(r.rank / r.rows, 4), _margin(r.rows, r.stretch) + 1 / ACCURACY
         edges[r.column, r.rank] = (max(share - margin, 0.0), min(share + margin, 1.0))
     asked = {c: sorted({e for (cc, _), pair in edges.items() if cc == c for e in pair}) for c, _ in edges}
     sampled = values if fraction == 1.0 else values.sample(fraction, seed=7)

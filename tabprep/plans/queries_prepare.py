@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tabprep.functions.names import clean_names, standardize_names, unique_names
+from tabprep.functions.names import standardize_names, unique_names
 from tabprep.operators.encode import LabelEncoder, OneHotEncoder
 from tabprep.operators.impute import Imputer
 from tabprep.operators.iforest import IsolationForest
@@ -99,12 +99,11 @@ def _renamed(spark, sf_dir):
 
 @query("standardize_names", """
     select l_orderkey as order_key, l_partkey as part_key, l_suppkey as supp_key_id, l_linenumber as line_number,
-           l_quantity as qte_, l_extendedprice as final_price, l_discount as x, l_tax as col,
+           l_quantity as qte, l_extendedprice as final_price, l_discount as x, l_tax as col,
            l_returnflag as a, l_linestatus as a_2, l_shipdate as a_1
     from lineitem""")
 def standardize(spark, sf_dir):
-    named = standardize_names(_renamed(spark, sf_dir).toDF(*RAW_HEADERS))
-    return named.withColumnRenamed(clean_names(RAW_HEADERS)[4], "qte_")
+    return standardize_names(_renamed(spark, sf_dir).toDF(*RAW_HEADERS))
 
 
 @query("dedup_names", """
