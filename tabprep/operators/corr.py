@@ -266,20 +266,19 @@ def _inversions(cells: DataFrame, rows: int, cell_rows: int, y_values: int, rows
     # Ties in x are folded per digit first, so a heavy x is one row in each group it touches.
     folded = placed.selectExpr("x", "n", f"inline(array({steps}))").groupBy("level", "prefix", "x").agg(*[
         F.expr(f"coalesce(sum(n) filter (where digit = {d}), 0L) as {name}") for d, name in enumerate(digits)])
-    tagged = OrderedBuckets.fit(cells, ["x"], rows_per_bucket, rows=cell_rows).tag(folded).persist()
+    tagged = OrderedBuckets.fit(cells, ["x"], rows_per_bucket, rows=cell_rows).tag(folded)
 
-    def crossings(table: DataFrame, group: str, order: str) -> float:
+    def crossings(table: DataFrame, group: str, order: str) -> DataFrame:
         """Pairs of a row and an earlier one with a larger digit, summed over all groups."""
         past = f"over (partition by {group} order by {order} rows between unbounded preceding and 1 preceding)"
         larger = [" + ".join(digits[d + 1:]) for d in range(RADIX - 1)]
         seen = table.selectExpr(*digits, *[
             f"coalesce(sum({above}) {past}, 0L) as s{d}" for d, above in enumerate(larger)])
         crossed = " + ".join(f"cast(d{d} as double) * s{d}" for d in range(RADIX - 1))
-        return seen.selectExpr(f"sum({crossed}) as total").first()[0] or 0.0
+        return seen.selectExpr(f"sum({crossed}) as total")
 
-    try:
-        within = crossings(tagged, f"level, prefix, {BUCKET}", "x")
-        totals = tagged.groupBy("level", "prefix", BUCKET).agg(*[F.expr(f"sum({d}) as {d}") for d in digits])
-        return within + crossings(totals, "level, prefix", BUCKET)
-    finally:
-        tagged.unpersist()
+    # One action for both parts, so that they share the exchange of the folded table.
+    totals = tagged.groupBy("level", "prefix", BUCKET).agg(*[F.expr(f"sum({d}) as {d}") for d in digits])
+    within = crossings(tagged, f"level, prefix, {BUCKET}", "x")
+    across = crossings(totals, "level, prefix", BUCKET)
+    return sum(r["total"] or 0.0 for r in within.unionByName(across).collect())

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,19 +12,13 @@ from tabprep.operators.outliers import iqr_fence
 from tabprep.operators.profile import QUARTILES
 from tabprep.operators.quantiles import quantiles
 from tabprep.operators.roles import numeric_columns
-from tabprep.operators.stats import col, long_values, numeric_summary, one_row
+from tabprep.operators.stats import col, numeric_summary, one_row
 
 BINS = 30
 GRID_POINTS = 200
 REACH = 9.0           # bandwidths; a Gaussian beyond is below the rounding of the sum
 
 
-def _by_column(pairs: Sequence[tuple[str, float]], name: str = "column") -> Column:
-    """The number that belongs to the column named in this row."""
-    return reduce(lambda rest, p: F.when(F.col(name) == p[0], F.lit(p[1])).otherwise(rest), reversed(pairs),
-                  F.lit(None).cast("double"))
-
-
 def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = BINS) -> DataFrame:
     """``(column, bin, low, high, count, density)`` with equal bins from minimum to maximum, the last one closed.
 
@@ -45,9 +38,12 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = BINS
     if not edges:
         cells = spark.createDataFrame([], "column string, bin int, count bigint")
     else:
+        binned = F.array(*[
+            F.struct(F.lit(c).alias("column"), _bin_of(col(c).cast("double"), lo, (hi - lo) / bins, bins).alias("bin"))
+            for c, (lo, hi) in edges.items()
+        ])
         cells = (
-            long_values(df, list(edges), "double").where(F.col("value").isNotNull())
-            .select("column", _bin_of(edges, bins).alias("bin"))
+            df.select(F.inline(binned)).where(F.col("bin").isNotNull())
             .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count"))
         )
     low = F.col("start") + F.col("bin") * F.col("width")
@@ -61,11 +57,9 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = BINS
     )
 
 
-def _bin_of(edges: dict[str, tuple[float, float]], bins: int) -> Column:
-    start = _by_column([(c, lo) for c, (lo, _) in edges.items()])
-    width = _by_column([(c, (hi - lo) / bins) for c, (lo, hi) in edges.items()])
-    x = F.col("value")
-    guess = F.least(F.floor((x - start) / width), F.lit(bins - 1)).cast("int")
+def _bin_of(x: Column, start: float, width: float, bins: int) -> Column:
+    # least() skips nulls, so a missing value must be kept out by hand.
+    guess = F.when(x.isNotNull(), F.least(F.floor((x - start) / width), F.lit(bins - 1))).cast("int")
     # The quotient can land one bin off at an edge; the edges themselves decide.
     return (
         F.when(x < start + guess * width, guess - 1)
@@ -97,16 +91,18 @@ def kde(
     if not setup:
         sums = spark.createDataFrame([], "column string, point int, total_weight double")
     else:
-        values = long_values(df, list(setup), "double").where(F.col("value").isNotNull())
-        start = _by_column([(c, v[0]) for c, v in setup.items()])
-        step = _by_column([(c, v[1]) for c, v in setup.items()])
-        width = _by_column([(c, v[2]) for c, v in setup.items()])
+        # The constants of a column ride along with its values.
+        values = df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("value"), F.lit(v[0]).alias("start"),
+                     F.lit(v[1]).alias("step"), F.lit(v[2]).alias("width")) for c, v in setup.items()
+        ]))).where(F.col("value").isNotNull())
+        start, step, width = F.col("start"), F.col("step"), F.col("width")
         weight: Column = F.lit(1.0)
         if weighted_bins:
             size = step * (points - 1) / weighted_bins
             slot = F.least(F.floor((F.col("value") - start) / size), F.lit(weighted_bins - 1))
             # The mean of a bin stands for its values, so the error is of second order in the bin width.
-            values = values.groupBy("column", slot.alias("slot")).agg(
+            values = values.groupBy("column", "start", "step", "width", slot.alias("slot")).agg(
                 F.count(F.lit(1)).alias("w"), F.avg("value").alias("value"))
             weight = F.col("w")
         place = (F.col("value") - start) / step
@@ -158,7 +154,8 @@ def box_fliers(
     fences = {c: iqr_fence(mid[c][0.25], mid[c][0.75]) for c in names if mid[c][0.25] is not None}
     if not fences:
         return df.sparkSession.createDataFrame([], "column string, value double")
-    low = _by_column([(c, f[0]) for c, f in fences.items()])
-    high = _by_column([(c, f[1]) for c, f in fences.items()])
-    values = long_values(df, list(fences), "double")
-    return values.where((F.col("value") < low) | (F.col("value") > high))
+    outside = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.when((col(c) < lo) | (col(c) > hi), col(c).cast("double")).alias("value"))
+        for c, (lo, hi) in fences.items()
+    ])
+    return df.select(F.inline(outside)).where(F.col("value").isNotNull())

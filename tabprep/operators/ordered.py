@@ -1,7 +1,7 @@
 """Ordered fills and running counts without a one-task window.
 
 Rows are cut into buckets by literal bounds on the order key, so the cut is the same on every recomputation. Work
-runs inside the buckets and a small table with one row per bucket carries values from bucket to bucket.
+runs inside the buckets, and a small table with one row per bucket carries values from bucket to bucket.
 """
 
 from __future__ import annotations
@@ -19,10 +19,12 @@ from pyspark.sql import types as T
 from tabprep.operators.stats import col
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 1_000
+MAX_BUCKETS = 4_000
+MAX_CARRIES = 100_000        # bucket rows that are carried along in one window
 SAMPLE_ROWS = 1_000_000
 INF = float("inf")
 BUCKET = "__bucket"
+DATA = "__data"
 
 
 def order_number(df: DataFrame, name: str) -> Column | None:
@@ -71,6 +73,7 @@ class OrderedBuckets:
         splits = sorted(set(first) | {math.nextafter(v, INF) for v in heavy})
         second = sorted(set(bounds[1] or [])) if len(numbers) > 1 and heavy else []
         hot = tuple(splits.index(v) + 1 for v in heavy) if second else ()
+        second = second[::math.ceil(len(hot) * len(second) / MAX_CARRIES)] if hot else second
         return cls(tuple(keys), (tuple(splits), tuple(second)), hot, rows)
 
     @property
@@ -114,36 +117,40 @@ def fill(
         return df
     forward = direction == "forward"
     buckets = OrderedBuckets.fit(df, order_by, rows_per_bucket)
-    tagged = buckets.tag(df)
-    group = [col(p) for p in partition_by]
+    tagged = buckets.tag(df).withColumn(DATA, F.lit(True))
+    if not buckets.single:
+        tagged = _carries(tagged, cols, order_by, partition_by, forward).unionByName(tagged, allowMissingColumns=True)
+    # Both directions run over the rows already seen; looking ahead would cost a pass per row. A carried row
+    # (false) opens its bucket.
+    local = Window.partitionBy(*[col(p) for p in partition_by], BUCKET).orderBy(
+        DATA, *_towards(order_by, forward)).rowsBetween(Window.unboundedPreceding, 0)
+    filled = tagged.withColumns({c: F.last(col(c), ignorenulls=True).over(local) for c in cols})
+    return filled.where(DATA).select(*[col(c) for c in df.columns])
 
-    def towards(names: Sequence[str]) -> list[Column]:
-        return [col(n).asc_nulls_first() if forward else col(n).desc_nulls_last() for n in names]
 
-    # Both directions run over the rows already seen; looking ahead would cost a pass per row.
-    local = Window.partitionBy(*group, BUCKET).orderBy(*towards(order_by)).rowsBetween(Window.unboundedPreceding, 0)
-    filled = tagged.withColumns({c: F.last(col(c), ignorenulls=True).over(local) for c in cols})
-    if buckets.single:
-        return filled.drop(BUCKET)
+def _towards(names: Sequence[str], forward: bool) -> list[Column]:
+    return [col(n).asc_nulls_first() if forward else col(n).desc_nulls_last() for n in names]
+
 
+def _carries(
+    tagged: DataFrame, cols: Sequence[str], order_by: Sequence[str], partition_by: Sequence[str], forward: bool,
+) -> DataFrame:
+    """One row per partition and bucket with the values that come in from the buckets before it.
+
+    The last values of the buckets are aggregated on the map side, so the table itself is shuffled only once, by
+    the window that fills it.
+    """
+    group = [col(p) for p in partition_by]
     pick = F.max_by if forward else F.min_by
-    key = F.struct(*[col(k) for k in order_by])
+    key = col(order_by[0]) if len(order_by) == 1 else F.struct(*[col(k) for k in order_by])
     tails = tagged.groupBy(*group, BUCKET).agg(*[
         pick(col(c), F.when(col(c).isNotNull(), key)).alias(f"__tail{i}") for i, c in enumerate(cols)
     ])
-    past = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*towards([BUCKET])).rowsBetween(
+    past = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*_towards([BUCKET], forward)).rowsBetween(
         Window.unboundedPreceding, -1)
-    carried = tails.select(
-        *[col(p).alias(f"__p{i}") for i, p in enumerate(partition_by)], F.col(BUCKET).alias("__b"),
-        *[F.last(f"__tail{i}", ignorenulls=True).over(past).alias(f"__carry{i}") for i in range(len(cols))],
-    )
-    if partition_by:
-        same = [col(p).eqNullSafe(F.col(f"__p{i}")) for i, p in enumerate(partition_by)]
-        joined = filled.join(carried, [F.col(BUCKET) == F.col("__b"), *same], "left")
-    else:
-        joined = filled.join(F.broadcast(carried), F.col(BUCKET) == F.col("__b"), "left")   # one row per bucket
-    done = joined.withColumns({c: F.coalesce(col(c), F.col(f"__carry{i}")) for i, c in enumerate(cols)})
-    return done.select(*[col(c) for c in df.columns])
+    return tails.select(
+        *group, BUCKET, F.lit(False).alias(DATA),
+        *[F.last(f"__tail{i}", ignorenulls=True).over(past).alias(c) for i, c in enumerate(cols)])
 
 
 def running_before(df: DataFrame, key: str, weight: str, name: str, buckets: OrderedBuckets) -> DataFrame:

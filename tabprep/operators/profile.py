@@ -33,9 +33,9 @@ class Facts:
         """One scan for counts and moments; the quartiles follow from the counts in a few more."""
         numeric = ColumnRoles.of(df).numeric
         exprs: dict[Any, Any] = {"rows": F.count(F.lit(1))}
-        exprs.update({("count", c): F.count(col(c)) for c in df.columns})
-        if moments:
-            for c in numeric:
+        for c in df.columns:
+            exprs["count", c] = F.count(col(c))
+            if moments and c in numeric:
                 x = col(c).cast("double")
                 exprs["mean", c], exprs["std", c], exprs["skew", c] = F.avg(x), F.stddev_samp(x), F.skewness(x)
                 exprs["min", c], exprs["max", c] = F.min(x), F.max(x)

@@ -55,6 +55,7 @@ class RegressionFlow:
     outlier_exclude: Sequence[str] = ()
     scaling: str = "standard"
     keep_key: bool = False
+    cache: bool = True            # hold the training part, which every fit below reads
 
     def fit(self, df: DataFrame) -> tuple[TrainedFlow, int, DataFrame]:
         """The fitted flow, the number of training rows left after the outlier step, and the prepared test part."""
@@ -62,7 +63,8 @@ class RegressionFlow:
         train, test = self._clean(train), self._clean(test)
         ignore = () if self.impute_label else (self.label,)
         settings = {**vars(self.imputer), "exclude": (*self.imputer.exclude, *ignore)}
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)       # read by every fit below
+        if self.cache:
+            train = train.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             imputer = Imputer(**settings).fit(train)
             ready = imputer.transform(train)
@@ -74,7 +76,8 @@ class RegressionFlow:
             rows = scaled.count()
             model = fit_linear(scaled, self.label, feature_columns(scaled, self.label))
         finally:
-            train.unpersist()
+            if self.cache:
+                train.unpersist()
         flow = TrainedFlow(self.label, imputer, scaler, model)
         return flow, rows, flow.prepare(test)
 

@@ -1,4 +1,4 @@
-"""Session defaults and the shared folder used to cut lineage."""
+"""Session defaults and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -41,9 +41,3 @@ def shared_dir(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="tabprep-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point the context at the shared folder unless it already has a checkpoint folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
