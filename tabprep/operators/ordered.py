@@ -69,7 +69,7 @@ class OrderedBuckets:
         probs = [i / wanted for i in range(1, wanted)]
         bounds = sampled.agg(*[F.percentile_approx(f"k{i}", probs, 10_000) for i in range(len(numbers))]).first()
         first = bounds[0] or []
-        heavy = [v for v, n in Counter(first).items() if n > 3 and abs(v) < 2**53]
+        heavy = [v for v, n in Counter(first).items() if n > 1 and abs(v) < 2**53]
         splits = sorted(set(first) | {math.nextafter(v, INF) for v in heavy})
         second = sorted(set(bounds[1] or [])) if len(numbers) > 1 and heavy else []
         hot = tuple(splits.index(v) + 1 for v in heavy) if second else ()
@@ -142,7 +142,7 @@ def _carries(
     """
     group = [col(p) for p in partition_by]
     pick = F.max_by if forward else F.min_by
-    key = col(order_by[0]) if len(order_by) == 1 else F.struct(*[col(k) for k in order_by])
+    key = F.struct(*[col(k) for k in order_by])       # a struct is comparable even where the key in it is null
     tails = tagged.groupBy(*group, BUCKET).agg(*[
         pick(col(c), F.when(col(c).isNotNull(), key)).alias(f"__tail{i}") for i, c in enumerate(cols)
     ])

@@ -394,11 +394,11 @@ def linreg_fit(spark, sf_dir):
 
 @query("linreg_predict", f"""
     select l_orderkey, l_linenumber, l_quantity, l_discount,
-           round(b0 + b1 * l_quantity + b2 * l_discount, 4) as prediction from lineitem, {TWO_FEATURES_SQL}""")
+           round(b0 + b1 * l_quantity + b2 * l_discount, 2) as prediction from lineitem, {TWO_FEATURES_SQL}""")
 def linreg_predict(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     scored = fit_linear(lines, LABEL, FEATURES).predict(lines.select("l_orderkey", "l_linenumber", *FEATURES))
-    return rounded(scored, {"prediction": 4})
+    return rounded(scored, {"prediction": 2})
 
 
 @query("reg_metrics", """

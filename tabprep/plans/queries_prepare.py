@@ -429,22 +429,22 @@ def onehot(spark, sf_dir):
 def _scale_sql(offset, width, source, target):
     cells = ", ".join(
         f"""round(({c} - (select {offset.format(c=c)} from {source}))
-            / coalesce(nullif((select {width.format(c=c)} from {source}), 0), 1), 8) as {c}"""
+            / coalesce(nullif((select {width.format(c=c)} from {source}), 0), 1), 6) as {c}"""
         for c in OUTLIER_COLUMNS)
     return f"select l_orderkey, l_linenumber, {cells} from {target}"
 
 
 @query("scale_standard", _scale_sql("avg({c})", "stddev_pop({c})", DIRTY_LINEITEM_SQL, DIRTY_LINEITEM_SQL))
 def scale_standard(spark, sf_dir):
-    return rounded(Scaler("standard", NUM_KEYS).fit_transform(_dirty(spark, sf_dir)), 8)
+    return rounded(Scaler("standard", NUM_KEYS).fit_transform(_dirty(spark, sf_dir)), 6)
 
 
 @query("scale_minmax", _scale_sql("min({c})", "max({c}) - min({c})", DIRTY_LINEITEM_SQL, DIRTY_LINEITEM_SQL))
 def scale_minmax(spark, sf_dir):
-    return rounded(Scaler("minmax", NUM_KEYS).fit_transform(_dirty(spark, sf_dir)), 8)
+    return rounded(Scaler("minmax", NUM_KEYS).fit_transform(_dirty(spark, sf_dir)), 6)
 
 
 @query("scale_fit_apply", _scale_sql("avg({c})", "stddev_pop({c})", TRAIN_SQL, TEST_SQL))
 def scale_fit_apply(spark, sf_dir):
     train, test = split_hash(_dirty(spark, sf_dir), NUM_KEYS)
-    return rounded(Scaler("standard", NUM_KEYS).fit(train).transform(test), 8)
+    return rounded(Scaler("standard", NUM_KEYS).fit(train).transform(test), 6)
