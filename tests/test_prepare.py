@@ -52,11 +52,10 @@ def test_missed_bracket_is_widened(spark, monkeypatch):
     import tabprep.operators.quantiles as q
     df, pdf = frame(spark)
     monkeypatch.setattr(q, "_margin", lambda rows, stretch: 1e-9 if stretch == 1 else 0.2)
-    ranks = {100, 1500, 2900}
-    got = order_statistics(df.select("tail"), {"tail": {100, 1500, 2600}}, {"tail": int(pdf["tail"].count())}, 50)
+    ranks = {100, 1500, 2600}
+    got = order_statistics(df.select("tail"), {"tail": ranks}, {"tail": int(pdf["tail"].count())}, 50)
     ordered = np.sort(pdf["tail"].dropna())
-    assert got["tail"] == {k: ordered[k] for k in (100, 1500, 2600)}
-    assert ranks
+    assert got["tail"] == {k: ordered[k] for k in ranks}
 
 
 def test_quantile_edges(spark):
@@ -184,9 +183,8 @@ def test_bounds_match_pandas(spark):
         q1, q3 = pdf[c].quantile([0.25, 0.75])
         assert got[c] == pytest.approx((q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
     got = bounds(df, "zscore", ["k"])
-    assert got["tail"] == pytest.approx((pdf.tail.mean() - 3 * pdf.tail.std(), pdf.tail.mean() + 3 * pdf.tail.std())
-                                        if not callable(pdf.tail) else
-                                        (pdf["tail"].mean() - 3 * pdf["tail"].std(), pdf["tail"].mean() + 3 * pdf["tail"].std()))
+    mean, std = pdf["tail"].mean(), pdf["tail"].std()
+    assert got["tail"] == pytest.approx((mean - 3 * std, mean + 3 * std))
 
 
 def test_drop_clip_and_report(spark):
