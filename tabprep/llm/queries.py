@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tabprep.llm.common import body, words
 from tabprep.llm.decontaminate import contamination
+from tabprep.llm.jaccard import jaccard_classes
 from tabprep.llm.mix import mix
 from tabprep.llm.quality import COMMON, judge
+from tabprep.llm.suffixes import remove_repeats
 from tabprep.llm.shard import shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +90,14 @@ def op1(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return judge(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op4_vertical_jaccard")
+def op4(spark, sf_dir):
+    return jaccard_classes(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, percent=85)
+
+
+@query("op2_suffix_dedup")
+def op2(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
