@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabprep.llm.common import body, words
 from tabprep.llm.decontaminate import contamination
 from tabprep.llm.jaccard import jaccard_classes
+from tabprep.llm.language_model import score_texts
 from tabprep.llm.mix import mix
 from tabprep.llm.quality import COMMON, judge
 from tabprep.llm.suffixes import remove_repeats
@@ -101,3 +102,8 @@ def op4(spark, sf_dir):
 def op2(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
+@query("op6_log_bilinear")
+def op6(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
