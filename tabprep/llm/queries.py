@@ -14,6 +14,7 @@ from tabprep.llm.language_model import score_texts
 from tabprep.llm.mix import mix
 from tabprep.llm.quality import COMMON, judge
 from tabprep.llm.suffixes import remove_repeats
+from tabprep.llm.toxicity import score_toxicity
 from tabprep.llm.shard import shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +108,9 @@ def op2(spark, sf_dir):
 @query("op6_log_bilinear")
 def op6(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_lexicon_automata")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(docs, table(spark, sf_dir, "labels"))
