@@ -61,7 +61,7 @@ def with_lookup(left: DataFrame, right: DataFrame, key: str, spread: Column, max
     over salts by ``spread`` and the right side is repeated once per salt, so no key fills a task.
     """
     right = right.withColumnRenamed(key, "__key")
-    found = right.agg(F.sum(F.coalesce(F.octet_length(F.col("__key").cast("string")), F.lit(0)) + 96)).first()[0] or 0
+    found = right.agg(F.sum(F.octet_length(F.to_json(F.struct(*[name(c) for c in right.columns]))) + 32)).first()[0] or 0
     same = name(key).eqNullSafe(F.col("__key"))
     if found <= max_bytes:
         return left.join(F.broadcast(right), same, "left").drop("__key")

@@ -50,9 +50,12 @@ def _prints(array: Column, short: list[int], whole: bool) -> Column:
             F.lit(GRAM).alias("length"), at.alias("start"), F.get(hashes, at).alias("hash")))
 
     out = [let(F.transform(_starts(array, GRAM), lambda at: _gram_hash(array, at, GRAM)), winnowed)]
-    for n in short:
-        runs = F.transform(_starts(array, n), lambda at, n=n: F.struct(
+    def runs_of(n: int) -> Column:
+        return F.transform(_starts(array, n), lambda at: F.struct(
             F.lit(-n).alias("length"), at.alias("start"), _gram_hash(array, at, n).alias("hash")))
+
+    for n in short:
+        runs = runs_of(n)
         out.append(F.when(F.size(array) == n, runs).otherwise(F.slice(runs, 1, 0)) if whole else runs)
     return F.concat(*out) if len(out) > 1 else out[0]
 

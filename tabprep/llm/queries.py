@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tabprep.llm.common import body, words
 from tabprep.llm.decontaminate import contamination
+from tabprep.llm.html_extract import extract_text
 from tabprep.llm.jaccard import jaccard_classes
 from tabprep.llm.language_model import score_texts
 from tabprep.llm.mix import mix
+from tabprep.llm.pii import KINDS, find_spans
 from tabprep.llm.quality import COMMON, judge
 from tabprep.llm.suffixes import remove_repeats
 from tabprep.llm.toxicity import score_toxicity
@@ -114,3 +116,22 @@ def op6(spark, sf_dir):
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_toxicity(docs, table(spark, sf_dir, "labels"))
+
+
+@query("op3_wrapper_induction")
+def op3(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return extract_text(pages).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def joined_spans(column: str):
+    parts = F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(parts, ",")
+
+
+@query("op7_boosted_candidates")
+def op7(spark, sf_dir):
+    found = find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.array_remove(F.col("base.kind"), k)) for k in KINDS]
+    counts = [(F.size("base") - n).cast("bigint").alias(f"n_{k}") for n, k in zip(counts, KINDS)]
+    return found.select("doc_id", *counts, F.sha2(joined_spans("base"), 256).alias("base_sha256"), joined_spans("spans").alias("spans"))

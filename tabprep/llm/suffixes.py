@@ -76,14 +76,14 @@ def _solve(length: int):
         if table is None or not table.num_rows:
             return
         m = table.num_rows
-        def fixed(column: str, width: int) -> tuple[np.ndarray, np.ndarray]:
-            parts = table.column(column).to_pylist()
+
+        def fixed(column: str, width: int, way: int = 1) -> tuple[np.ndarray, np.ndarray]:
+            parts = [p[::way] for p in table.column(column).to_pylist()]
             sizes = np.fromiter(map(len, parts), np.int64, m)
             return np.frombuffer(b"".join(p.ljust(width, b"\0") for p in parts), np.uint8).reshape(m, width), sizes
 
         right, n_right = fixed("right", length)
-        left, n_left = fixed("left", before)
-        left = np.frombuffer(b"".join(p[::-1].ljust(before, b"\0") for p in table.column("left").to_pylist()), np.uint8).reshape(m, before)
+        left, n_left = fixed("left", before, -1)
         order = _multikey_order(right)
         right, left, n_right, n_left = right[order], left[order], n_right[order], n_left[order]
         context, first, last = (table.column(c).to_numpy()[order] for c in ("context", "first", "last"))
