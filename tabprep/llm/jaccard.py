@@ -15,7 +15,8 @@ from tabprep.llm.components import components
 
 FRAGMENTS = 8                            # in which overlaps are counted
 BROADCAST_KEYS = 4_000_000               # shared keys, 8 bytes each, that may be broadcast
-STAR_ROUNDS = 3
+BROADCAST_PAIRS = 1_000_000              # two 8-byte nodes each
+STAR_ROUNDS = 2
 CACHE_WORDS = 1_000_000                  # per Python worker; a full cache is emptied
 M1, M2, M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 
@@ -118,12 +119,26 @@ def _sets(docs: DataFrame, key: str, size: int, percent: int, what: str) -> Data
 
 
 def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Intersection sizes: counted fragment by fragment, then summed per pair."""
-    left = parts.select(F.col("node").alias("u"), "fragment", F.col("tokens").alias("a"))
-    right = parts.select(F.col("node").alias("v"), "fragment", F.col("tokens").alias("b"))
-    return (pairs.join(left, "u").join(right, ["v", "fragment"])
-            .select("u", "v", F.size(F.array_intersect("a", "b")).alias("partial"))
-            .groupBy("u", "v").agg(F.sum("partial").alias("common")))
+    """Intersection sizes: counted fragment by fragment, then summed per pair.
+
+    The tokens of ``v`` travel to those of ``u`` once; the pairs come to both without moving tokens if they are few.
+    """
+    few = pairs.count() <= BROADCAST_PAIRS
+    ends = F.broadcast(pairs.select("u", "v")) if few else pairs.select("u", "v")
+    hubs = pairs.select(F.col("u").alias("node")).distinct()
+    moved = parts.join(ends, F.col("node") == F.col("v")).select("u", "v", "fragment", F.col("tokens").alias("b"))
+    own = parts.join(F.broadcast(hubs) if few else hubs, "node", "left_semi").select(F.col("node").alias("hub"), F.col("fragment").alias("part"), F.col("tokens").alias("a"))
+    return (moved.join(own, (F.col("u") == F.col("hub")) & (F.col("fragment") == F.col("part")))
+            .select("u", "v", "fragment", F.size(F.array_intersect("a", "b")).alias("partial"))
+            .dropDuplicates(["u", "v", "fragment"]).groupBy("u", "v").agg(F.sum("partial").alias("common")))
+
+
+def _heads(links: DataFrame, weight: DataFrame) -> DataFrame:
+    """Per node the one with the most shared keys among it and those it links with. Equal heads mean connected."""
+    both = links.union(links.select("v", "u")).withColumnRenamed("u", "node")
+    seen = both.join(weight.select(F.col("node").alias("v"), "w"), "v").select("node", F.struct("w", "v").alias("top"))
+    own = weight.select("node", F.struct("w", F.col("node").alias("v")).alias("top"))
+    return seen.union(own).groupBy("node").agg(F.max("top").alias("top")).select("node", F.col("top.v").alias("root"))
 
 
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
@@ -133,7 +148,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     union. Documents with equal sets are one node from the start (sets are told apart by a 64-bit hash). Keys
     (see ``fragment_keys``) that two nodes share make candidates. Not all pairs of a key are tried: in each round
     the node of a key with the most shared keys is held against those it is not connected with yet, and only what
-    is still apart after three rounds is tried pair by pair. Each pair tried is counted exactly, in eight
+    is still apart after two rounds is tried pair by pair. Each pair tried is counted exactly, in eight
     fragments whose partial overlaps are summed.
 
     Documents without words, null texts included, have 0 shingles and stay alone; of several rows with one key
@@ -156,7 +171,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     few = weight.count() <= BROADCAST_KEYS
     texts = docs.join(F.broadcast(wanted) if few else wanted, name(key) == F.col("__first"), "left_semi")
     parts = checkpointed(
-        _sets(texts, key, size, percent, "tokens").dropDuplicates(["node"]).join(weight.select("node"), "node", "left_semi")
+        _sets(texts, key, size, percent, "tokens")
         .select("node", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "list")
         .select("node", "fragment", F.filter("list", lambda t: F.pmod(F.shiftrightunsigned(t, 61), F.lit(FRAGMENTS)) == F.col("fragment")).alias("tokens")))
     members = checkpointed(members.join(weight.select("node", "w", "n"), "node"))
@@ -189,6 +204,9 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
             F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent).select("u", "v")
         links = new if links is None else links.union(new)
         links = checkpointed(links)
+        if turn < STAR_ROUNDS:
+            roots = checkpointed(_heads(links, weight))
+    if links is not None:
         merged = components(links)
         roots = checkpointed(weight.select("node").join(merged, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
     least = weight.join(roots, "node").groupBy("root").agg(F.min("first").alias("component"))
