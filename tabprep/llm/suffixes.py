@@ -10,11 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import body, checkpointed, name
+from tabprep.llm.common import BROADCAST_BYTES, body, checkpointed, name
 
 GRAM = 20                                # bytes of an anchor
 BUCKET_ROWS = 150_000                    # contexts sorted by one task
 BROADCAST_KEYS = 4_000_000
+BROADCAST_ROWS = 500_000                 # groups of equal texts, four numbers each
 LAST = (1 << 63) - 1                     # the id of a document without one
 
 
@@ -116,37 +117,45 @@ def _solve(length: int):
     return run
 
 
-def _cut(length: int):
-    """Apply the hits of a document: count and drop the covered bytes."""
+def _merge(length: int):
+    """The hits of a document as runs of covered bytes: [start, end] in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for data, hits in zip(batch.column("data").to_pylist(), batch.column("hits")):
-                covered = np.zeros(len(data) + 1, np.int32)
-                if hits.is_valid and len(hits.values):
-                    place, mask = (hits.values.field(i).to_numpy() for i in (0, 1))
-                    for o in range(length - GRAM + 1):
-                        start = place[(mask >> o) & 1 == 1] - o
-                        np.add.at(covered, start, 1)
-                        np.add.at(covered, start + length, -1)
-                gone = np.cumsum(covered[:-1]) > 0
-                left = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
-                rows.append((len(data), int(gone.sum()), edges.reshape(-1, 2).tolist(), hashlib.sha256(left).hexdigest(), left))
-            columns = list(zip(*rows)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.string(), pa.binary()]
+            runs = []
+            for hits in batch.column("hits"):
+                place, mask = (hits.values.field(i).to_numpy() for i in (0, 1))
+                starts = [place[(mask >> o) & 1 == 1] - o for o in range(length - GRAM + 1)]
+                starts = np.unique(np.concatenate(starts))
+                new = np.flatnonzero(np.concatenate(([True], starts[1:] > starts[:-1] + length)))
+                last = np.append(new[1:], len(starts)) - 1
+                runs.append(np.stack([starts[new], starts[last] + length], axis=1).tolist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *[pa.array(list(c), k) for c, k in zip(columns, kinds)]],
-                ["id", "n_bytes", "n_removed", "spans", "kept_sha256", "kept_bytes"])
+                [batch.column("id"), batch.column("mark"), pa.array(runs, pa.list_(pa.list_(pa.int64())))], ["__id", "__mark", "runs"])
 
     return run
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drop the covered runs of a document."""
+    for batch in batches:
+        rows = []
+        for data, runs in zip(batch.column("data").to_pylist(), batch.column("spans").to_pylist()):
+            ends = [0, *[x for run in runs for x in run], len(data)]
+            left = b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2]))
+            rows.append((len(data), len(data) - len(left), hashlib.sha256(left).hexdigest(), left))
+        columns = list(zip(*rows)) if rows else [[]] * 4
+        made = [pa.array(list(c), k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), *made[:2], batch.column("spans"), *made[2:]],
+            ["id", "n_bytes", "n_removed", "spans", "kept_sha256", "kept_bytes"])
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", length: int = 50) -> DataFrame:
     """Per document: key, ``n_bytes``, ``n_removed``, ``spans`` (start and end of the removed runs), ``kept_sha256``
     and ``kept_bytes``.
 
-    A byte goes if a string of ``length`` bytes over it also starts in a document with a smaller key. All suffixes
+    A byte goes if a string of ``length`` bytes over it also starts in a document with a smaller key. Documents equal to
+    one with a smaller key go whole; the others, one of each text, are compared. All suffixes
     would be many times the text, so sparse ones are sorted: each window of ``length`` bytes has one anchor,
     chosen by its bytes alone. Anchors whose 20-gram is in one document only are dropped by an aggregate. The rest
     give contexts: the suffix from the anchor and what may stand before it in a window. Equal contexts are one row
@@ -162,7 +171,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", length: int = 50) -> Da
     rows = docs.select(
         F.coalesce(name(key).cast("bigint"), F.lit(LAST)).alias("id"), F.xxhash64(body()).alias("mark"),
         F.to_binary(body(), F.lit("utf-8")).alias("data"))
-    found = _anchored(rows, length)
+    texts = ["mark", F.octet_length("data").alias("size"), F.crc32("data").alias("check")]
+    twins = checkpointed(
+        rows.select("id", *texts).groupBy("mark", "size", "check").agg(F.min("id").alias("__first"), F.count("*").alias("n"))
+        .filter("n > 1").select(F.col("mark").alias("__m"), F.col("size").alias("__s"), F.col("check").alias("__c"), "__first"))
+    n_twins = twins.count()
+    equal = (F.col("mark") == F.col("__m")) & (F.octet_length("data") == F.col("__s")) & (F.crc32("data") == F.col("__c"))
+    rows = rows.join(F.broadcast(twins) if n_twins <= BROADCAST_ROWS else twins, equal, "left").select(
+        "id", "mark", "data", (F.coalesce(F.col("__first") < F.col("id"), F.lit(False))).alias("copy"))
+    originals = rows.filter("not copy").select("id", "mark", "data")
+    found = _anchored(originals, length)
     light = found.select("id", F.explode("hashes").alias("hash"))
     shared = checkpointed(
         light.groupBy("hash").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select(F.col("hash").alias("__hash")))
@@ -179,19 +197,23 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", length: int = 50) -> Da
         hit = opened(found, "data").join(F.broadcast(shared), F.col("hash") == F.col("__hash"))
     else:               # texts do not go through the join of the keys
         places = opened(found).join(shared, F.col("hash") == F.col("__hash")).groupBy("id", "mark").agg(F.collect_list("place").alias("places"))
-        hit = rows.dropDuplicates(["id", "mark"]).join(places, ["id", "mark"]).select("id", "mark", "data", F.explode("places").alias("place"))
+        hit = originals.dropDuplicates(["id", "mark"]).join(places, ["id", "mark"]).select("id", "mark", "data", F.explode("places").alias("place"))
     hit = hit.select("id", "mark", "place", *context(F.col("data")))
-    hit = checkpointed(hit.withColumn("context", F.xxhash64("left", F.lit(0), "right")))
-    contexts = checkpointed(
-        hit.groupBy("context", "left", "right").agg(F.min("id").alias("first"), F.max("id").alias("last")))
-    buckets = max(1, -(-contexts.count() // BUCKET_ROWS))
-    dealt = contexts.repartitionByRange(buckets, F.substring("right", 1, GRAM))
+    hit = hit.withColumn("context", F.xxhash64("left", F.lit(0), "right"))
+    light = checkpointed(hit.select("id", "mark", "place", "context"))
+    n = light.agg(F.approx_count_distinct("context")).first()[0]
+    contexts = hit.groupBy("context", "left", "right").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    dealt = contexts.repartitionByRange(max(1, -(-n // BUCKET_ROWS)), F.substring("right", 1, GRAM))
     solved = dealt.mapInArrow(_solve(length), "context bigint, least bigint, mask bigint").withColumnRenamed("context", "__context")
     hits = (
-        hit.select("id", "mark", "place", "context").join(solved, (F.col("context") == F.col("__context")) & (F.col("least") < F.col("id")))
-        .groupBy("id", "mark").agg(F.collect_set(F.struct("place", "mask")).alias("hits"))
-        .withColumnsRenamed({"id": "__id", "mark": "__mark"}))
-    joined = rows.join(hits, (F.col("id") == F.col("__id")) & (F.col("mark") == F.col("__mark")), "left")
-    out = joined.select("id", "data", "hits").mapInArrow(
-        _cut(length), "id bigint, n_bytes bigint, n_removed bigint, spans array<array<bigint>>, kept_sha256 string, kept_bytes binary")
+        light.join(solved, (F.col("context") == F.col("__context")) & (F.col("least") < F.col("id")))
+        .groupBy("id", "mark").agg(F.collect_set(F.struct("place", "mask")).alias("hits")))
+    spans = checkpointed(hits.mapInArrow(_merge(length), "__id bigint, __mark bigint, runs array<array<bigint>>"))
+    few = (spans.agg(F.sum(F.size("runs") * 48 + 64)).first()[0] or 0) <= BROADCAST_BYTES
+    joined = rows.join(F.broadcast(spans) if few else spans, (F.col("id") == F.col("__id")) & (F.col("mark") == F.col("__mark")), "left")
+    size = F.octet_length("data").cast("bigint")
+    whole = F.when(size >= length, F.array(F.array(F.lit(0).cast("bigint"), size)))
+    runs = F.coalesce(F.when(F.col("copy"), whole).otherwise(F.col("runs")), F.array().cast("array<array<bigint>>"))
+    out = joined.select("id", "data", runs.alias("spans")).mapInArrow(
+        _cut, "id bigint, n_bytes bigint, n_removed bigint, spans array<array<bigint>>, kept_sha256 string, kept_bytes binary")
     return out.withColumn("id", F.nullif("id", F.lit(LAST))).withColumnRenamed("id", key)
