@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import body, let, name, with_lookup, words
+from tabprep.llm.common import body, checkpointed, let, name, with_lookup, words
 
 COMMON = 12                              # words in the profile of a language
 CHAR_LIMIT, WORD_LIMIT = 0.20, 0.30      # distances above which a document is rejected
@@ -114,7 +114,7 @@ def judge(docs: DataFrame, references: DataFrame | None = None) -> DataFrame:
     """
     made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance", "base_failed", "kept")
     kept = docs.drop(*made)
-    known = profiles(kept) if references is None else references
+    known = checkpointed(profiles(kept)) if references is None else references
     text = body()
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
     counted = (
