@@ -19,9 +19,14 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
+def strip(c: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def parse_number(c: Column) -> Column:
     """Text to double: thousands commas and outer blanks go, anything that is no number is null."""
-    bare = F.trim(F.replace(c, F.lit(","), F.lit("")))
+    bare = strip(F.replace(c, F.lit(","), F.lit("")))
     number = F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 

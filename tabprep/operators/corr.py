@@ -71,11 +71,11 @@ def _pearson(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float
         ("nulls", F.count_if(col(c).isNull())), ("mean", F.avg(col(c))))})
     whole = {c for c in names if not first[c, "nulls"]}
     found: dict[tuple[str, str], float | None] = {}
-    exprs: dict[tuple, Column] = {(c, "std"): F.stddev_pop(col(c)) for c in names}
+    exprs: dict[tuple, Column] = {(c, None, "std"): F.stddev_pop(col(c)) for c in names}
     partial = []
     for a, b in combinations(names, 2):
         if a in whole and b in whole:
-            exprs[a, b] = F.covar_pop(col(a), col(b))
+            exprs[a, b, "both"] = F.covar_pop(col(a), col(b))
         elif first[a, "mean"] is None or first[b, "mean"] is None:
             found[a, b] = None
         else:
@@ -90,15 +90,15 @@ def _pearson(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float
                 exprs[a, b, "constant", side] = F.expr(f"min(`{c}`) {both} = max(`{c}`) {both}")
     got = one_row(df, exprs)
     for a, b in combinations(names, 2):
-        if (a, b) in got:
-            spread = (got[a, "std"] or 0.0) * (got[b, "std"] or 0.0)
-            found[a, b] = _bounded(got[a, b] / spread) if spread else None
+        if (a, b, "both") in got:
+            spread = (got[a, None, "std"] or 0.0) * (got[b, None, "std"] or 0.0)
+            found[a, b] = _bounded(got[a, b, "both"] / spread) if spread else None
     for a, b in partial:
         n, x, y, xx, yy, xy = (got[a, b, part] for part in ("n", "x", "y", "xx", "yy", "xy"))
         flat = not n or got[a, b, "constant", "x"] or got[a, b, "constant", "y"]
         spread = 0.0 if flat else math.sqrt((xx - x * x / n) * (yy - y * y / n))
         found[a, b] = _bounded((xy - x * y / n) / spread) if spread else None
-    found.update({(c, c): 1.0 if got[c, "std"] else None for c in names})
+    found.update({(c, c): 1.0 if got[c, None, "std"] else None for c in names})
     return found
 
 

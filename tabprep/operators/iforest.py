@@ -147,7 +147,12 @@ class IsolationForest:
     def _samples(self, df: DataFrame, cols: Sequence[str], names: Sequence[str], rows: int, size: int) -> DataFrame:
         """``size`` rows per tree, chosen by seeded hash: the same ones however the table is partitioned."""
         values = [col(c).cast("double").alias(n) for c, n in zip(cols, names)]
-        hashed = df.select(F.xxhash64(F.lit(self.seed), *[col(k) for k in self.row_key or cols]).alias("pick"), *values)
+        if self.row_key:
+            hashed = df.select(F.xxhash64(F.lit(self.seed), *[col(k) for k in self.row_key]).alias("pick"), *values)
+        else:       # every copy of a repeated row has its own chance
+            counted = df.select(*values).groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
+            each = counted.select(*names, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+            hashed = each.select(F.xxhash64(F.lit(self.seed), *names, "copy").alias("pick"), *names)
         lowest = hashed.orderBy("pick", *names).limit(self.trees * size)       # top-k per task, then merged
         if rows >= self.trees * size:
             place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("pick", *names))

@@ -27,11 +27,14 @@ def bounds(
         got = quantiles(df, cols, (0.25, 0.75), quantile_method)
         return {c: iqr_fence(got[c][0.25], got[c][0.75]) for c in cols}
     if method == "zscore":
-        stats = numeric_summary(df, cols, ("mean", "std"))
+        stats = numeric_summary(df, cols, ("mean", "std", "min", "max"))
         out: dict[str, tuple[float | None, float | None]] = {}
         for c in cols:
             mean, std = stats[c]["mean"], stats[c]["std"]
             known = mean is not None and std is not None
+            if known and stats[c]["min"] == stats[c]["max"]:       # the mean of equal values may be off in its last digits
+                out[c] = (float(stats[c]["min"]), float(stats[c]["min"]))
+                continue
             out[c] = (mean - 3 * std, mean + 3 * std) if known else (None, None)
         return out
     raise ValueError(f"no bounds for method {method!r}, use 'iqr' or 'zscore'")

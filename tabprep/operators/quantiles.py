@@ -26,6 +26,7 @@ LARGE = 5_000_000
 ACCURACY = 10_000            # percentile_approx: rank error of at most rows / ACCURACY
 THIN = 64                    # one row in so many is sketched while the rows are counted
 LADDER = (0.0005, 0.001, 0.0025, 0.005, 0.01, 0.02, 0.05)     # distances of bracket edges from the percentage
+WIDEST = 4.0 ** 40
 INF = float("inf")
 
 
@@ -97,7 +98,8 @@ def exact_quantiles(
     cols = list(dict.fromkeys(cols))
     if not cols or not probs:
         return {c: {} for c in cols}
-    values = df.select(*[col(c).cast("double").alias(c) for c in cols])
+    doubles = {c: col(c).cast("double") for c in cols}
+    values = df.select(*[F.when(~F.isnan(d), d).alias(c) for c, d in doubles.items()])      # NaN is no value
     first: _Sketch | None = None
     if counts is None:
         counts, first = _count_and_sketch(values, cols, probs)
@@ -137,6 +139,8 @@ def order_statistics(
             r.settle()
         missed = [r for r in open_ranks if not r.held()]
         for r in missed:
+            if r.stretch > WIDEST:
+                raise ValueError(f"no bracket holds rank {r.rank} of {r.column}: does the column hold NaN or a wrong count?")
             r.stretch *= 4
         wide = [r for r in open_ranks if r.held() and r.value is None and r.between > max_inside]
         ready = [r for r in open_ranks if r.held() and r.value is None and r.between <= max_inside]

@@ -44,12 +44,15 @@ class Scaler:
         """One scan. A constant column gets width 1, so it scales to 0; a column of nulls is left alone."""
         cols = ColumnRoles.of(df).without(self.exclude).numeric
         low, high = ("mean", "std_pop") if self.strategy == "standard" else ("min", "max")
-        got = numeric_summary(df, cols, (low, high))
+        got = numeric_summary(df, cols, tuple(dict.fromkeys((low, high, "min", "max"))))
         fitted = {}
         for c in cols:
             offset, edge = got[c][low], got[c][high]
             if offset is None:
                 continue
+            if got[c]["min"] == got[c]["max"]:                 # exactly 0 after scaling
+                fitted[c] = (float(got[c]["min"]), 1.0)
+                continue
             width = edge if self.strategy == "standard" else edge - offset
             fitted[c] = (float(offset), float(width) or 1.0)
         return ScalerModel(self.strategy, fitted)

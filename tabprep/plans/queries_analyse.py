@@ -17,7 +17,7 @@ from tabprep.operators.split import assign_folds, fold_sizes, split_exact, split
 from tabprep.operators.tune import Space, median_prune, refit_best, search_forest
 from tabprep.plans.explore import explore_long
 from tabprep.plans.registry import (
-    DIRTY_CUSTOMER_SPARK, DIRTY_CUSTOMER_SQL, DIRTY_LINEITEM, DIRTY_LINEITEM_SQL, hash_sql, query, rounded, spread, table,
+    DIRTY_CUSTOMER_SPARK, DIRTY_CUSTOMER_SQL, DIRTY_LINEITEM, DIRTY_LINEITEM_SQL, hash_sql, query, rounded, bagged, table,
     view,
 )
 from tabprep.plans.training import RegressionFlow
@@ -442,7 +442,7 @@ FOREST_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 
 @query("rf_fit_predict")
 def rf_fit_predict(spark, sf_dir):
-    lines = spread(table(spark, sf_dir, "lineitem").select(*LINE_KEY, *FOREST_FEATURES, LABEL))
+    lines = bagged(table(spark, sf_dir, "lineitem").select(*LINE_KEY, *FOREST_FEATURES, LABEL), *LINE_KEY)
     train, test = split_hash(lines, LINE_KEY)
     model = fit_forest(assemble(train, FOREST_FEATURES, [LABEL]), LABEL, ForestParams(10, 5, 1, 1.0))
     scored = model.transform(assemble(test, FOREST_FEATURES, [*LINE_KEY, LABEL]))
@@ -453,7 +453,7 @@ SMALL_SPACE = Space(trees=(2, 8, 2), max_depth=(2, 5), min_leaf=(1, 10), feature
 
 
 def _search(spark, sf_dir):
-    lines = spread(table(spark, sf_dir, "lineitem").select(*LINE_KEY, *FOREST_FEATURES, LABEL))
+    lines = bagged(table(spark, sf_dir, "lineitem").select(*LINE_KEY, *FOREST_FEATURES, LABEL), *LINE_KEY)
     return lines, search_forest(
         lines, LABEL, FOREST_FEATURES, LINE_KEY, trials=4, folds=3, parallelism=2, space=SMALL_SPACE, startup=2)
 

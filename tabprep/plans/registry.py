@@ -29,13 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a file scan with fewer splits than cores one partition per core, ahead of work that is slow per row.
+FOREST_PARTS = 32
 
-    Tables of any size have more splits than that and are left as they are.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+def bagged(lines: DataFrame, *key: str) -> DataFrame:
+    """Rows in a fixed number of parts and in a fixed order: forests draw their bags part by part, so the answer must
+    not depend on cores or file splits."""
+    return lines.repartition(FOREST_PARTS, *key).sortWithinPartitions(*lines.columns)
 
 
 def rounded(df: DataFrame, digits: Mapping[str, int] | int, cols: list[str] | None = None) -> DataFrame:
@@ -58,14 +58,14 @@ DIRTY_LINEITEM_SQL = "(select " + ", ".join(DIRTY_LINEITEM) + " from lineitem) t
 DIRTY_TEXT = [
     "o_orderkey", "o_orderstatus",
     "case when o_orderkey % 13 = 0 then '<1' when o_orderkey % 17 = 0 then 'N/A' when o_orderkey % 7 = 0 then '1d' "
-    "when o_orderkey % 19 = 0 then '1_000' when o_orderkey % 23 = 0 then '-2.5e3' "
+    "when o_orderkey % 29 = 0 then concat(chr(9), '5', chr(10)) when o_orderkey % 19 = 0 then '1_000' when o_orderkey % 23 = 0 then '-2.5e3' "
     "else concat(' ', cast(o_orderkey as {text}), ',000 ') end as amount",
 ]
 DIRTY_TEXT_SPARK = [e.replace("{text}", "string") for e in DIRTY_TEXT]
 DIRTY_TEXT_SQL = "(select " + ", ".join(DIRTY_TEXT).replace("{text}", "varchar") + " from orders) t"
 NUMBER_SQL = (
-    "case when regexp_matches(trim(replace(amount, ',', '')), '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$') "
-    "then cast(trim(replace(amount, ',', '')) as double) end"
+    "case when regexp_matches(regexp_replace(replace(amount, ',', ''), '^\\s+|\\s+$', '', 'g'), '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$') "
+    "then cast(regexp_replace(replace(amount, ',', ''), '^\\s+|\\s+$', '', 'g') as double) end"
 )
 
 DIRTY_DATES = "o_orderkey", "o_orderstatus", "case when o_orderkey % 10 = 0 then 'x' else {day} end as day"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.names import standardize_names, unique_names
-from tabprep.functions.text import NUMBER_PATTERN, missing_to_null, nan_to_null
+from tabprep.functions.text import NUMBER_PATTERN, missing_to_null, nan_to_null, strip
 from tabprep.operators.roles import ColumnRoles, coerce_numeric, detect_roles
 from tabprep.operators.stats import col, one_row
 
@@ -61,16 +61,16 @@ def infer_types(df: DataFrame) -> DataFrame:
     for c in ColumnRoles.of(df).categorical:
         exprs[c, "values"] = F.count(col(c))
         exprs[c, "whole"] = F.count_if(col(c).rlike(WHOLE_PATTERN))
-        exprs[c, "number"] = F.count_if(F.trim(col(c)).rlike(NUMBER_PATTERN))
+        exprs[c, "number"] = F.count_if(strip(col(c)).rlike(NUMBER_PATTERN))
         exprs[c, "boolean"] = F.count_if(col(c).isin(TRUE_TEXTS + FALSE_TEXTS))
     got = one_row(df, exprs)
     changed = {}
     for c in ColumnRoles.of(df).categorical:
         values = got[c, "values"]
         if values and got[c, "whole"] == values:
-            changed[c] = F.trim(col(c)).try_cast("bigint")
+            changed[c] = strip(col(c)).try_cast("bigint")
         elif got[c, "number"] == values:
-            changed[c] = F.trim(col(c)).try_cast("double")
+            changed[c] = strip(col(c)).try_cast("double")
         elif got[c, "boolean"] == values:
             changed[c] = col(c).isin(TRUE_TEXTS)
     return df.withColumns(changed) if changed else df
