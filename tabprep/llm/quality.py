@@ -117,8 +117,10 @@ def judge(docs: DataFrame, references: DataFrame | None = None) -> DataFrame:
     known = checkpointed(profiles(kept)) if references is None else references
     text = body()
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
+    # a generated row: were these plain columns, a later filter would repeat the split for every word of the text
+    pieces = F.inline_outer(F.array(F.struct(words(text).alias("__words"), lines.alias("__lines"))))
     counted = (
-        kept.withColumns({"__words": words(text), "__lines": lines})
+        kept.select(*[name(c) for c in kept.columns], pieces)
         .withColumn("__classes", _class_counts(text, _spaces(text, F.col("__words"))))
         .withColumns({
             "n_words": F.size("__words").cast("bigint"), "__chars": F.aggregate("__classes", F.lit(0), lambda a, b: a + b),
