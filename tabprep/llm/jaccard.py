@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import checkpointed, name
+from tabprep.llm.common import name, written
 from tabprep.llm.components import components
 
 FRAGMENTS = 8                            # in which overlaps are counted
@@ -133,6 +133,12 @@ def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
             .dropDuplicates(["u", "v", "fragment"]).groupBy("u", "v").agg(F.sum("partial").alias("common")))
 
 
+def _only(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The documents with a wanted key, the null key included."""
+    few = wanted.count() <= BROADCAST_KEYS
+    return docs.join(F.broadcast(wanted) if few else wanted, name(key).eqNullSafe(F.col("__first")), "left_semi")
+
+
 def _heads(links: DataFrame, weight: DataFrame) -> DataFrame:
     """Per node the one with the most shared keys among it and those it links with. Equal heads mean connected."""
     both = links.union(links.select("v", "u")).withColumnRenamed("u", "node")
@@ -155,26 +161,23 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     each gets a row, and they are one document if their texts agree. A null key is allowed and is no least key.
     The table may be empty. Only the key and ``text`` are read.
     """
-    light = checkpointed(_sets(docs, key, size, percent, "sizes"))
+    light = written(_sets(docs, key, size, percent, "sizes"))
     nodes = light.filter("n > 0").groupBy("node").agg(F.min("key").alias("first"), F.first("n").alias("n"))
-    listed = (
-        _sets(docs, key, size, percent, "keys").filter("n > 0")
-        .select("node", F.explode("list").alias("at")))
-    shared = listed.groupBy("at").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select(F.col("at").alias("__at"))
-    shared = checkpointed(shared)
+    reps = _only(docs, key, nodes.select(F.col("first").alias("__first")))
+    listed = _sets(reps, key, size, percent, "keys").filter("n > 0").select("node", F.explode("list").alias("at"))
+    shared = listed.groupBy("at").agg(F.count("*").alias("__n")).filter("__n > 1").select(F.col("at").alias("__at"))
+    shared = written(shared)
     small = shared.count() <= BROADCAST_KEYS
-    members = checkpointed(
+    members = written(
         listed.join(F.broadcast(shared) if small else shared, F.col("at") == F.col("__at")).select("at", "node").distinct())
     weight = members.groupBy("node").agg(F.count("*").alias("w")).join(nodes, "node")
-    weight = checkpointed(weight.select("node", "w", "n", "first"))
-    wanted = weight.select(F.col("first").alias("__first"))
-    few = weight.count() <= BROADCAST_KEYS
-    texts = docs.join(F.broadcast(wanted) if few else wanted, name(key) == F.col("__first"), "left_semi")
-    parts = checkpointed(
+    weight = written(weight.select("node", "w", "n", "first"))
+    texts = _only(docs, key, weight.select(F.col("first").alias("__first")))
+    parts = written(
         _sets(texts, key, size, percent, "tokens")
         .select("node", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "list")
         .select("node", "fragment", F.filter("list", lambda t: F.pmod(F.shiftrightunsigned(t, 61), F.lit(FRAGMENTS)) == F.col("fragment")).alias("tokens")))
-    members = checkpointed(members.join(weight.select("node", "w", "n"), "node"))
+    members = written(members.join(weight.select("node", "w", "n"), "node"))
 
     roots = weight.select("node", F.col("node").alias("root"))
     links = tried = None
@@ -194,7 +197,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
             F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"), (F.col("n") + F.col("m")).alias("both")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = checkpointed(pairs)
+        pairs = written(pairs)
         if pairs.isEmpty():
             if turn < STAR_ROUNDS:
                 continue
@@ -203,12 +206,12 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
         new = _overlaps(pairs, parts).join(pairs, ["u", "v"]).filter(
             F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent).select("u", "v")
         links = new if links is None else links.union(new)
-        links = checkpointed(links)
+        links = written(links)
         if turn < STAR_ROUNDS:
-            roots = checkpointed(_heads(links, weight))
+            roots = written(_heads(links, weight))
     if links is not None:
         merged = components(links)
-        roots = checkpointed(weight.select("node").join(merged, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+        roots = written(weight.select("node").join(merged, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
     least = weight.join(roots, "node").groupBy("root").agg(F.min("first").alias("component"))
     placed = roots.join(least, "root").select("node", "component")
     by_node = nodes.join(placed, "node", "left").select(F.col("node").alias("__node"), F.coalesce("component", "first").alias("component"))
