@@ -120,20 +120,25 @@ class OneHotEncoderModel:
 @dataclass(frozen=True)
 class OneHotEncoder:
     columns: Sequence[str] | None = None
-    max_dummies: int = MAX_DUMMIES
+    max_dummies: int | None = MAX_DUMMIES
 
     def fit(self, df: DataFrame) -> OneHotEncoderModel:
-        """Collect the distinct values; a column with more than ``max_dummies`` of them is an error."""
+        """Collect the distinct values, one per column of the result.
+
+        A column with more than ``max_dummies`` of them is an error; None sets no limit.
+        """
         columns = tuple(self.columns or ColumnRoles.of(df).categorical)
         if not columns:
             return OneHotEncoderModel({})
-        seen = value_counts(df, columns).select("column", "value").take(self.max_dummies * len(columns) + 1)
+        found = value_counts(df, columns).select("column", "value")
+        most = self.max_dummies
+        seen = found.collect() if most is None else found.take(most * len(columns) + 1)
         values: dict[str, list[str]] = {c: [] for c in columns}
         for column, value in seen:
             values[column].append(value)
-        wide = [c for c in columns if len(values[c]) > self.max_dummies]
-        if wide or len(seen) > self.max_dummies * len(columns):
-            raise ValueError(f"too many distinct values to one-hot encode: {wide or columns}")
+        wide = [] if most is None else [c for c in columns if len(values[c]) > most]
+        if wide:
+            raise ValueError(f"too many distinct values to one-hot encode: {wide}")
         return OneHotEncoderModel({c: sorted(values[c]) for c in columns})
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
