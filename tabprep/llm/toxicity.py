@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 from tabprep.llm.common import BROADCAST_BYTES, name
 
 MAX_LABELLED = 20_000                    # labelled documents that fit the lexicon and the weights, drawn by hash
-MAX_TERMS, MAX_FUZZY = 2_000, 60         # learnt terms, and those of them that may be misspelled
+MAX_TERMS = 2_000                        # learnt terms
 MIN_STEM, MAX_STEM = 4, 12               # letters of a learnt stem
 MIN_FUZZY = 5                            # letters of a term that may be misspelled by one edit; twice that by two
+LONG_HEAD = 2 * MIN_FUZZY - 2            # letters that a misspelling by two edits has at least
 CONTEXT = 60                             # characters on either side of a hit
 CACHE_WORDS = 500_000
 WORD = re.compile(r"[^\W_]+")
@@ -24,30 +26,32 @@ SEED_TERMS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic",
 QUOTES = "\"'“”„‚‘’«»‹›"
 SAYING = re.compile(r"\b(said|says|wrote|called|quote[sd]?|word|term|sagte|schrieb|nannte|wort|dit|écrit|appelé|mot|dijo|escribió|llamó|palabra)\b")
 ADDRESS = re.compile(r"\b(you|your|you're|du|dich|dein|ihr|tu|toi|vous|votre|usted|eres|tú)\b")
-N_FEATURES = 8
+N_FEATURES = 10
 
 
 class Trie:
-    """Terms and stems as nested dicts. ``search`` runs the Levenshtein automaton of a word along the trie: a path is
-    followed only while some state is within the allowed edits."""
+    """Terms and stems as nested dicts. ``search`` runs the Levenshtein automaton of a word along the branches that share
+    a shortened head with it, and follows them only while some state is within the allowed edits.
+
+    With k edits, swaps of neighbours included, each edit costs at most one common letter of the first letters of a
+    term and of a word: both heads are equal after exactly k letters are taken out of each. So no term and no stem
+    within reach is passed over. Heads have all letters of a term of one edit, and 8 of one of two.
+    """
 
     def __init__(self, terms: dict[str, float]):
-        self.terms, self.root = terms, {}
+        self.terms, self.root, self.longest = terms, {}, 0
+        self.heads: tuple[dict[str, list], dict[str, list]] = ({}, {})       # of one edit and of two
         for term, weight in terms.items():
+            letters, end = term.rstrip("*"), "*" if term.endswith("*") else ""
             node = self.root
-            for letter in term.rstrip("*"):
-                node = node.setdefault(letter, {})
-            node["*" if term.endswith("*") else ""] = weight
-        self.close = {}
-        whole = [t for t in terms if not t.endswith("*") and len(t) >= MIN_FUZZY][:MAX_FUZZY]
-        for term in whole:
-            node = self.close
-            for letter in term:
+            for letter in letters:
                 node = node.setdefault(letter, {})
-            node[""] = terms[term]
-        self.heads = {t[:len(t) // 2] for t in whole} | {t[:len(t) // 3] for t in whole if len(t) >= 2 * MIN_FUZZY}
-        self.tails = {t[len(t) // 2:] for t in whole} | {t[-(len(t) // 3):] for t in whole if len(t) >= 2 * MIN_FUZZY}
-        self.cuts = sorted({len(h) for h in self.heads}), sorted({len(t) for t in self.tails})
+            node[end] = weight
+            if len(letters) >= MIN_FUZZY:
+                self.longest = max(self.longest, len(letters))
+                k = _edits(len(letters))
+                for rest in _without(letters if k == 1 else letters[:LONG_HEAD], k):
+                    self.heads[k - 1].setdefault(rest, []).append((letters, end, weight))
 
     def exact(self, word: str) -> float | None:
         """The largest weight of the word itself or of a stem it begins with."""
@@ -62,34 +66,70 @@ class Trie:
             best = node[""]
         return best
 
+    def near(self, word: str) -> set[tuple[str, str, float]]:
+        """Terms and stems that share a shortened head with the word: all within reach, and some others."""
+        found, (one, two) = [], self.heads
+        for n in range(MIN_FUZZY, min(len(word) + 1, 2 * MIN_FUZZY - 1) + 1):
+            if len(word) < n:
+                found += one.get(word, ())
+                break
+            for i in range(n):
+                found += one.get(word[:i] + word[i + 1:n], ())
+        if len(word) >= LONG_HEAD:
+            for i in range(LONG_HEAD):
+                rest = word[:i] + word[i + 1:LONG_HEAD]
+                for j in range(i, LONG_HEAD - 1):
+                    found += two.get(rest[:j] + rest[j + 1:], ())
+        return set(found)
+
     def search(self, word: str) -> float | None:
-        """The largest weight of a term within one edit, or two for long terms; a misspelling counts less."""
-        if len(word) < MIN_FUZZY - 1 or not (
-                any(word[:k] in self.heads for k in self.cuts[0]) or any(word[-k:] in self.tails for k in self.cuts[1])):
-            return None                          # one edit leaves a half whole, two leave the first or last third
-        most = 2 if len(word) >= 2 * MIN_FUZZY - 1 else 1
-        best = None
-        stack = [(self.close, 0, list(range(len(word) + 1)), None, "")]
-        while stack:
-            node, depth, row, before, last = stack.pop()
-            allowed = 2 if depth >= 2 * MIN_FUZZY else 1
-            if "" in node and depth >= MIN_FUZZY and row[-1] <= allowed:
-                weight = node[""] * (0.8 if row[-1] == 1 else 0.6)
-                best = weight if best is None else max(best, weight)
-            for letter, child in node.items():
-                if not letter:
-                    continue
-                new = [row[0] + 1]
-                for i, own in enumerate(word):
-                    value = min(new[i] + 1, row[i + 1] + 1, row[i] + (own != letter))
-                    if before is not None and i and own == last and word[i - 1] == letter:
-                        value = min(value, before[i - 1] + 1)          # two letters swapped
-                    new.append(value)
-                if min(new) <= most:
-                    stack.append((child, depth + 1, new, row, letter))
+        """The largest weight of a term, or of a stem of a beginning of the word, within one edit, or two for long
+        ones; a misspelling counts less."""
+        near = self.near(word)
+        if not near:
+            return None
+        at: dict[str, int] = {}
+        for i, letter in enumerate(word[:self.longest + 3]):
+            at[letter] = at.get(letter, 0) | 1 << i
+        whole, best = 1 << len(word), None
+        for letters, end, weight in sorted(near, key=lambda t: -t[2]):
+            if best is not None and weight <= best:
+                break
+            k = _edits(len(letters))
+            if not end and abs(len(word) - len(letters)) > k:
+                continue
+            # bit i of a number: i letters of the word are read, with no edit, one and two
+            zero, one, two, last, zero_before, one_before = 1, 3, 7 * (k == 2), 0, 0, 0
+            for letter in letters:
+                own = at.get(letter, 0)
+                swap = own & last >> 1
+                new = (zero & own) << 1
+                new_one = (one & own) << 1 | zero | (zero | new) << 1 | (zero_before & swap) << 2
+                if k == 2:
+                    two = (two & own) << 1 | one | (one | new_one) << 1 | (one_before & swap) << 2
+                zero_before, one_before, zero, one, last = zero, one, new, new_one, own
+                if not (two if k == 2 else one):
+                    break
+            reached = whole if not end else (2 << len(word)) - 1
+            for states, share in ((zero, 1.0), (one, 0.8), (two, 0.6)):
+                if states & reached:
+                    best = weight * share if best is None else max(best, weight * share)
+                    break
         return best
 
 
+def _edits(length: int) -> int:
+    return 2 if length >= 2 * MIN_FUZZY else 1
+
+
+def _without(word: str, k: int) -> set[str]:
+    """The word with ``k`` of its letters taken out."""
+    out = {word}
+    for _ in range(k):
+        out = {w[:i] + w[i + 1:] for w in out for i in range(len(w))}
+    return out
+
+
 class _Weights(dict):
     """(weight, misspelled) of words; None for words that match nothing."""
 
@@ -108,6 +148,12 @@ class _Weights(dict):
         return out
 
 
+@lru_cache(maxsize=1)
+def _weights(terms: tuple[tuple[str, float], ...]) -> _Weights:
+    """Kept by a worker from task to task."""
+    return _Weights(Trie(dict(terms)))
+
+
 def features(text: str | None, weights: _Weights) -> np.ndarray:
     """What the hits of a text say, those inside quotations told apart from the others."""
     out = np.zeros(N_FEATURES)
@@ -116,7 +162,7 @@ def features(text: str | None, weights: _Weights) -> np.ndarray:
     words = WORD.findall(low)
     if not words or not any(weights[w] for w in set(words)):
         return out
-    direct, quoted, fuzzy, best, near, kinds = 0.0, 0.0, 0.0, 0.0, 0.0, set()
+    direct, quoted, fuzzy, best, closest, near, kinds = 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, set()
     for match in WORD.finditer(low):
         hit = weights[match[0]]
         if hit is None:
@@ -126,14 +172,18 @@ def features(text: str | None, weights: _Weights) -> np.ndarray:
         in_quotes = any(q in before for q in QUOTES) and any(q in after for q in QUOTES)
         if in_quotes or SAYING.search(before[-30:]):
             quoted += weight
+        elif misspelled:                         # apart, since plain words of other meaning may be as close
+            fuzzy += weight
+            closest = max(closest, weight)
         else:
             direct += weight
             best = max(best, weight)
-        fuzzy += weight * misspelled
-        near += weight * bool(ADDRESS.search(before) or ADDRESS.search(after))
-        kinds.add(match[0])
+        if not misspelled:
+            near += weight * bool(ADDRESS.search(before) or ADDRESS.search(after))
+            kinds.add(match[0])
     n = len(words)
-    out[1:] = np.log1p(direct), best, np.log1p(len(kinds)), direct / np.sqrt(n), np.log1p(quoted), np.log1p(fuzzy), np.log1p(near)
+    out[1:] = (np.log1p(direct), best, np.log1p(len(kinds)), direct / np.sqrt(n), np.log1p(quoted), np.log1p(fuzzy), np.log1p(near),
+               fuzzy / np.sqrt(n), closest)
     return out
 
 
@@ -189,10 +239,10 @@ class Detector:
         return cls(terms, model)
 
     def _featured(self):
-        terms = self.terms
+        terms = tuple(self.terms.items())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            weights = _Weights(Trie(terms))
+            weights = _weights(terms)
             for batch in batches:
                 rows = [features(t, weights).tolist() for t in batch.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.list_(pa.float64()))], ["label", "f"])
@@ -201,10 +251,10 @@ class Detector:
 
     def score(self, docs: DataFrame, fields: str) -> DataFrame:
         """Add ``score``, 0 to 1, to rows with a text; ``fields`` names the other columns."""
-        terms, model = self.terms, self.model
+        terms, model = tuple(self.terms.items()), self.model
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            weights = _Weights(Trie(terms))
+            weights = _weights(terms)
             for batch in batches:
                 x = [float(features(t, weights) @ model) for t in batch.column("text").to_pylist()]
                 p = 1 / (1 + np.exp(-np.clip(np.array(x, float), -30, 30)))
@@ -218,8 +268,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", held
 
     Labels are learnt only from keys whose crc32 is not divisible by ``held_out``, and from about ``max_labelled`` of
     those, drawn by a hash of the key; nothing but the text is scored. Terms match exactly, as stems, or misspelled
-    by one edit (two for ten letters and more). Hits inside quotation marks or after a verb of saying are summed
-    apart from direct ones, and the logistic model weighs the two.
+    by one edit (two for ten letters and more), and so do stems: all of those with five letters or more. Hits inside quotation marks or after a verb of saying are summed
+    apart from direct ones, and misspelt ones apart from both; the logistic model weighs them.
 
     Null and empty texts have no hits and score like any document without; null labels are left out, a key with
     several labels is toxic if one says so; rows that repeat a key are scored one by one; without labels of both

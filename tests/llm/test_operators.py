@@ -171,6 +171,29 @@ def test_trie_search_and_toxicity(spark, odd):
     assert 0 <= score_toxicity(odd, labels.limit(0)).agg(F.min("score")).first()[0] <= 1
 
 
+def edits(text, letters="xz"):
+    """All strings that are one edit away, swaps of neighbours included."""
+    cut = [(text[:i], text[i:]) for i in range(len(text) + 1)]
+    return ({a + b[1:] for a, b in cut if b} | {a + x + b for a, b in cut for x in letters} | {a + x + b[1:] for a, b in cut if b for x in letters}
+            | {a + b[1] + b[0] + b[2:] for a, b in cut if len(b) > 1}) - {text}
+
+
+def test_every_edit_of_every_term_and_stem_is_found():
+    rng = random.Random(5)
+    terms = {"".join(rng.choices("abcdefghijk", k=5 + i % 9)): 1.0 + i / 100 for i in range(120)}
+    stems = {"".join(rng.choices("lmnopqrs", k=5 + i % 8)) + "*": 1.0 for i in range(40)}
+    trie = Trie(terms | stems)
+    for term in terms:
+        assert all(trie.search(word) is not None for word in edits(term)), term
+    for stem in stems:
+        assert all(trie.search(word + "tttt") is not None for word in edits(stem[:-1])), stem
+    for term in [t for t in terms if len(t) >= 10][:8]:
+        for head in sorted(edits(term[:5])):
+            assert all(trie.search(head + tail) is not None for tail in edits(term[5:])), (term, head)
+    seed = Trie({"worthless": 3.0, "disgusting": 3.0})
+    assert seed.search("wortlhess") and seed.search("xisgustinx") and seed.search("isgustin") and seed.search("wxorthlxess") is None
+
+
 def test_page_text_and_tree_matching():
     page = ("<html><body><nav>menu</nav><div class='ad'>buy</div><article><h1>Title &amp; more</h1><p>one<br>two <b>three"
             "<p>four<script>x='</p>'</script><div class='comments'>no</div></article><footer>f</footer></body>")
