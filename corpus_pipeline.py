@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import BROADCAST_BYTES, body, words
+from tabprep.llm.common import BROADCAST_BYTES, body, name, words
 from tabprep.llm.decontaminate import contamination
 from tabprep.llm.jaccard import jaccard_classes
-from tabprep.llm.mix import emit, mix
+from tabprep.llm.mix import mix
 from tabprep.llm.quality import judge
 from tabprep.llm.queries import sharded, table
 from tabprep.session import shared_dir
@@ -23,15 +23,33 @@ def _small(ids: DataFrame, row_bytes: int = 64) -> DataFrame:
     return F.broadcast(ids) if ids.count() * row_bytes <= BROADCAST_BYTES else ids
 
 
+def _identified(docs: DataFrame) -> DataFrame:
+    """With two hashes of the whole row: equal rows, which alone share them, stand for each other."""
+    every = [name(c) for c in docs.columns] + [name(c).isNull() for c in docs.columns]        # a hash passes over nulls
+    return docs.withColumns({"__a": F.xxhash64(F.lit(1), *every), "__b": F.xxhash64(F.lit(2), *every)})
+
+
+def _once(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One row of each group of equal ones; only rows of the ``repeated`` hashes are moved."""
+    repeated = _small(repeated.persist())
+    alone = rows.join(repeated, ["__a", "__b"], "left_anti")
+    return alone.unionByName(rows.join(repeated, ["__a", "__b"], "left_semi").dropDuplicates(["__a", "__b"]))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and lie near the profile of their language."""
     return judge(docs).filter("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every group that is linked by 0.8 or more of its 5-word shingles."""
-    copies = jaccard_classes(docs).filter("component_id < doc_id").select("doc_id")
-    return docs.join(_small(copies.persist()), "doc_id", "left_anti").select(*docs.columns)
+    """One document of every group that is linked by 0.8 or more of its 5-word shingles: that with the least id, null
+    being the largest, and of several rows with this id one by hash."""
+    rows = _identified(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "__a", "__b")
+    classes = jaccard_classes(rows.select(key.alias("__key"), "text"), "__key").persist()
+    copies = classes.filter("component_id < __key").select("__key.__a", "__key.__b").distinct()
+    repeated = classes.filter("n_shingles > 0").groupBy("__key.__a", "__key.__b").count().filter("count > 1").drop("count")
+    return _once(rows.join(_small(copies.persist()), ["__a", "__b"], "left_anti"), repeated).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +58,14 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them."""
-    sized = docs.select("doc_id", "source", F.size(words(body())).cast("bigint").alias("size"))
-    copies = emit(mix(sized)).select(F.col("doc_id").alias("__id"))
-    return docs.join(_small(copies.persist()), F.col("doc_id") == F.col("__id")).select(*docs.columns)
+    """The documents as often as the mix takes them. Equal rows are counted together, and one of them is repeated."""
+    rows = _identified(docs)
+    sized = rows.select("doc_id", "source", F.size(words(body())).cast("bigint").alias("size"), "__a", "__b")
+    taken = mix(sized, keep=("__a", "__b")).groupBy("__a", "__b").agg(
+        F.count("*").alias("__rows"), F.sum(F.size("shards")).alias("__copies")).filter("__copies > 0").persist()
+    once = _once(rows, taken.filter("__rows > 1").select("__a", "__b"))
+    copied = once.join(_small(taken.drop("__rows")), ["__a", "__b"])
+    return copied.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[name(c) for c in docs.columns])
 
 
 def exact_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ def source_targets(rows: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int
 
 def mix(
     docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, n_shards: int = 8, seed: int = 23,
-    block_rows: int = 64, max_blocks: int = 4096,
+    block_rows: int = 64, max_blocks: int = 4096, keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document with ``source_size``, ``target`` and ``shards``: the output shard of each of its copies.
 
@@ -53,13 +53,13 @@ def mix(
     the permuted blocks of the source are then dealt out along these numbers, so no block serves twice. Sources
     beyond 256 share their draw with others, and the permutation of their blocks makes the rest of it.
 
-    The same rows give the same mix. Null sources are one source, null sizes count as 0 and are never taken,
+    The same rows give the same mix; columns in ``keep`` are carried along and break ties. Null sources are one source, null sizes count as 0 and are never taken,
     repeated rows are taken one by one, and an empty table gives an empty table.
     """
     spark = docs.sparkSession
     rows = checkpointed(docs.select(
         "doc_id", "source", F.coalesce(F.col("size"), F.lit(0)).cast("bigint").alias("size"),
-        F.xxhash64(F.lit(seed), "doc_id", "size").alias("__hash")))
+        F.xxhash64(F.lit(seed), "doc_id", "size").alias("__hash"), *[name(c) for c in keep]))
     sources = source_targets(rows, weights, cap)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
     sources = checkpointed(sources.withColumn("whole", whole).select(
@@ -95,8 +95,8 @@ def mix(
         F.col("b.source").alias("__source"), F.col("b.block").alias("__block"), "room", F.col("d.dealt.shard").alias("dealt"))
 
     block = Window.partitionBy("source", "block")
-    at_random = block.orderBy(F.xxhash64(F.lit(seed + 4), "__hash"), "doc_id", "size")
-    small_first = block.orderBy("__fits", "size", F.xxhash64(F.lit(seed + 4), "__hash"), "doc_id")
+    at_random = block.orderBy(F.xxhash64(F.lit(seed + 4), "__hash"), "doc_id", "size", *[name(c) for c in keep])
+    small_first = block.orderBy("__fits", "size", F.xxhash64(F.lit(seed + 4), "__hash"), "doc_id", *[name(c) for c in keep])
     running = Window.unboundedPreceding, Window.currentRow
     same = F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block"))
     reached = (
@@ -108,7 +108,7 @@ def mix(
     extra = (F.col("__fits") | nearer).cast("int")
     copies = F.when(F.col("size") > 0, F.least(F.col("whole") + extra, F.size("dealt"))).otherwise(F.lit(0))
     shards = F.slice(F.coalesce("dealt", F.array().cast("array<int>")), F.lit(1), F.greatest(copies, F.lit(0)))
-    return reached.select("doc_id", "source", "size", "source_size", "target", shards.alias("shards"))
+    return reached.select("doc_id", "source", "size", "source_size", "target", *[name(c) for c in keep], shards.alias("shards"))
 
 
 def emit(mixed: DataFrame, seed: int = 29) -> DataFrame:
