@@ -18,6 +18,7 @@ from tabprep.llm.quality import COMMON, judge
 from tabprep.llm.suffixes import remove_repeats
 from tabprep.llm.toxicity import score_toxicity
 from tabprep.llm.shard import shard
+from tabprep.llm.whiten import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +136,11 @@ def op7(spark, sf_dir):
     counts = [F.size(F.array_remove(F.col("base.kind"), k)) for k in KINDS]
     counts = [(F.size("base") - n).cast("bigint").alias(f"n_{k}") for n, k in zip(counts, KINDS)]
     return found.select("doc_id", *counts, F.sha2(joined_spans("base"), 256).alias("base_sha256"), joined_spans("spans").alias("spans"))
+
+
+@query("op11_refined_whitening")
+def op11(spark, sf_dir):
+    found = whiten(table(spark, sf_dir, "embeddings"))
+    entries = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "entry")
+    return found.select("vec_id", "n", "deviation", "identity_error", entries).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "entry.whitened", "entry.explained", "identity_error")
