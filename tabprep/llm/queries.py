@@ -11,10 +11,12 @@ from tabprep.llm.common import body, words
 from tabprep.llm.decontaminate import contamination
 from tabprep.llm.html_extract import extract_text
 from tabprep.llm.jaccard import jaccard_classes
+from tabprep.llm.language_id import identify
 from tabprep.llm.language_model import score_texts
 from tabprep.llm.mix import mix
 from tabprep.llm.pii import KINDS, find_spans
 from tabprep.llm.quality import COMMON, judge
+from tabprep.llm.spelling import variant_groups
 from tabprep.llm.suffixes import remove_repeats
 from tabprep.llm.toxicity import score_toxicity
 from tabprep.llm.shard import shard
@@ -144,3 +146,42 @@ def op11(spark, sf_dir):
     entries = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "entry")
     return found.select("vec_id", "n", "deviation", "identity_error", entries).select(
         "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "entry.whitened", "entry.explained", "identity_error")
+
+
+@query("op13_leader_languages")
+def op13(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+OP12_SQL = """
+with runs as (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) as r from documents),
+t as (select coalesce(cast(doc_id as varchar), '') || ':' as id,
+             translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as r, count(*) as n
+      from runs where length(r) >= 7 group by all),
+c as (select r, n, xor(4294967295, list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(1, strlen(id || r) + 1),
+            lambda i: cast('0x' || substr(hex(encode(id || r)), 2 * i - 1, 2) as bigint))),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), range(0, 8)),
+            lambda x, k: xor(x >> 1, case when x % 2 = 1 then 3988292384::bigint else 0 end)))) as h from t),
+d as (select n, case when h % 31 = 0
+        then left(r, cast(h % length(r) as int)) || substr(r, cast(h % length(r) as int) + 2) else r end as word from c),
+v as (select word, cast(sum(n) as bigint) as n from d where length(word) >= 7 group by word having sum(n) >= 2),
+cut as (select word, i, left(word, i - 1) || substr(word, i + 1) as rest from v, unnest(range(1, length(word) + 1)) u(i)),
+p as (select a.word, b.word as other from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+      union select c.word, v.word from cut c join v on c.rest = v.word
+      union select v.word, c.word from cut c join v on c.rest = v.word),
+best as (select p.word, cast(count(*) as bigint) as n_near, arg_min(struct_pack(w := other, n := o.n), (-o.n, encode(other))) as top
+         from p join v o on o.word = p.other group by p.word),
+f as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when top.n >= 10 * v.n then top.w end as form,
+             case when top.n >= 10 * v.n then top.n end as form_n
+      from v left join best using (word)),
+chain as (with recursive x as (select word, word as now, 0 as step from f
+          union all select x.word, f.form, step + 1 from x join f on f.word = x.now where f.form is not null)
+          select word, arg_max(now, step) as root from x group by word)
+select word, form, root, n, n_near, form_n from f join chain using (word)"""
+
+
+@query("op12_reduced_neighbourhoods", OP12_SQL)
+def op12(spark, sf_dir):
+    return variant_groups(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "word", "form", "root", "n", "n_near", "form_n")
