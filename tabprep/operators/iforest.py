@@ -138,7 +138,7 @@ class IsolationForest:
         model = IsolationForestModel(tuple(cols), nodes, size, self.contamination)
         scored = df.select(model.score().alias("score")).persist(StorageLevel.MEMORY_AND_DISK)   # one double per row
         try:
-            cut = exact_quantiles(scored, ["score"], [1.0 - self.contamination], {"score": rows})
+            cut = exact_quantiles(scored, ["score"], [1.0 - self.contamination])
         finally:
             scored.unpersist()
         return IsolationForestModel(

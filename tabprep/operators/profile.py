@@ -30,7 +30,7 @@ class Facts:
     def collect(
         cls, df: DataFrame, moments: bool = True, quartiles: bool = True, quantile_method: str = "exact",
     ) -> Facts:
-        """One scan for counts and moments; the quartiles follow from the counts in a few more."""
+        """One scan for counts and moments, a few for the quartiles."""
         numeric = ColumnRoles.of(df).numeric
         exprs: dict[Any, Any] = {"rows": F.count(F.lit(1))}
         for c in df.columns:
@@ -41,7 +41,7 @@ class Facts:
                 exprs["min", c], exprs["max", c] = F.min(x), F.max(x)
         got = one_row(df, exprs)
         counts = {c: got["count", c] for c in df.columns}
-        found = quantiles(df, numeric, QUARTILES, quantile_method, {c: counts[c] for c in numeric}) if quartiles else {}
+        found = quantiles(df, numeric, QUARTILES, quantile_method) if quartiles else {}
         stats = {
             c: {"count": counts[c], **{m: got[m, c] for m in ("mean", "std", "skew", "min", "max")}}
             for c in numeric
@@ -100,7 +100,7 @@ def describe_datetimes(df: DataFrame) -> DataFrame:
     base = one_row(micros, {
         (c, m): f(col(c)) for c in cols for m, f in (("count", F.count), ("mean", F.avg), ("min", F.min), ("max", F.max))
     })
-    mid = quantiles(micros, cols, QUARTILES, counts={c: base[c, "count"] for c in cols})
+    mid = quantiles(micros, cols, QUARTILES)
 
     def whole(x: float | None) -> int | None:
         return None if x is None else round(x)

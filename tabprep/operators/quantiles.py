@@ -1,17 +1,17 @@
-"""Exact quantiles of many columns without gathering a column in one task.
+"""Exact quantiles of many columns by a radix histogram, without sorting or gathering a column.
 
-A column with few rows goes through Spark's own exact ``percentile``. For the others a sample proposes a narrow
-bracket around each wanted order statistic, one scan counts the rows below and inside every bracket, and brackets
-that still hold too many rows, ties at their ends aside, are narrowed by a fresh sample of their inside. The last scan groups only the values
-inside, so what is shuffled and sorted together is bounded. A sample never decides a result: a bracket that turns
-out not to hold its rank is widened and counted again.
+A double has a 64-bit whole number in the same order (see ``order_code``), read as four digits of 16 bits. One scan counts the rows
+of all columns by their first digit. The running counts say in which bin each wanted rank lies; the next scan counts
+the rows of those bins alone by their next digit, and so on. A bin whose least and greatest value agree, or whose first or last row
+is wanted, settles at once, so four scans are the most and two are usual. A task holds at most 65,536 counts per
+column and open bin, however many rows there are and however they are distributed.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+import struct
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -20,141 +20,141 @@ from pyspark.sql import functions as F
 
 from tabprep.operators.stats import col, one_row
 
-MAX_INSIDE = 200_000         # rows per bracket, or per small column, that may be sorted together
-SAMPLE_ROWS = 1_000_000      # rows that propose brackets; a tenth of it is enough below LARGE rows
-LARGE = 5_000_000
+DIGIT, LEVELS = 16, 4
+COLUMNS = 100                # per scan
 ACCURACY = 10_000            # percentile_approx: rank error of at most rows / ACCURACY
-THIN = 64                    # one row in so many is sketched while the rows are counted
-LADDER = (0.0005, 0.001, 0.0025, 0.005, 0.01, 0.02, 0.05)     # distances of bracket edges from the percentage
-WIDEST = 4.0 ** 40
 INF = float("inf")
+INF_CODE = 0x7FF << 52
 
 
-@dataclass
-class _Rank:
-    """One wanted order statistic of one column and the bracket it is looked for in."""
+def order_code(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns ``c0``, ``c1``, ...: per value a long in the order of the doubles, null for null and NaN.
 
-    column: str
-    rank: int
-    rows: int
-    low: float = -INF
-    high: float = INF
-    below: int = 0           # rows under the bracket
-    inside: int = 0          # rows in it, ends included
-    at_low: int = 0          # rows equal to its ends: ties there cost nothing
-    at_high: int = 0
-    stretch: int = 1
-    value: float | None = None
-
-    @property
-    def bracket(self) -> tuple[str, float, float]:
-        return self.column, self.low, self.high
-
-    def held(self) -> bool:
-        return self.below <= self.rank < self.below + self.inside
+    It is the double's bit pattern, found by exact arithmetic: the power of two below the size of the value, and the
+    quotient, which has 52 bits behind its point. Negative values count down from -1; both zeros are 0.
+    """
+    at = [f"c{i}" for i in range(len(cols))]
+    named = df.select(*[col(c).cast("double").alias(a) for c, a in zip(cols, at)])
+    guessed = named.select("*", *[
+        F.when((F.abs(a) > 0) & (F.abs(a) < INF), F.floor(F.log2(F.abs(a)))).alias(f"g{a}") for a in at])
 
-    @property
-    def between(self) -> int:
-        return self.inside - self.at_low - self.at_high
+    def power(a: str) -> Column:                       # the guess may be one off next to a power of two
+        g, size = F.col(f"g{a}"), F.abs(F.col(a))
+        two = F.pow(F.lit(2.0), g)
+        return F.greatest(F.when(two > size, g - 1).when(two * 2 <= size, g + 1).otherwise(g), F.lit(-1022))
 
-    def settle(self) -> None:
-        """Take an end of the bracket as the value if the rank lies among its ties."""
-        if self.held() and self.rank - self.below < self.at_low:
-            self.value = self.low
-        elif self.held() and self.rank - self.below >= self.inside - self.at_high:
-            self.value = self.high
+    raised = guessed.select(*at, *[power(a).alias(f"e{a}") for a in at])
 
-    def between_expr(self) -> Column:
-        c = col(self.column)
-        return F.when((c > self.low) & (c < self.high), c)
+    def code(a: str) -> Column:
+        e, size = F.col(f"e{a}"), F.abs(F.col(a))
+        bits = (e + 1022) * (1 << 52) + (size / F.pow(F.lit(2.0), e) * float(1 << 52)).cast("bigint")
+        whole = F.when(size == 0, F.lit(0)).when(size == INF, F.lit(INF_CODE)).when(e.isNotNull(), bits).cast("bigint")
+        return F.when(F.isnan(a), F.lit(None)).when(F.col(a) < 0, -1 - whole).otherwise(whole)
 
+    return raised.select(*[code(a).alias(a) for a in at])
 
-@dataclass(frozen=True)
-class _Sketch:
-    """Approximate values at the ladder of percentages around each wanted one."""
 
-    probs: tuple[float, ...]
-    edges: Mapping[str, Mapping[float, float]]
+def decoded(code: int) -> float:
+    """The double of an order code."""
+    size = struct.unpack(">d", struct.pack(">q", code if code >= 0 else -1 - code))[0]
+    return size if code >= 0 else -size
 
 
-def interpolate(low: float, high: float, weight: float) -> float:
-    """Linear interpolation measured from the nearer end."""
-    gap = high - low
-    return low + gap * weight if weight < 0.5 else high - gap * (1 - weight)
+def interpolate(low: float, high: float, at: float) -> float:
+    """The value at a place between two neighbours, in the arithmetic of ``percentile``."""
+    if low == high:
+        return low
+    return (math.ceil(at) - at) * low + (at - math.floor(at)) * high
 
 
-def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    counts: Mapping[str, int] | None = None,
-    max_inside: int = MAX_INSIDE,
-) -> dict[str, dict[float, float | None]]:
-    """Linearly interpolated quantiles ``{column: {p: value}}``; nulls are left out.
-
-    ``counts`` are the non-null rows per column, for callers that have them already.
-    """
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float | None]]:
+    """Linearly interpolated quantiles ``{column: {p: value}}``; nulls and NaN are left out, of no rows they are null."""
     probs = sorted(set(probs))
     cols = list(dict.fromkeys(cols))
-    if not cols or not probs:
-        return {c: {} for c in cols}
-    doubles = {c: col(c).cast("double") for c in cols}
-    values = df.select(*[F.when(~F.isnan(d), d).alias(c) for c, d in doubles.items()])      # NaN is no value
-    first: _Sketch | None = None
-    if counts is None:
-        counts, first = _count_and_sketch(values, cols, probs)
     out: dict[str, dict[float, float | None]] = {c: dict.fromkeys(probs) for c in cols}
-    small = [c for c in cols if 0 < counts[c] <= max_inside]
-    if small:
-        got = one_row(values, {c: F.percentile(col(c), probs) for c in small})
-        out.update({c: dict(zip(probs, got[c])) for c in small})
-    places = {
-        (c, p): p * (counts[c] - 1) for c in cols if counts[c] > max_inside for p in probs
-    }
-    if places:
-        found = order_statistics(values, {
-            c: {k for (cc, _), at in places.items() if cc == c for k in (math.floor(at), math.ceil(at))}
-            for c, _ in places
-        }, counts, max_inside, first)
-        for (c, p), at in places.items():
-            low = math.floor(at)
-            out[c][p] = interpolate(found[c][low], found[c][math.ceil(at)], at - low)
+    for start in range(0, len(cols) if probs else 0, COLUMNS):
+        part = cols[start:start + COLUMNS]
+        last = F.col("total") - 1
+        asked = [f(F.lit(p) * last) for p in probs for f in (F.floor, F.ceil)]
+        places = lambda total: {k for p in probs for k in (math.floor(p * (total - 1)), math.ceil(p * (total - 1)))}
+        found = _select(order_code(df, part), len(part), dict.fromkeys(range(len(part)), asked), lambda i, total: places(total))
+        for i, (total, values) in found.items():
+            for p in probs:
+                at = p * (total - 1)
+                out[part[i]][p] = interpolate(values[math.floor(at)], values[math.ceil(at)], at)
     return out
 
 
-def order_statistics(
-    values: DataFrame, ranks: Mapping[str, set[int]], counts: Mapping[str, int], max_inside: int = MAX_INSIDE,
-    first: _Sketch | None = None,
-) -> dict[str, dict[int, float]]:
-    """The values at the given 0-based ranks of each column."""
-    wanted = [_Rank(c, k, counts[c]) for c, ks in ranks.items() for k in sorted(ks)]
-    if first is None:
-        _propose(values, wanted)
-    else:
-        _propose_from(first, wanted)
-    open_ranks = wanted
-    while open_ranks:
-        _count(values, open_ranks)
-        for r in open_ranks:
-            r.settle()
-        missed = [r for r in open_ranks if not r.held()]
-        for r in missed:
-            if r.stretch > WIDEST:
-                raise ValueError(f"no bracket holds rank {r.rank} of {r.column}: does the column hold NaN or a wrong count?")
-            r.stretch *= 4
-        wide = [r for r in open_ranks if r.held() and r.value is None and r.between > max_inside]
-        ready = [r for r in open_ranks if r.held() and r.value is None and r.between <= max_inside]
-        if missed:
-            _propose(values, missed)
-        if wide:
-            _narrow(values, wide)
-        if ready:
-            _resolve(values, ready)
-        open_ranks = missed + wide
-    out: dict[str, dict[int, float]] = {c: {} for c in ranks}
-    for r in wanted:
-        out[r.column][r.rank] = r.value
-    return out
+def order_statistics(df: DataFrame, ranks: Mapping[str, Iterable[int]], whole: bool = False) -> dict[str, dict[int, float]]:
+    """The values at 0-based ranks among the non-null values of each column. Ranks beyond the rows are left out.
+
+    ``whole`` columns are taken as longs, which a double might not tell apart.
+    """
+    cols, wanted = list(ranks), {c: sorted(set(ks)) for c, ks in ranks.items()}
+    asked = {i: [F.lit(k) for k in wanted[c]] for i, c in enumerate(cols)}
+    codes = df.select(*[col(c).cast("bigint").alias(f"c{i}") for i, c in enumerate(cols)]) if whole else order_code(df, cols)
+    found = _select(
+        codes, len(cols), asked, lambda i, total: [k for k in wanted[cols[i]] if k < total], int if whole else decoded)
+    return {c: found[i][1] if i in found else {} for i, c in enumerate(cols)}
+
+
+def _select(
+    codes: DataFrame, columns: int, asked: Mapping[int, Sequence[Column]], ranks, read=decoded,
+) -> dict[int, tuple[int, dict[int, float]]]:
+    """``{column: (rows, {rank: value})}``. ``asked`` finds the ranks' bins in the first scan, before the rows are known."""
+    found: dict[int, tuple[int, dict[int, float]]] = {}
+    hits = reduce(or_, [(F.col("i") == i) & _crossed(asked[i]) for i in range(columns)])
+    bins = _histogram(codes, {i: None for i in range(columns)}, 0).where(hits).collect()
+    for i in range(columns):
+        own = [b for b in bins if b["i"] == i]
+        if own:
+            found[i] = (own[0]["total"], {})
+    wanted = {(i, None): [(k, 0) for k in ranks(i, total)] for i, (total, _) in found.items()}
+    for level in range(1, LEVELS + 1):
+        open_: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for (i, prefix), places in wanted.items():
+            own = [b for b in bins if b["i"] == i and (prefix is None or b["key"] >> DIGIT == prefix)]
+            for rank, below in places:
+                b = next(b for b in own if b["upto"] - b["n"] <= rank - below < b["upto"])
+                first = below + b["upto"] - b["n"]
+                if b["lo"] == b["hi"] or rank == first:
+                    found[i][1][rank] = read(b["lo"])
+                elif rank == first + b["n"] - 1:
+                    found[i][1][rank] = read(b["hi"])
+                else:
+                    open_.setdefault((i, b["key"]), []).append((rank, first))
+        if not open_:
+            break
+        prefixes: dict[int, list[int]] = {}
+        for i, key in open_:
+            prefixes.setdefault(i, []).append(key)
+        hits = reduce(or_, [
+            (F.col("i") == i) & (F.col("prefix") == key) & _crossed([F.lit(rank - first) for rank, first in places])
+            for (i, key), places in open_.items()])
+        bins, wanted = _histogram(codes, prefixes, level).where(hits).collect(), open_
+    return found
+
+
+def _crossed(ranks: Sequence[Column]) -> Column:
+    return reduce(or_, [(F.col("upto") > k) & (F.col("upto") - F.col("n") <= k) for k in ranks])
+
+
+def _histogram(codes: DataFrame, prefixes: Mapping[int, Sequence[int] | None], level: int) -> DataFrame:
+    """Counts, running counts and extremes by the digits up to ``level``, of the codes that begin with a wanted prefix."""
+    cells, touched = [], []
+    for i, wanted in prefixes.items():
+        code = F.col(f"c{i}")
+        inside = code.isNotNull() if wanted is None else F.shiftright(code, DIGIT * (LEVELS - level)).isin(list(wanted))
+        touched.append(inside)
+        cells.append(F.struct(F.lit(i).alias("i"), F.when(inside, code).alias("code")))
+    rows = codes.where(reduce(or_, touched)).select(F.inline(F.array(*cells))).where(F.col("code").isNotNull())
+    key = F.shiftright("code", DIGIT * (LEVELS - 1 - level))
+    counted = rows.groupBy("i", key.alias("key")).agg(F.count("*").alias("n"), F.min("code").alias("lo"), F.max("code").alias("hi"))
+    prefix = F.shiftright("key", DIGIT) if level else F.lit(0).cast("bigint")
+    counted = counted.withColumn("prefix", prefix)
+    group = Window.partitionBy("i", "prefix")                                  # at most 65,536 rows
+    running = group.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    return counted.withColumns({"upto": F.sum("n").over(running), "total": F.sum("n").over(group)})
 
 
 def approx_quantiles(
@@ -166,133 +166,9 @@ def approx_quantiles(
     return {c: dict(zip(probs, got[c] or [None] * len(probs))) for c in cols}
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "exact", counts=None):
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "exact"):
     if method == "exact":
-        return exact_quantiles(df, cols, probs, counts)
+        return exact_quantiles(df, cols, probs)
     if method == "approx":
         return approx_quantiles(df, cols, probs)
     raise ValueError(f"unknown quantile method: {method!r}")
-
-
-def _count_and_sketch(
-    values: DataFrame, cols: Sequence[str], probs: Sequence[float],
-) -> tuple[dict[str, int], _Sketch]:
-    """Row counts and, in the same scan, a sketch of a thin sample around the wanted percentages.
-
-    How wide the brackets must be depends on the counts, so edges at several distances are asked for.
-    """
-    asked = sorted({e for p in probs for d in LADDER for e in (max(p - d, 0.0), min(p + d, 1.0))})
-    drawn = values.withColumn("__draw", F.rand(3))
-    exprs: dict[tuple[str, str], Column] = {}
-    for c in cols:
-        exprs[c, "rows"] = F.count(col(c))
-        exprs[c, "sketch"] = F.percentile_approx(F.when(F.col("__draw") < 1 / THIN, col(c)), asked, ACCURACY)
-    got = one_row(drawn, exprs)
-    return (
-        {c: got[c, "rows"] for c in cols},
-        _Sketch(tuple(probs), {c: dict(zip(asked, got[c, "sketch"] or [])) for c in cols}),
-    )
-
-
-def _propose_from(sketch: _Sketch, ranks: Sequence[_Rank]) -> None:
-    """Set brackets from the sketch taken while counting."""
-    for r in ranks:
-        at = sketch.edges[r.column]
-        p = min(sketch.probs, key=lambda q: abs(q - r.rank / r.rows))
-        need = 2.5 / math.sqrt(r.rows / THIN) + 1.5 / ACCURACY + 1 / r.rows
-        reach = next((d for d in LADDER if d >= need), 1.0)
-        left, right = max(p - reach, 0.0), min(p + reach, 1.0)
-        r.low = -INF if left == 0.0 else at.get(left, -INF)
-        r.high = INF if right == 1.0 else at.get(right, INF)
-
-
-def _sample_rows(rows: int) -> int:
-    return SAMPLE_ROWS if rows > LARGE else SAMPLE_ROWS // 10
-
-
-def _margin(rows: int, stretch: int) -> float:
-    """Five standard errors of a sampled rank, plus the error of the sketch of the sample."""
-    return stretch * (2.5 / math.sqrt(_sample_rows(rows)) + 1.5 / ACCURACY)
-
-
-def _propose(values: DataFrame, ranks: Sequence[_Rank]) -> None:
-    """Set brackets from a sample of the whole columns."""
-    rows = max(r.rows for r in ranks)
-    fraction = min(1.0, _sample_rows(rows) / min(r.rows for r in ranks))
-    edges = {}
-    for r in ranks:
-        # Rounded, so that neighbouring ranks share one bracket.
-        share, margin = round(r.rank / r.rows, 4), _margin(r.rows, r.stretch) + 1 / ACCURACY
-        edges[r.column, r.rank] = (max(share - margin, 0.0), min(share + margin, 1.0))
-    asked = {c: sorted({e for (cc, _), pair in edges.items() if cc == c for e in pair}) for c, _ in edges}
-    sampled = values if fraction == 1.0 else values.sample(fraction, seed=7)
-    got = one_row(sampled, {c: F.percentile_approx(col(c), ps, ACCURACY) for c, ps in asked.items()})
-    for r in ranks:
-        left, right = edges[r.column, r.rank]
-        at = dict(zip(asked[r.column], got[r.column] or []))
-        r.low = -INF if left == 0.0 else at.get(left, -INF)
-        r.high = INF if right == 1.0 else at.get(right, INF)
-
-
-def _count(values: DataFrame, ranks: Sequence[_Rank]) -> None:
-    exprs: dict[tuple, Column] = {}
-    for r in ranks:
-        c = col(r.column)
-        exprs[r.bracket, "below"] = F.count_if(c < r.low)
-        exprs[r.bracket, "inside"] = F.count_if((c >= r.low) & (c <= r.high))
-        exprs[r.bracket, "at_low"] = F.count_if(c == r.low)
-        exprs[r.bracket, "at_high"] = F.count_if((c == r.high) & (F.lit(r.high) > F.lit(r.low)))
-    got = one_row(values, exprs)
-    for r in ranks:
-        for part in ("below", "inside", "at_low", "at_high"):
-            setattr(r, part, got[r.bracket, part])
-
-
-def _narrow(values: DataFrame, ranks: Sequence[_Rank]) -> None:
-    """Shrink brackets by a sample of what lies strictly between their ends."""
-    for one in {r.bracket: r for r in ranks}.values():
-        same = [r for r in ranks if r.bracket == one.bracket]
-        rows, start = one.between, one.below + one.at_low
-        margin = 2.5 / math.sqrt(min(_sample_rows(rows), rows)) + 1.5 / ACCURACY
-        edges = {}
-        for r in same:
-            share = (r.rank - start) / rows
-            edges[r.rank] = (max(share - margin, 0.0), min(share + margin, 1.0))
-        asked = sorted({e for pair in edges.values() for e in pair})
-        held = values.select(one.between_expr().alias("v")).where(F.col("v").isNotNull())
-        fraction = min(1.0, _sample_rows(rows) / rows)
-        sampled = held if fraction == 1.0 else held.sample(fraction, seed=11)
-        got = sampled.agg(F.percentile_approx("v", asked, ACCURACY)).first()[0]
-        if got is None:
-            continue
-        at = dict(zip(asked, got))
-        for r in same:
-            left, right = edges[r.rank]
-            r.low = r.low if left == 0.0 else at[left]
-            r.high = r.high if right == 1.0 else at[right]
-
-
-def _resolve(values: DataFrame, ranks: Sequence[_Rank]) -> None:
-    """Group the values inside the brackets, run their counts up from below and read off the ranks."""
-    brackets = list({r.bracket: r for r in ranks}.values())
-    cells = [
-        F.struct(F.lit(i).alias("b"), r.between_expr().alias("value")) for i, r in enumerate(brackets)
-    ]
-    touched = reduce(or_, [r.between_expr().isNotNull() for r in brackets])
-    grouped = (
-        values.where(touched).select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
-        .groupBy("b", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    running = Window.partitionBy("b").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    hits = []
-    for i, r in enumerate(brackets):
-        for other in ranks:
-            if other.bracket == r.bracket:
-                at = other.rank - r.below - r.at_low
-                hits.append((F.col("b") == i) & (F.col("upto") > at) & (F.col("upto") - F.col("n") <= at))
-    placed = grouped.withColumn("upto", F.sum("n").over(running)).where(reduce(or_, hits))
-    for row in placed.collect():
-        bracket = brackets[row["b"]]
-        for r in ranks:
-            if r.bracket == bracket.bracket and row["upto"] - row["n"] <= r.rank - r.below - r.at_low < row["upto"]:
-                r.value = row["value"]

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions.hashing import hash_below, row_hash
 from tabprep.operators.quantiles import order_statistics
 from tabprep.operators.stats import col
-
-MAX_TIES = 1_000_000
+from tabprep.session import shared_dir
 
 
 def split_hash(
@@ -29,31 +29,44 @@ def split_exact(
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test parts with exactly ``ceil(test_size * rows)`` test rows: those with the lowest hashes.
 
-    The cut is found as an order statistic of the hash and applied as a filter, so nothing is sorted whole. Rows
-    tied at the cut are told apart by the whole row; the key should be (nearly) unique.
+    The cut is an order statistic of the key's hash, applied as a filter, so nothing is sorted whole. Rows with the
+    key hash of the cut are told apart by an order statistic of the hash of the whole row. What agrees in that too is equal rows:
+    they are written out once with a number each, in every task by itself, and cut by it.
     """
     _check_share(test_size)
-    hashed = df.withColumn("__h", row_hash(key, seed))
+    every = [col(c) for c in df.columns] + [col(c).isNull() for c in df.columns]         # a hash passes over nulls
+    hashed = df.withColumns({"__h": row_hash(key, seed), "__r": F.xxhash64(F.lit(seed), *every)})
     rows = df.count()
     wanted = math.ceil(test_size * rows)
     if rows == 0 or wanted == 0:
         return df, df.where(F.lit(False))
-    cut = int(order_statistics(hashed.select(F.col("__h").cast("double").alias("h")),
-                               {"h": {wanted - 1}}, {"h": rows})["h"][wanted - 1])
-    at = hashed.agg(F.count_if(F.col("__h") < cut).alias("below"), F.count_if(F.col("__h") == cut).alias("ties")).first()
-    needed = wanted - at["below"]
-    if at["ties"] == needed:
-        below = F.col("__h") <= cut
-        return hashed.where(~below).drop("__h"), hashed.where(below).drop("__h")
-    if at["ties"] > MAX_TIES:
-        raise ValueError(f"{at['ties']} rows share one key: name key columns that tell rows apart")
-    order = Window.partitionBy("__h").orderBy(F.to_json(F.struct(*[col(c) for c in df.columns])))
-    tied = hashed.where(F.col("__h") == cut).withColumn("__rn", F.row_number().over(order))
-    test = hashed.where(F.col("__h") < cut).drop("__h").unionByName(
-        tied.where(F.col("__rn") <= needed).drop("__h", "__rn"))
-    train = hashed.where(F.col("__h") > cut).drop("__h").unionByName(
-        tied.where(F.col("__rn") > needed).drop("__h", "__rn"))
-    return train, test
+    h, needed, ties = _cut(hashed, "__h", wanted)
+    first, tied = F.col("__h") < h, F.col("__h") == h
+    if ties == needed:
+        return _parts(hashed, first | tied)
+    r, needed, ties = _cut(hashed.where(tied), "__r", needed)
+    first, tied = first | (tied & (F.col("__r") < r)), tied & (F.col("__r") == r)
+    if ties == needed:
+        return _parts(hashed, first | tied)
+    path = f"{shared_dir(df.sparkSession)}/split-{uuid.uuid4().hex}"
+    hashed.where(tied).withColumn("__p", F.monotonically_increasing_id()).write.parquet(path)
+    equal = df.sparkSession.read.parquet(path)
+    p, _, _ = _cut(equal, "__p", needed)
+    train, test = _parts(hashed.where(~tied), first)
+    more_train, more_test = _parts(equal, F.col("__p") <= p)
+    return train.unionByName(more_train), test.unionByName(more_test)
+
+
+def _cut(rows: DataFrame, name: str, wanted: int) -> tuple[int, int, int]:
+    """The ``wanted``-th least number, how many rows with it are wanted, and how many there are."""
+    cut = order_statistics(rows, {name: [wanted - 1]}, whole=True)[name][wanted - 1]
+    at = rows.agg(F.count_if(F.col(name) < cut).alias("below"), F.count_if(F.col(name) == cut).alias("ties")).first()
+    return cut, wanted - at["below"], at["ties"]
+
+
+def _parts(rows: DataFrame, in_test: Column) -> tuple[DataFrame, DataFrame]:
+    hidden = ("__h", "__r", "__p")
+    return rows.where(~in_test).drop(*hidden), rows.where(in_test).drop(*hidden)
 
 
 def assign_folds(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:

@@ -10,7 +10,7 @@ from tabprep.operators.iforest import IsolationForest
 from tabprep.operators.impute import Imputer, modes
 from tabprep.operators.ordered import BUCKET, OrderedBuckets, fill, running_before
 from tabprep.operators.outliers import bounds, clip_to, count_outside, drop_outside, handle_outliers, outlier_report
-from tabprep.operators.quantiles import exact_quantiles, order_statistics, quantiles
+from tabprep.operators.quantiles import decoded, exact_quantiles, order_code, order_statistics, quantiles
 from tabprep.operators.roles import ColumnRoles
 from tabprep.operators.scale import Scaler
 from tabprep.operators.split import assign_folds, split_exact, split_hash
@@ -31,31 +31,62 @@ def frame(spark, n=3000, seed=1):
 
 # ---- quantiles ----
 
-@pytest.mark.parametrize("max_inside", [200_000, 400, 60])
-def test_exact_quantiles(spark, max_inside):
-    df, pdf = frame(spark)
-    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = exact_quantiles(df, ["flat", "wide", "tail"], probs, max_inside=max_inside)
-    for c in ("flat", "wide", "tail"):
-        want = np.quantile(pdf[c].dropna(), probs)
-        assert [got[c][p] for p in probs] == pytest.approx(list(want), rel=1e-12)
+PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 
 
-def test_quantiles_partitioning_and_counts(spark):
+def test_exact_quantiles_have_the_bits_of_percentile(spark):
     df, pdf = frame(spark)
+    cols = ["flat", "wide", "tail"]
+    want = df.agg(*[F.percentile(c, PROBS).alias(c) for c in cols]).first()
     for parts in (1, 17):
-        got = exact_quantiles(df.repartition(parts), ["wide"], [0.3], {"wide": len(pdf)}, max_inside=100)
-        assert got["wide"][0.3] == pytest.approx(np.quantile(pdf["wide"], 0.3))
+        got = exact_quantiles(df.repartition(parts), cols, PROBS)
+        assert all([got[c][p] for p in PROBS] == list(want[c]) for c in cols)
 
 
-def test_missed_bracket_is_widened(spark, monkeypatch):
-    import tabprep.operators.quantiles as q
-    df, pdf = frame(spark)
-    monkeypatch.setattr(q, "_margin", lambda rows, stretch: 1e-9 if stretch == 1 else 0.2)
-    ranks = {100, 1500, 2600}
-    got = order_statistics(df.select("tail"), {"tail": ranks}, {"tail": int(pdf["tail"].count())}, 50)
-    ordered = np.sort(pdf["tail"].dropna())
-    assert got["tail"] == {k: ordered[k] for k in ranks}
+def test_order_codes_are_the_bits_of_doubles(spark):
+    """All powers of two and their neighbours, subnormal numbers, zeros, infinities and random bit patterns."""
+    rng = np.random.default_rng(3)
+    powers = [2.0 ** e for e in range(-1074, 1024)]
+    near = [np.nextafter(p, w) for p in powers for w in (0.0, np.inf)]
+    drawn = rng.integers(-2 ** 63, 2 ** 63 - 1, 20_000).view(np.float64)
+    values = [float(v) for v in np.concatenate([powers, near, drawn[~np.isnan(drawn)], [0.0, np.inf]])]
+    values += [-v for v in values]
+    got = order_code(spark.createDataFrame([(v,) for v in values], "v double"), ["v"]).collect()
+    want = [int(np.float64(abs(v)).view(np.int64)) for v in values]
+    want = [-1 - b if v < 0 else b for v, b in zip(values, want)]
+    assert [r[0] for r in got] == want
+    assert all(decoded(c) == v for c, v in zip(want, values))
+    gaps = spark.createDataFrame([(None,), (float("nan"),)], "v double")
+    assert [r[0] for r in order_code(gaps, ["v"]).collect()] == [None, None]
+
+
+def test_quantiles_of_hard_columns_in_five_jobs(spark):
+    """Values that share most of their bits, of both signs and all sizes, and ties, each against a sort."""
+    rng = np.random.default_rng(4)
+    n = 3001
+    hard = {
+        "close": 1.0 + rng.integers(0, 5000, n) * 2.0 ** -52, "sized": rng.normal(size=n) * 10.0 ** rng.integers(-300, 300, n),
+        "tied": rng.integers(-2, 3, n).astype(float), "tiny": rng.integers(-9, 9, n) * 5e-324, "far": np.where(rng.random(n) < 0.4, -np.inf, np.inf)}
+    pdf = pd.DataFrame(hard)
+    df = spark.createDataFrame(pdf)
+    tracker, group = spark.sparkContext.statusTracker(), "quantile-jobs"
+    spark.sparkContext.setJobGroup(group, "quantiles")
+    ranks = order_statistics(df, {c: range(0, n, 50) for c in hard})
+    spark.sparkContext.setJobGroup(group + "-2", "quantiles")
+    exact_quantiles(df, list(hard), (0.25, 0.5, 0.75))
+    jobs = tracker.getJobIdsForGroup(group + "-2")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for c, v in hard.items():
+        ordered = np.sort(v)
+        assert ranks[c] == {k: ordered[k] for k in range(0, n, 50)}
+    results = [j for j in jobs if len(tracker.getJobInfo(j).stageIds) > 2]        # of a query's jobs, the one that ends it
+    assert len(results) <= 5
+
+
+def test_order_statistics_of_longs(spark):
+    df = spark.range(1000).select(((F.col("id") * 7919 % 1000) - 500 + (1 << 60)).alias("v"))
+    assert order_statistics(df, {"v": [0, 499, 999, 5000]}, whole=True) == {
+        "v": {0: (1 << 60) - 500, 499: (1 << 60) - 1, 999: (1 << 60) + 499}}
 
 
 def test_quantile_edges(spark):
