@@ -19,7 +19,7 @@ BASE = 0x9E3779B97F4A7C15                # odd, so it can be divided by, modulo
 SPREAD = 4.0                             # words that may share a word's reduced form, on the average of the words
 MOST_SYMBOLS = 60
 LETTERS = [chr(c) for c in (*range(97, 123), *range(0xC0, 0x100))]
-ROWS = 2_000                             # words whose neighbourhoods are written out at a time
+ENTRIES = 2_000_000                      # neighbours that are worked out at a time, at least those of one word
 
 
 def _byte_table() -> bytes:
@@ -154,8 +154,9 @@ def _neighbours(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, symbols in _by_length(batch, "reduced"):
-                for start in range(0, len(symbols), ROWS):
-                    own, near = neighbourhood(symbols[start:start + ROWS], size)
+                step = max(1, ENTRIES // ((2 * size + 1) * (symbols.shape[1] + 1)))
+                for start in range(0, len(symbols), step):
+                    own, near = neighbourhood(symbols[start:start + step], size)
                     near = np.sort(np.concatenate([near, own[:, None]], axis=1), axis=1)
                     wanted = near >= own[:, None]
                     wanted[:, 1:] &= near[:, 1:] != near[:, :-1]
