@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from tabprep.llm.common import body, checkpointed, name
 
 KINDS = ("email", "ip", "card", "phone")
-# The strict patterns. A look-behind keeps a failed run from being tried again at each of its places.
+# The strict patterns. A look-behind keeps a failed run from being tried again at each of its places, and
+# last groups are possessive, so that a run of any length is a loop in the matcher and not a recursion.
 STRICT = {
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
-    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # The high-recall generators: other separators, spelled-out signs, no leading plus. Their spans may overlap.
