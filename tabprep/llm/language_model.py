@@ -10,15 +10,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import checkpointed, name
+from tabprep.llm.common import checkpointed, name, written
 
 HEAD = 100_000                           # most frequent words whose counts every task knows; the rest is joined
 OWN, GROUPS = 180, 74                    # words with a class of their own, and classes for the others of the head
 TAIL, END, START = OWN + GROUPS, OWN + GROUPS + 1, OWN + GROUPS + 2
 CLASSES = OWN + GROUPS + 2               # predicted: all but START
 SIZE = 24                                # of a class vector
-PARTS, ROUNDS, NOISE, STEP = 8, 4, 64, 0.25
-DRAWS = 200_000                          # trigrams a part draws by their counts in a round
+ROUNDS, NOISE, STEP = 4, 64, 0.25
+PART_ROWS, LEAST_PARTS = 500_000, 8      # rows of the trigram counts that one part trains on, and parts of small tables
 END_HASH = 0
 CACHE_WORDS = 1_000_000
 
@@ -140,13 +140,20 @@ class LogBilinear:
         return [self.context, self.target, self.near, self.far, self.bias]
 
     def train(self, code: np.ndarray, n: np.ndarray, noise: np.ndarray, seed: int, step: float, batch: int = 4096) -> None:
-        """One pass of noise-contrastive estimation over weighted trigrams, noise from the class unigram."""
+        """One pass of noise-contrastive estimation over every row of some trigram counts, noise from the class unigram.
+
+        A row is met with its count as weight; rows above the mean count are met several times, with equal shares.
+        """
         rng = np.random.default_rng(seed)
         log_noise, table = np.log(NOISE * noise), np.cumsum(noise)
-        chosen = np.searchsorted(np.cumsum(n) / n.sum(), rng.random(min(DRAWS, int(n.sum()))), side="right").clip(0, len(n) - 1)
+        times = np.ceil(n / n.mean()).astype(np.int64)
+        met = rng.permutation(np.repeat(np.arange(len(n)), times))
+        weight = n / times
+        usual = weight[met].mean()
         squares = [np.full_like(v, 1e-3) for v in self.values()]
-        for at in range(0, len(chosen), batch):
-            c = code[chosen[at:at + batch]]
+        for at in range(0, len(met), batch):
+            rows = met[at:at + batch]
+            c, share = code[rows], weight[rows] / (usual * len(rows))
             word, one, two = c % CLASSES, c // CLASSES % (CLASSES + 1), c // CLASSES // (CLASSES + 1)
             r1, r2 = self.context[one], self.context[two]
             q = r1 @ self.near + r2 @ self.far
@@ -154,8 +161,8 @@ class LogBilinear:
             own, other = self.target[word], self.target[drawn]
             right = (own * q).sum(axis=1) + self.bias[word] - log_noise[word]
             wrong = q @ other.T + self.bias[drawn] - log_noise[drawn]
-            up = 1.0 / (1.0 + np.exp(np.clip(right, -30, 30))) / len(c)
-            down = -1.0 / (1.0 + np.exp(-np.clip(wrong, -30, 30))) / len(c)
+            up = share / (1.0 + np.exp(np.clip(right, -30, 30)))
+            down = -share[:, None] / (1.0 + np.exp(-np.clip(wrong, -30, 30)))
             dq = up[:, None] * own + down @ other
             grads = [np.zeros_like(v) for v in self.values()]
             np.add.at(grads[0], one, dq @ self.near.T)
@@ -168,17 +175,31 @@ class LogBilinear:
                 square += grad * grad
                 value += step * grad / np.sqrt(square) * 0.1
 
-    def log10(self) -> np.ndarray:
-        """Normalised log10 probabilities of all classes after all contexts, by products of batches of contexts."""
+    def log_totals(self) -> np.ndarray:
+        """The logarithm that normalises each context, by products of batches of contexts with all classes."""
         near, far = self.context @ self.near, self.context @ self.far
-        out = np.empty(((CLASSES + 1) ** 2, CLASSES), np.float32)
+        out = np.empty((CLASSES + 1) ** 2)
         for two in range(CLASSES + 1):
             score = (near + far[two]) @ self.target.T + self.bias
-            top = score.max(axis=1, keepdims=True)
-            out[two * (CLASSES + 1):(two + 1) * (CLASSES + 1)] = (score - top - np.log(np.exp(score - top).sum(axis=1, keepdims=True))) / np.log(10)
+            top = score.max(axis=1)
+            out[two * (CLASSES + 1):(two + 1) * (CLASSES + 1)] = top + np.log(np.exp(score - top[:, None]).sum(axis=1))
         return out
 
 
+class Scorer:
+    """Log10 probabilities of classes in their contexts, from the parameters and one total per context."""
+
+    def __init__(self, model: LogBilinear):
+        self.near, self.far = model.context @ model.near, model.context @ model.far
+        self.target, self.bias, self.totals = model.target, model.bias, model.log_totals()
+
+    def __call__(self, contexts: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        seen, place = np.unique(contexts, return_inverse=True)
+        queries = self.near[seen % (CLASSES + 1)] + self.far[seen // (CLASSES + 1)]
+        score = np.einsum("ij,ij->i", queries[place], self.target[kinds])
+        return (score + self.bias[kinds] - self.totals[contexts]) / np.log(10)
+
+
 def _fit(trigrams: DataFrame, unigram: np.ndarray) -> LogBilinear:
     """Rounds of local training on the parts of the counts; their mean is the next round's start."""
     noise = unigram ** 0.75
@@ -207,7 +228,7 @@ def _fit(trigrams: DataFrame, unigram: np.ndarray) -> LogBilinear:
     return model
 
 
-def _score(head: Head, table: np.ndarray, scale: float, total: int):
+def _score(head: Head, scorer: Scorer, scale: float, total: int):
     """Sums over the tokens whose counts are known here, and the other tokens by hash."""
     inside = np.log10(np.maximum(head.counts, 1) / np.maximum(head.class_counts[head.classes], 1)) if len(head.counts) else np.empty(0)
     base = np.log10((head.counts + 0.1) / scale)
@@ -221,7 +242,7 @@ def _score(head: Head, table: np.ndarray, scale: float, total: int):
                 tokens, ends = _tokens(part.column("text").to_pylist(), cache)
                 kinds, place, found = head.classify(tokens)
                 is_end = tokens == END_HASH
-                model = table[_contexts(kinds, ends[:-1]), kinds].astype(np.float64)
+                model = scorer(_contexts(kinds, ends[:-1]), kinds)
                 if len(inside):
                     model += np.where(found, inside[place], 0.0)
                 own = np.where(is_end, end_base, np.where(found, base[place] if len(base) else 0.0, 0.0))
@@ -252,8 +273,8 @@ def score_texts(docs: DataFrame, key: str = "doc_id", held_out: int = 10) -> Dat
     Words are counted; the most frequent ``HEAD`` that occur at least twice are known to every task, the others are
     joined by hash. A token has a class: its own for the most frequent words, one of 74 for the rest of the head,
     one for all other words, one for the end. The model predicts a class from the two before it: context vectors
-    times a matrix per place, against target vectors. It is trained on the counts of class trigrams, by
-    noise-contrastive estimation in parts whose parameters are averaged. A word's probability is that of its
+    times a matrix per place, against target vectors. It is trained on every row of the counts of class trigrams, weighted by
+    its count, by noise-contrastive estimation in parts, whose number grows with the rows and whose parameters are averaged. A word's probability is that of its
     class times its share of the class; words never seen share the mass that Good and Turing give them. Class
     probabilities are normalised over all classes, by matrix products over batches of contexts.
 
@@ -276,16 +297,15 @@ def score_texts(docs: DataFrame, key: str = "doc_id", held_out: int = 10) -> Dat
     unigram = head.class_counts.astype(np.float64)
     unigram[TAIL], unigram[END] = tail, ends
     unigram = (unigram + 0.5) / (unigram.sum() + 0.5 * CLASSES)
-    trigrams = checkpointed(
-        rows.mapInArrow(_trigrams(head), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-        .repartition(PARTS, F.xxhash64("code")).sortWithinPartitions("code"))
-    model = _fit(trigrams, unigram)
+    trigrams = written(rows.mapInArrow(_trigrams(head), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")))
+    parts = max(LEAST_PARTS, -(-trigrams.count() // PART_ROWS))
+    model = _fit(checkpointed(trigrams.repartition(parts, F.xxhash64("code")).sortWithinPartitions("code")), unigram)
     scale = total + 0.1 * (distinct + 1)
 
     fields = (f"row bigint, id {id_type}, train boolean, n_tokens bigint, n_known bigint, base_score double, score double, "
               "hashes array<bigint>, times array<bigint>")
     marked = rows.select("id", "train", "text", F.xxhash64("id", F.coalesce("text", F.lit(""))).alias("row"))
-    scored = checkpointed(marked.select("row", "id", "train", "text").mapInArrow(_score(head, model.log10(), scale, ends), fields))
+    scored = checkpointed(marked.select("row", "id", "train", "text").mapInArrow(_score(head, Scorer(model), scale, ends), fields))
     rest = scored.select("row", F.inline(F.arrays_zip("hashes", "times"))).withColumnsRenamed({"hashes": "hash", "times": "n"}).distinct()
     known = counts.select(F.col("hash").alias("__hash"), F.col("n").alias("__count"))
     joined = rest.join(known, F.col("hash") == F.col("__hash"), "left").select("row", "n", F.coalesce("__count", F.lit(0)).alias("c"))
