@@ -56,6 +56,23 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Scratch:
+    """Columnar tables in the shared folder that are removed when their last reader is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.made = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}", 0
+
+    def keep(self, df: DataFrame) -> tuple[DataFrame, str]:
+        path, self.made = f"{self.folder}/{self.made}", self.made + 1
+        df.write.parquet(path)
+        return self.spark.read.parquet(path), path
+
+    def drop(self, *paths: str) -> None:
+        for text in paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(text)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_table(spark: SparkSession, rows: Sequence[dict], fields: str) -> DataFrame:
     """A table of planned numbers as a literal; for sizes fixed by a parameter."""
     literal = F.from_json(F.lit(json.dumps(list(rows))), f"array<struct<{fields}>>")

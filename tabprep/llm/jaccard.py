@@ -10,13 +10,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import name, written
+from tabprep.llm.common import Scratch, name
 from tabprep.llm.components import components
 
 FRAGMENTS = 8                            # in which overlaps are counted
 BROADCAST_KEYS = 4_000_000               # shared keys, 8 bytes each, that may be broadcast
 BROADCAST_PAIRS = 1_000_000              # two 8-byte nodes each
-STAR_ROUNDS = 2
 CACHE_WORDS = 1_000_000                  # per Python worker; a full cache is emptied
 M1, M2, M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 
@@ -130,7 +129,61 @@ def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     own = parts.join(F.broadcast(hubs) if few else hubs, "node", "left_semi").select(F.col("node").alias("hub"), F.col("fragment").alias("part"), F.col("tokens").alias("a"))
     return (moved.join(own, (F.col("u") == F.col("hub")) & (F.col("fragment") == F.col("part")))
             .select("u", "v", "fragment", F.size(F.array_intersect("a", "b")).alias("partial"))
-            .dropDuplicates(["u", "v", "fragment"]).groupBy("u", "v").agg(F.sum("partial").alias("common")))
+            .dropDuplicates(["u", "v", "fragment"])                             # of repeated rows
+            .groupBy("u", "v").agg(F.sum("partial").alias("common")))
+
+
+def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that reach the similarity."""
+    counted = _overlaps(pairs, parts).withColumnsRenamed({"u": "__u", "v": "__v"})
+    return counted.join(pairs, (F.col("u") == F.col("__u")) & (F.col("v") == F.col("__v"))).filter(
+        F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent).select("u", "v")
+
+
+def _near_sizes(n: str, m: str, percent: int):
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
+def _hub_pairs(now: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
+    """Per node the pair it has the most keys of, of the pairs with the heads of its keys: none with its own component."""
+    heads = now.groupBy("at").agg(
+        F.max(F.struct("w", "node", "root", "n")).alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi")
+    ).filter("lo < hi").select(F.col("at").alias("__at"), "hub")
+    met = now.join(heads, F.col("at") == F.col("__at")).filter(F.col("root") != F.col("hub.root"))
+    met = met.select(F.col("hub.node").alias("u"), F.col("node").alias("v"), F.col("hub.w").alias("w"), "n", F.col("hub.n").alias("m"))
+    met = met.filter(_near_sizes("n", "m", percent)).groupBy("u", "v").agg(
+        F.count("*").alias("c"), F.max("w").alias("w"), F.max(F.col("n") + F.col("m")).alias("both"))
+    if tried is not None:
+        met = met.join(tried, ["u", "v"], "left_anti")
+    best = met.groupBy("v").agg(F.max(F.struct("c", "w", "u", "both")).alias("best"))
+    return best.select("best.u", "v", "best.both")
+
+
+def _open_pairs(now: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
+    """All pairs of different components that share enough keys for a link.
+
+    A pair that is apart shares open keys only, so its shared keys are counted in full. In a key the nodes of the component that
+    holds most of it are met by the others, not by each other.
+    """
+    bounds, differ = size_classes(percent)
+    held = now.groupBy("at", "root").agg(F.count("*").alias("k"))
+    major = held.groupBy("at").agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("roots")).filter("roots > 1")
+    major = major.select(F.col("at").alias("__at"), F.col("top.root").alias("major"))
+    open_ = now.join(major, F.col("at") == F.col("__at")).select("at", "node", "root", "n", "major")
+    some = open_.filter("root <> major").select(F.col("at").alias("__at"), F.col("node").alias("u"), F.col("root").alias("__root"), F.col("n").alias("m"))
+    met = open_.join(some, F.col("at") == F.col("__at")).filter(
+        (F.col("root") != F.col("__root")) & ((F.col("root") == F.col("major")) | (F.col("node") < F.col("u")))).filter(_near_sizes("n", "m", percent))
+    most = int(bounds[-1])
+    least = F.lit(0)
+    for low, d in zip(bounds, differ):                       # the class of the smaller set
+        if low < most and d:
+            least = F.when(F.least("n", "m") >= low, F.lit(d // 50 + 2)).otherwise(least)
+    counted = met.groupBy(F.greatest("u", "node").alias("u"), F.least("u", "node").alias("v")).agg(
+        F.count("*").alias("c"), F.max(F.col("n") + F.col("m")).alias("both"), F.max(least).alias("least")).filter("c >= least")
+    if tried is not None:
+        both = tried.union(tried.select("v", "u")).distinct()
+        counted = counted.join(both, ["u", "v"], "left_anti")
+    return counted.select("u", "v", "both")
 
 
 def _only(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
@@ -139,79 +192,60 @@ def _only(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(wanted) if few else wanted, name(key).eqNullSafe(F.col("__first")), "left_semi")
 
 
-def _heads(links: DataFrame, weight: DataFrame) -> DataFrame:
-    """Per node the one with the most shared keys among it and those it links with. Equal heads mean connected."""
-    both = links.union(links.select("v", "u")).withColumnRenamed("u", "node")
-    seen = both.join(weight.select(F.col("node").alias("v"), "w"), "v").select("node", F.struct("w", "v").alias("top"))
-    own = weight.select("node", F.struct("w", F.col("node").alias("v")).alias("top"))
-    return seen.union(own).groupBy("node").agg(F.max("top").alias("top")).select("node", F.col("top.v").alias("root"))
-
-
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
     """Per document: the key, ``n_shingles`` and ``component_id``, the least key that links lead to.
 
     Two documents link if the shared part of their sets of distinct word shingles is at least ``percent`` of the
     union. Documents with equal sets are one node from the start (sets are told apart by a 64-bit hash). Keys
     (see ``fragment_keys``) that two nodes share make candidates. Not all pairs of a key are tried: in each round
-    the node of a key with the most shared keys is held against those it is not connected with yet, and only what
-    is still apart after two rounds is tried pair by pair. Each pair tried is counted exactly, in eight
-    fragments whose partial overlaps are summed.
+    every node is held against one other, of the heads of its keys (their nodes with the most shared keys) that which it
+    shares most keys with, among those it is not connected with. Rounds go on while they find links; what is still apart
+    then is tried pair by pair, if enough keys are shared. Each pair tried is counted exactly, in eight fragments whose
+    partial overlaps are summed.
 
     Documents without words, null texts included, have 0 shingles and stay alone; of several rows with one key
     each gets a row, and they are one document if their texts agree. A null key is allowed and is no least key.
-    The table may be empty. Only the key and ``text`` are read.
+    The table may be empty. Only the key and ``text`` are read. Intermediate tables are removed when they have been read.
     """
-    light = written(_sets(docs, key, size, percent, "sizes"))
+    scratch = Scratch(docs.sparkSession)
+    light, _ = scratch.keep(_sets(docs, key, size, percent, "sizes"))
     nodes = light.filter("n > 0").groupBy("node").agg(F.min("key").alias("first"), F.first("n").alias("n"))
     reps = _only(docs, key, nodes.select(F.col("first").alias("__first")))
     listed = _sets(reps, key, size, percent, "keys").filter("n > 0").select("node", F.explode("list").alias("at"))
     shared = listed.groupBy("at").agg(F.count("*").alias("__n")).filter("__n > 1").select(F.col("at").alias("__at"))
-    shared = written(shared)
+    shared, shared_at = scratch.keep(shared)
     small = shared.count() <= BROADCAST_KEYS
-    members = written(
+    plain, plain_at = scratch.keep(
         listed.join(F.broadcast(shared) if small else shared, F.col("at") == F.col("__at")).select("at", "node").distinct())
-    weight = members.groupBy("node").agg(F.count("*").alias("w")).join(nodes, "node")
-    weight = written(weight.select("node", "w", "n", "first"))
+    scratch.drop(shared_at)
+    weight = plain.groupBy("node").agg(F.count("*").alias("w")).join(nodes, "node")
+    weight, _ = scratch.keep(weight.select("node", "w", "n", "first"))
+    members, members_at = scratch.keep(plain.join(weight.select("node", "w", "n"), "node"))
+    scratch.drop(plain_at)
     texts = _only(docs, key, weight.select(F.col("first").alias("__first")))
-    parts = written(
+    parts, parts_at = scratch.keep(
         _sets(texts, key, size, percent, "tokens")
         .select("node", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "list")
         .select("node", "fragment", F.filter("list", lambda t: F.pmod(F.shiftrightunsigned(t, 61), F.lit(FRAGMENTS)) == F.col("fragment")).alias("tokens")))
-    members = written(members.join(weight.select("node", "w", "n"), "node"))
 
-    roots = weight.select("node", F.col("node").alias("root"))
-    links = tried = None
-    for turn in range(STAR_ROUNDS + 1):
+    roots, roots_at = scratch.keep(weight.select("node", F.col("node").alias("root")))
+    links, tried, last = None, None, False
+    while True:
         now = members.join(roots, "node")
-        apart = now.groupBy("at").agg(
-            F.max(F.struct("w", "node", "root", "n")).alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi")
-        ).filter("lo < hi").select(F.col("at").alias("__at"), "hub")
-        open_ = now.join(apart, F.col("at") == F.col("__at"))
-        if turn < STAR_ROUNDS:
-            found = open_.filter("root <> hub.root").select("node", "n", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"))
-        else:
-            mine, yours = open_.select("at", "node", "n", "root"), open_.select(
-                "at", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("other_root"))
-            found = mine.join(yours, "at").filter("node < other and root <> other_root").select("node", "n", "other", "m")
-        pairs = found.filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent).select(
-            F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"), (F.col("n") + F.col("m")).alias("both")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = written(pairs)
-        if pairs.isEmpty():
-            if turn < STAR_ROUNDS:
-                continue
+        pairs, _ = scratch.keep((_open_pairs if last else _hub_pairs)(now, percent, tried))
+        new, _ = scratch.keep(_linked(pairs, parts, percent))
+        found = new.count()
+        if found:
+            links, old = new if links is None else links.union(new), (roots_at,)
+            merged = components(links)
+            roots, roots_at = scratch.keep(
+                weight.select("node").join(merged, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+            scratch.drop(*old)
+        if last:
             break
         tried = pairs.select("u", "v") if tried is None else tried.union(pairs.select("u", "v"))
-        new = _overlaps(pairs, parts).join(pairs, ["u", "v"]).filter(
-            F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent).select("u", "v")
-        links = new if links is None else links.union(new)
-        links = written(links)
-        if turn < STAR_ROUNDS:
-            roots = written(_heads(links, weight))
-    if links is not None:
-        merged = components(links)
-        roots = written(weight.select("node").join(merged, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+        last = found == 0
+    scratch.drop(members_at, parts_at)
     least = weight.join(roots, "node").groupBy("root").agg(F.min("first").alias("component"))
     placed = roots.join(least, "root").select("node", "component")
     by_node = nodes.join(placed, "node", "left").select(F.col("node").alias("__node"), F.coalesce("component", "first").alias("component"))

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabprep.llm import language_id, queries, spelling
+from tabprep.llm.jaccard import jaccard_classes
 from tabprep.llm.language_id import Features, Leader, identify
 from tabprep.llm.spelling import neighbourhood, variant_groups
 from tabprep.llm.whiten import refined_eigen, whiten
@@ -72,6 +73,44 @@ def test_whitening_of_odd_rows(spark):
     assert [r.deviation for r in whiten(far).collect()] == [None, None]            # beyond a long
 
 
+# ---- n-gram Jaccard join
+
+def brute_components(texts, size, percent):
+    sets = [frozenset(tuple(w[i:i + size]) for i in range(max(len(w) - size + 1, 1))) if (w := t.split()) else frozenset() for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for j, b in enumerate(sets):
+        for i in range(j):
+            a = sets[i]
+            if a and b and 100 * (both := len(a & b)) >= percent * (len(a) + len(b) - both):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("size,percent", [(5, 80), (4, 85)])
+def test_many_near_copies_of_few_texts(spark, size, percent):
+    """A group of hundreds of near copies, about the limit of similarity, and a passage that many other texts share."""
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 50_000, n)]
+    base, passage, texts = word(120), word(30), []
+    for i in range(360):
+        copy = list(base)
+        for _ in range(int(rng.integers(0, 6))):
+            copy[int(rng.integers(0, 120))] = word(1)[0]
+        texts.append(copy if i % 3 else word(int(rng.integers(5, 60))) + passage + word(int(rng.integers(0, 20))))
+    texts = [" ".join(t) for t in texts]
+    want = brute_components(texts, size, percent)
+    got = jaccard_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), size=size, percent=percent)
+    assert [r.component_id for r in got.orderBy("doc_id").collect()] == want
+    assert 5 < len(set(want)) < 340
+
+
 # ---- spelling variants
 
 def damaged(rows):
