@@ -18,6 +18,7 @@ NUMERIC = ("mean", "median", "mode", "ffill", "bfill", "drop")
 CATEGORICAL = ("mode", "constant", "ffill", "bfill", "drop")
 DATETIME = ("drop", "ffill", "bfill")
 UNKNOWN = "Unknown"
+DIRECTIONS = {"ffill": "forward", "bfill": "backward"}
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, Any]:
@@ -58,20 +59,32 @@ class ImputerModel:
     rows_per_bucket: int = ROWS_PER_BUCKET
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Datetime, then numeric, then categorical columns. Fills are literals; only ffill and bfill shuffle."""
-        out = self._apply(df, self.roles.datetime, self.dt_strategy)
-        out = self._apply(out, self.roles.numeric, self.num_strategy)
-        return self._apply(out, self.roles.categorical, self.cat_strategy)
+        """Datetime, then numeric, then categorical columns. Fills are literals; only ffill and bfill shuffle.
+
+        Roles that are filled in the same direction share one pass, unless rows are dropped or an order key is filled between.
+        """
+        out, waiting, towards = df, [], None
+        keys = {*self.order_by, *self.partition_by}
+        for cols, strategy in (
+            (self.roles.datetime, self.dt_strategy), (self.roles.numeric, self.num_strategy),
+            (self.roles.categorical, self.cat_strategy),
+        ):
+            cols = [c for c in cols if c in df.columns]
+            carried = strategy in DIRECTIONS
+            if waiting and cols and (strategy != towards if carried else strategy == "drop" or keys & set(cols)):
+                out, waiting = self._carry(out, waiting, towards), []
+            if carried:
+                waiting, towards = waiting + cols, strategy
+            elif cols:
+                out = self._apply(out, cols, strategy)
+        return self._carry(out, waiting, towards) if waiting else out
+
+    def _carry(self, df: DataFrame, cols: Sequence[str], strategy: str) -> DataFrame:
+        return fill(df, cols, self.order_by, self.partition_by, DIRECTIONS[strategy], self.rows_per_bucket)
 
     def _apply(self, df: DataFrame, cols: Sequence[str], strategy: str) -> DataFrame:
-        cols = [c for c in cols if c in df.columns]
-        if not cols:
-            return df
         if strategy == "drop":
             return drop_null_rows(df, cols)
-        if strategy in ("ffill", "bfill"):
-            direction = "forward" if strategy == "ffill" else "backward"
-            return fill(df, cols, self.order_by, self.partition_by, direction, self.rows_per_bucket)
         fills = {}
         for c in cols:
             if self.values.get(c) is not None:

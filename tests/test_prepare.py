@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabprep.operators.encode import LabelEncoder, OneHotEncoder, encode_categorical
@@ -125,12 +126,49 @@ def test_fill(spark, hot, direction, by, size):
     np.testing.assert_array_equal(got, want)
 
 
+def bucket_sizes(df, keys, size):
+    return [r[0] for r in OrderedBuckets.fit(df, keys, size).tag(df).groupBy(BUCKET).count().select("count").collect()]
+
+
 def test_hot_order_value_is_cut_further(spark):
     df, _ = gaps(spark, hot=True)
-    buckets = OrderedBuckets.fit(df, ["ts", "id"], 50)
-    assert buckets.hot
-    sizes = [r[0] for r in buckets.tag(df).groupBy(BUCKET).count().select("count").collect()]
-    assert max(sizes) < 200                     # the value alone holds a third of 2,000 rows
+    assert max(bucket_sizes(df, ["ts", "id"], 50)) <= 100           # the value alone holds a third of 2,000 rows
+
+
+ORDERS = {
+    "text": "if(id % 3 = 0, null, repeat('prefix', 3) || if(id % 5 < 3, 'hot', conv(id * 7919 % 1000, 10, 36)))",
+    "long": "(1L << 60) + id % 7", "double": "case when id % 9 = 0 then double('nan') when id % 9 = 1 then null "
+    "when id % 9 = 2 then -0d when id % 9 = 3 then 0d when id % 9 = 4 then double('-inf') else id % 40 / 3d end",
+    "flag": "id % 3 = 0", "day": "date'2024-01-01' + int(id % 4)", "decimal": "cast(id % 5 as decimal(30,2)) + 1e20bd",
+    "constant": "1"}
+
+
+@pytest.mark.parametrize("kind,direction,by", [(k, "forward", []) for k in ORDERS] + [("text", "backward", ["g"]), ("double", "backward", [])])
+def test_fill_by_keys_of_any_type_and_ties(spark, kind, direction, by):
+    """Against one window over all rows, with the hash of the row behind the keys."""
+    df = spark.range(1500).selectExpr("id", f"{ORDERS[kind]} as k", "if(id % 4 = 0, id, null) as v", "if(id % 11 = 0, string(id), null) as s", "id % 2 as g")
+    every = [F.col(c) for c in df.columns]
+    tie = F.xxhash64(*every, *[c.isNull() for c in every])
+    keys = [F.col("k").asc_nulls_first(), tie] if direction == "forward" else [F.col("k").desc_nulls_last(), tie.desc()]
+    window = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("id", *[F.last(c, ignorenulls=True).over(window).alias(c) for c in ("v", "s")])
+    got = fill(df, ["v", "s"], ["k"], by, direction, rows_per_bucket=150).select("id", "v", "s")
+    assert values(got) == values(want)
+
+
+def test_rows_on_one_order_value_make_even_buckets(spark):
+    df = spark.range(20_000).selectExpr("1 as k", "id", "if(id % 3 = 0, id, null) as v").withColumn("h", F.xxhash64("id"))
+    for keys in (["k", "h"], ["h"], ["k", "id"]):
+        sizes = sorted(bucket_sizes(df, keys, 500))
+        assert len(sizes) >= 30 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_hot_partition_is_carried_over_many_buckets(spark):
+    df = spark.range(3000).selectExpr("id", "if(id % 10 < 8, 'hot', 'p' || id % 10) as p", "if(id = 2000 or id % 701 = 0, id, null) as v")
+    got = fill(df, ["v"], ["id"], ["p"], rows_per_bucket=100).toPandas().sort_values("id")
+    want = df.toPandas().sort_values("id")
+    want["v"] = want.groupby("p")["v"].ffill()
+    pd.testing.assert_series_equal(got["v"].reset_index(drop=True), want["v"].reset_index(drop=True))
 
 
 def test_fill_timestamps_and_errors(spark):
@@ -143,7 +181,7 @@ def test_fill_timestamps_and_errors(spark):
     with pytest.raises(ValueError):
         fill(df, ["v"], ["t"], direction="up")
     with pytest.raises(ValueError):
-        fill(df.withColumn("s", F.lit("a")), ["v"], ["s"])
+        fill(df.withColumn("s", F.array("id")), ["v"], ["s"], rows_per_bucket=20)
 
 
 def test_null_order_keys_and_null_partitions(spark):
