@@ -4,25 +4,24 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.operators.lookup import BROADCAST_ROWS, heavy_keys, lookup
-from tabprep.operators.ordered import BUCKET, ROWS_PER_BUCKET, OrderedBuckets, running_before
+from tabprep.operators.ordered import ROWS_PER_BUCKET, SAMPLED, OrderedBuckets, running_before
 from tabprep.operators.roles import numeric_columns
 from tabprep.operators.stats import col, one_row
 
 METHODS = ("pearson", "spearman", "kendall")
 PAIRS_PER_JOB = 12
-KENDALL_THREADS = 4
-DIGIT_BITS = 4
-RADIX = 1 << DIGIT_BITS
+FLAT = 1 << 32
+INF = float("inf")
 
 
 def correlation(
@@ -102,183 +101,205 @@ def _pearson(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float
     return found
 
 
-@dataclass(frozen=True)
-class _Ranking:
-    """The average ranks of one column over the rows where ``other``, if given, is present too."""
-
-    column: str
-    other: str | None
-
-    def cell(self) -> Column:
-        return F.when(col(self.other).isNotNull(), col(self.column)) if self.other else col(self.column)
-
-
 def _spearman(df: DataFrame, names: Sequence[str], rows_per_bucket: int) -> dict[tuple[str, str], float | None]:
     """Pearson correlation of average ranks.
 
-    All rankings are counted in one scan. Ranks of a pair with nulls are taken over the rows where both are present;
-    columns without nulls share one ranking.
+    Ranks of a pair with nulls are taken over the rows where both are present; columns without nulls share one ranking.
+    A column's values are counted once, with a count per ranking, and run up once; its ranks are then joined to the rows
+    by one join. What that gives, the rows' ranks alone, is kept, and the products of any number of pairs are sums over it.
     """
     nulls = _null_counts(df, names)
+    others = {c: list(dict.fromkeys(o if nulls[o] and o != c else None for o in names)) for c in names}
+    pairs = [*combinations(names, 2), *[(c, c) for c in names]]
+    side = {(c, o): f"__r{i}_{others[c].index(o if nulls[o] and o != c else None)}" for i, c in enumerate(names) for o in names}
+    most = max(map(len, others.values()), default=0)
 
-    def ranking(c: str, other: str) -> _Ranking:
-        return _Ranking(c, other if nulls[other] and other != c else None)
+    def cell(i: int, c: str) -> Column:
+        counted = [F.lit(True) if o is None else col(o).isNotNull() for o in others[c]] + [F.lit(False)] * (most - len(others[c]))
+        return F.struct(F.lit(i).alias("id"), col(c).alias("value"), *[k.cast("bigint").alias(f"k{j}") for j, k in enumerate(counted)])
 
-    pairs = [*combinations(names, 2), *[(c, c) for c in names]]
-    rankings = list(dict.fromkeys(r for a, b in pairs for r in (ranking(a, b), ranking(b, a))))
-    ids = {r: i for i, r in enumerate(rankings)}
-    cells = F.array(*[F.struct(F.lit(i).alias("id"), r.cell().alias("value")) for r, i in ids.items()])
+    sums = [F.sum(f"k{j}").alias(f"n{j}") for j in range(most)]
     counts = (
-        df.select(F.inline(cells)).where(F.col("value").isNotNull())
-        .groupBy("id", "value").agg(F.count(F.lit(1)).alias("n")).persist()
+        df.select(F.inline(F.array(*[cell(i, c) for i, c in enumerate(names)]))).where(F.col("value").isNotNull())
+        .groupBy("id", "value").agg(*sums, F.count("*").alias("n")).persist()
     )
-    ranks = None
+    ranked = None
     try:
-        facts = {
-            r["id"]: (r["values"], r["rows"]) for r in
-            counts.groupBy("id").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()
-        }
-        ranks = average_ranks(counts, {i: v for i, (v, _) in facts.items()}, rows_per_bucket).persist()
-        found: dict[tuple[str, str], float | None] = {}
-        for start in range(0, len(pairs), PAIRS_PER_JOB):
-            part = pairs[start:start + PAIRS_PER_JOB]
-            sides = [(ids[ranking(a, b)], ids[ranking(b, a)]) for a, b in part]
-            found.update(_rank_products(df, ranks, facts, rankings, part, sides))
+        facts = {r["id"]: r for r in counts.groupBy("id").agg(
+            F.count("*").alias("values"), F.sum("n").alias("rows"), *[F.sum(f"n{j}").alias(f"n{j}") for j in range(most)]).collect()}
+        ranks = average_ranks(counts, {i: r["values"] for i, r in facts.items()}, most, rows_per_bucket).persist()
+        ranked = _with_ranks(df, names, ranks, facts, {c: len(others[c]) for c in names}).persist()
+        middle = {f"__r{i}_{j}": (facts[i][f"n{j}"] + 1) / 2 for i in facts for j in range(most)}
+        exprs: dict[tuple, Column] = {}
+        for a, b in pairs:
+            x, y = side[a, b], side[b, a]
+            if x in middle and y in middle:
+                dx, dy = f"({x} - {middle[x]}D)", f"({y} - {middle[y]}D)"
+                for part, product in (("xy", f"{dx} * {dy}"), ("xx", f"{dx} * {dx}"), ("yy", f"{dy} * {dy}")):
+                    exprs[a, b, part] = F.expr(f"sum(__n * {product}) filter (where {x} is not null and {y} is not null)")
+        got = one_row(ranked, exprs)
     finally:
         counts.unpersist()
-        if ranks is not None:
+        if ranked is not None:
             ranks.unpersist()
+            ranked.unpersist()
+    found: dict[tuple[str, str], float | None] = {}
+    for a, b in pairs:
+        spread = math.sqrt((got.get((a, b, "xx")) or 0.0) * (got.get((a, b, "yy")) or 0.0))
+        found[a, b] = _bounded(got[a, b, "xy"] / spread) if spread else None
     return found
 
 
-def average_ranks(counts: DataFrame, sizes: Mapping[int, int], rows_per_bucket: int) -> DataFrame:
-    """Add ``rank`` to ``(id, value, n)``, per id: ties of any size are one row when the counts are run up.
+def average_ranks(counts: DataFrame, sizes: Mapping[int, int], rankings: int, rows_per_bucket: int) -> DataFrame:
+    """Add ``r0``, ``r1``, ... to ``(id, value, n0, n1, ...)``, per id: ties of any size are one row when the counts are run up.
 
     Ids with few values are ranked side by side, one task each; the others are cut into buckets.
     """
     few = [i for i, values in sizes.items() if values <= rows_per_bucket]
-    parts = [counts.where(F.col("id").isin(few)).withColumn("before", F.expr(
-        "coalesce(sum(n) over (partition by id order by value rows between unbounded preceding and 1 preceding), 0L)"))]
+    past = "over (partition by id order by value rows between unbounded preceding and 1 preceding)"
+    parts = [counts.where(F.col("id").isin(few)).withColumns({
+        f"before{j}": F.expr(f"coalesce(sum(n{j}) {past}, 0L)") for j in range(rankings)})]
     for i in sizes.keys() - set(few):
         mine = counts.where(F.col("id") == i)
         buckets = OrderedBuckets.fit(mine, ["value"], rows_per_bucket, rows=sizes[i])
-        parts.append(running_before(mine, "value", "n", "before", buckets))
-    return reduce(DataFrame.unionByName, parts).withColumn("rank", F.expr("before + (n + 1) / 2.0D"))
-
-
-def _rank_products(df, ranks, facts, rankings, pairs, sides) -> dict[tuple[str, str], float | None]:
-    """Look up the ranks the given pairs need, with one join per column, and sum their products in one pass."""
-    used: dict[str, list[int]] = {}
-    for i in sorted({i for side in sides for i in side if i in facts}):
-        used.setdefault(rankings[i].column, []).append(i)
-    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    # A ranking over all rows of a column has every value that its other rankings have.
-    sizes = {
-        c: (max if any(rankings[i].other is None for i in mine) else sum)(facts[i][0] for i in mine)
-        for c, mine in used.items()
-    }
-    ranked = df.select(*[col(c) for c in columns]).withColumn("__n", F.lit(1))
-    if any(size > BROADCAST_ROWS for size in sizes.values()):
+        parts.append(running_before(mine, "value", {f"before{j}": f"n{j}" for j in range(rankings)}, buckets))
+    return reduce(DataFrame.unionByName, parts).withColumns({
+        f"r{j}": F.expr(f"before{j} + (n{j} + 1) / 2.0D") for j in range(rankings)})
+
+
+def _with_ranks(df, names, ranks, facts, rankings: Mapping[str, int]) -> DataFrame:
+    """The ranks of every row, one join per column, and ``__n``, how many equal rows it stands for.
+
+    A row has a rank of a pair's ranking even where the other value is missing; sums leave it out, as that has none.
+    """
+    ranked = df.select(*[col(c) for c in names]).withColumn("__n", F.lit(1))
+    if any(r["values"] > BROADCAST_ROWS for r in facts.values()):
         # Equal rows become one before they are spread by their hash.
-        ranked = ranked.groupBy(*[col(c) for c in columns]).agg(F.count(F.lit(1)).alias("__n"))
-    for c, mine in used.items():
-        named = [f"__r{i}" for i in mine]
-        entries = ranks.where(F.col("id").isin(mine))
+        ranked = ranked.groupBy(*[col(c) for c in names]).agg(F.count(F.lit(1)).alias("__n"))
+    wanted = ["__n"]
+    for i, c in enumerate(names):
+        named = [f"__r{i}_{j}" for j in range(rankings[c])]
+        if i not in facts:
+            continue
+        entries = ranks.where(F.col("id") == i)
         heavy: list[float] = []
-        if sizes[c] > BROADCAST_ROWS:
-            heavy = sorted({v for i in mine for v in heavy_keys(
-                entries.where(F.col("id") == i), "value", "n", facts[i][1])})
-        wide = entries.groupBy("value").agg(*[F.expr(f"max(rank) filter (where id = {i}) as __r{i}") for i in mine])
-        ranked = lookup(ranked, wide, c, "value", named, sizes[c], heavy)
-    exprs: dict[tuple, Column] = {}
-    for (a, b), (i, j) in zip(pairs, sides):
-        if i in facts and j in facts:
-            middle = (facts[i][1] + 1) / 2
-            x, y = f"(__r{i} - {middle}D)", f"(__r{j} - {middle}D)"
-            for part, product in (("xy", f"{x} * {y}"), ("xx", f"{x} * {x}"), ("yy", f"{y} * {y}")):
-                exprs[a, b, part] = F.expr(
-                    f"sum(__n * {product}) filter (where `{a}` is not null and `{b}` is not null)")
-    sums = one_row(ranked, exprs)
-    out: dict[tuple[str, str], float | None] = {}
-    for a, b in pairs:
-        spread = math.sqrt((sums.get((a, b, "xx")) or 0.0) * (sums.get((a, b, "yy")) or 0.0))
-        out[a, b] = _bounded(sums[a, b, "xy"] / spread) if spread else None
-    return out
+        if facts[i]["values"] > BROADCAST_ROWS:
+            heavy = sorted(heavy_keys(entries, "value", "n", facts[i]["rows"]))
+        wide = entries.select("value", *[F.col(f"r{j}").alias(r) for j, r in enumerate(named)])
+        ranked = lookup(ranked, wide, c, "value", named, facts[i]["values"], heavy)
+        wanted += named
+    return ranked.select(*wanted)
 
 
 def _kendall(df: DataFrame, names: Sequence[str], rows_per_bucket: int) -> dict[tuple[str, str], float | None]:
-    def one(pair: tuple[str, str]) -> float | None:
-        both = df.select(*[col(c).alias(n) for c, n in zip(pair, ("x", "y"))]).dropna()
-        return kendall_tau_b(both, rows_per_bucket)
-
+    """Tau-b of all pairs of columns, some pairs to a job; see ``inversions``."""
+    found: dict[tuple[str, str], float | None] = {}
     pairs = list(combinations(names, 2))
-    with ThreadPoolExecutor(KENDALL_THREADS) as pool:      # each pair is a chain of small jobs
-        found: dict[tuple[str, str], float | None] = dict(
-            zip(pairs, pool.map(inheritable_thread_target(df.sparkSession)(one), pairs)))
+    for start in range(0, len(pairs), PAIRS_PER_JOB):
+        part = pairs[start:start + PAIRS_PER_JOB]
+        cells = F.array(*[F.struct(F.lit(i).alias("id"), col(a).alias("x"), col(b).alias("y")) for i, (a, b) in enumerate(part)])
+        both = df.select(F.inline(cells)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+        found.update({part[i]: tau for i, tau in kendall_tau_b(both, len(part), rows_per_bucket).items()})
     counts = one_row(df, {c: F.count(col(c)) for c in names})
     found.update({(c, c): 1.0 if counts[c] else None for c in names})
     return found
 
 
-def kendall_tau_b(pairs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> float | None:
-    """Tau-b of the columns x and y of a table without nulls.
-
-    No pair of rows is ever formed. Discordant pairs are inversions of y in the order of x, and two different y
-    first differ in exactly one digit of their dense ranks: rows that share the digits above it meet in one group,
-    where the counts per digit of all rows with a smaller x are running sums. Groups are cut into buckets of x, and
-    a bucket meets earlier ones only through its digit totals.
-    """
-    cells = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).persist()
+def kendall_tau_b(pairs: DataFrame, ids: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[int, float | None]:
+    """Tau-b of the columns x and y of every ``id`` of a table without nulls. Equal rows are counted first, on the map side."""
+    cells = pairs.groupBy("id", "x", "y").agg(F.count(F.lit(1)).alias("n")).persist()
     try:
         n = F.col("n").cast("double")
         sides = [
-            cells.groupBy(*by).agg(F.sum("n").alias("n")).agg(
-                F.lit(name).alias("side"), F.sum(n * (n - 1) / 2).alias("tied"), F.sum("n").alias("rows"),
-                F.count(F.lit(1)).alias("values"))
+            cells.groupBy("id", *by).agg(F.sum("n").alias("n")).groupBy("id").agg(
+                F.lit(name).alias("side"), F.sum(n * (n - 1) / 2).alias("tied"), F.sum("n").alias("rows"), F.count("*").alias("cells"))
             for name, by in (("both", ["x", "y"]), ("x", ["x"]), ("y", ["y"]))
         ]
-        facts = {r["side"]: r for r in reduce(DataFrame.unionByName, sides).collect()}
-        rows = facts["both"]["rows"] or 0
-        pairs_all = rows * (rows - 1) / 2
-        in_x, in_y, both = (facts[s]["tied"] or 0.0 for s in ("x", "y", "both"))
-        spread = math.sqrt((pairs_all - in_x) * (pairs_all - in_y))
-        if not spread:
-            return None
-        inversions = _inversions(cells, rows, facts["both"]["values"], facts["y"]["values"], rows_per_bucket)
+        facts = {(r["id"], r["side"]): r for r in reduce(DataFrame.unionByName, sides).collect()}
+        sizes = {i: facts[i, "both"]["cells"] for i in range(ids) if (i, "both") in facts}
+        crossed = inversions(cells, sizes, rows_per_bucket)
     finally:
         cells.unpersist()
-    return _bounded((pairs_all - in_x - in_y + both - 2 * inversions) / spread)
-
-
-def _inversions(cells: DataFrame, rows: int, cell_rows: int, y_values: int, rows_per_bucket: int) -> float:
-    y_counts = cells.groupBy(col("y").alias("value")).agg(F.sum("n").alias("n"))
-    y_buckets = OrderedBuckets.fit(y_counts, ["value"], rows_per_bucket, rows=y_values)
-    dense = running_before(y_counts, "value", "1L", "place", y_buckets)
-    heavy = heavy_keys(y_counts, "value", "n", rows) if y_values > BROADCAST_ROWS else ()
-    placed = lookup(cells, dense, "y", "value", ["place"], y_values, heavy)
-
-    levels = max(1, math.ceil(max(y_values - 1, 1).bit_length() / DIGIT_BITS))
-    shifts = [DIGIT_BITS * level for level in range(levels)]
-    steps = ", ".join(
-        f"struct({level} as level, shiftright(place, {shift + DIGIT_BITS}) as prefix, "
-        f"cast(shiftright(place, {shift}) & {RADIX - 1} as int) as digit)" for level, shift in enumerate(shifts))
-    digits = [f"d{d}" for d in range(RADIX)]
-    # Ties in x are folded per digit first, so a heavy x is one row in each group it touches.
-    folded = placed.selectExpr("x", "n", f"inline(array({steps}))").groupBy("level", "prefix", "x").agg(*[
-        F.expr(f"coalesce(sum(n) filter (where digit = {d}), 0L) as {name}") for d, name in enumerate(digits)])
-    tagged = OrderedBuckets.fit(cells, ["x"], rows_per_bucket, rows=cell_rows).tag(folded)
-
-    def crossings(table: DataFrame, group: str, order: str) -> DataFrame:
-        """Pairs of a row and an earlier one with a larger digit, summed over all groups."""
-        past = f"over (partition by {group} order by {order} rows between unbounded preceding and 1 preceding)"
-        larger = [" + ".join(digits[d + 1:]) for d in range(RADIX - 1)]
-        seen = table.selectExpr(*digits, *[
-            f"coalesce(sum({above}) {past}, 0L) as s{d}" for d, above in enumerate(larger)])
-        crossed = " + ".join(f"cast(d{d} as double) * s{d}" for d in range(RADIX - 1))
-        return seen.selectExpr(f"sum({crossed}) as total")
-
-    # One action for both parts, so that they share the exchange of the folded table.
-    totals = tagged.groupBy("level", "prefix", BUCKET).agg(*[F.expr(f"sum({d}) as {d}") for d in digits])
-    within = crossings(tagged, f"level, prefix, {BUCKET}", "x")
-    across = crossings(totals, "level, prefix", BUCKET)
-    return sum(r["total"] or 0.0 for r in within.unionByName(across).collect())
+    found: dict[int, float | None] = {}
+    for i in range(ids):
+        rows = facts[i, "both"]["rows"] if i in sizes else 0
+        whole = rows * (rows - 1) / 2
+        in_x, in_y, both = (facts[i, s]["tied"] if i in sizes else 0.0 for s in ("x", "y", "both"))
+        spread = math.sqrt((whole - in_x) * (whole - in_y))
+        found[i] = _bounded((whole - in_x - in_y + both - 2 * crossed[i]) / spread) if spread else None
+    return found
+
+
+def weighted_inversions(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> float:
+    """The sum of ``n * m`` over all pairs of rows of which one has the smaller x and the larger y.
+
+    Rows in order of x, then y, are merged by the digits of their rank in y: two ranks first differ in one bit, where
+    the row with 0 meets the weight of earlier rows with 1 that agree in all bits before.
+    """
+    order = np.lexsort((y, x))
+    rank = np.unique(y, return_inverse=True)[1][order]
+    weight, total = n[order].astype(np.float64), 0.0
+    for bit in range(int(rank.max(initial=0)).bit_length() - 1, -1, -1):
+        group = rank >> (bit + 1)
+        ones = (rank >> bit) & 1 == 1
+        run = np.cumsum(np.where(ones, weight, 0.0))
+        first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        before = np.repeat(np.concatenate(([0.0], run[first[1:] - 1])), np.diff(np.append(first, len(rank))))
+        total += float((weight * (run - before))[~ones].sum())
+        again = np.argsort(rank >> bit, kind="stable")
+        rank, weight = rank[again], weight[again]
+    return total
+
+
+def inversions(cells: DataFrame, sizes: Mapping[int, int], rows_per_bucket: int) -> dict[int, float]:
+    """Per id the weighted inversions of ``(id, x, y, n)``, whose (x, y) are distinct.
+
+    Ids with few cells are counted in one task each. The cells of others are cut into ranges of x and into ranges of y. Two
+    cells are in one range of x, and counted there; or in different ones but one range of y, and counted there by the
+    place of their ranges of x; or differ in both, and are counted on the table of both places, by this function again.
+    A value that fills a range has it to itself and nothing to count in it.
+    """
+    def count(table: pa.Table) -> pa.Table:
+        x, y, n = (table.column(c).to_numpy() for c in ("x", "y", "n"))
+        return pa.table({"id": pa.array([table.column("id")[0].as_py()], pa.int32()), "total": [weighted_inversions(x, y, n)]})
+
+    few = [i for i, size in sizes.items() if size <= max(rows_per_bucket, 64)]
+    found = dict.fromkeys(sizes, 0.0)
+    if few:
+        small = cells.where(F.col("id").isin(few)).groupBy("id").applyInArrow(count, "id int, total double")
+        found.update({r["id"]: r["total"] for r in small.collect()})
+    for i in sizes.keys() - set(few):
+        mine = cells.where(F.col("id") == i).select("x", "y", "n")
+        cut = mine
+        for c in ("x", "y"):
+            splits = _ranges(mine, c, sizes[i], rows_per_bucket)
+            cut = Bucketizer(splits=[-INF, *splits, INF], inputCol=c, outputCol=f"p{c}").transform(cut)
+        cut = cut.withColumns({"px": F.col("px").cast("int"), "py": F.col("py").cast("int")})
+        sides = F.array(
+            F.struct(F.lit(0).alias("side"), F.col("px").alias("range"), "x", "y", "n"),
+            F.struct(F.lit(1).alias("side"), F.col("py").alias("range"), F.col("px").cast("double").alias("x"), "y", "n"))
+        rows = cut.select(F.inline(sides)).withColumn("id", F.lit(i))
+        spans = rows.groupBy("side", "range").agg(F.min("x") == F.max("x"), F.min("y") == F.max("y")).collect()
+        flat = [side * FLAT + r for side, r, one_x, one_y in spans if one_x or one_y]
+        rows = rows.where(~(F.col("side") * FLAT + F.col("range").cast("bigint")).isin(flat))
+        inside = rows.groupBy("side", "range").applyInArrow(count, "id int, total double").agg(F.sum("total")).first()[0]
+        table = cut.groupBy(F.col("px").cast("double").alias("x"), F.col("py").cast("double").alias("y")).agg(F.sum("n").alias("n"))
+        table = table.withColumn("id", F.lit(i)).persist()
+        try:
+            found[i] = (inside or 0.0) + inversions(table, {i: table.count()}, rows_per_bucket)[i]
+        finally:
+            table.unpersist()
+    return found
+
+
+def _ranges(cells: DataFrame, c: str, size: int, rows_per_bucket: int) -> list[float]:
+    """Bounds of ranges of a value by sampled quantiles; a value that is more than one of them gets a range to itself.
+
+    Never so many that the table of places could be as large as what is cut.
+    """
+    wanted = max(2, min(math.ceil(size / rows_per_bucket), math.isqrt(size) // 4))
+    share = min(1.0, SAMPLED * wanted / size)
+    drawn = cells.select(c) if share == 1.0 else cells.select(c).sample(share, seed=3)
+    drawn = np.sort(drawn.toArrow().column(0).to_numpy())
+    values, times = np.unique(drawn[np.arange(1, wanted) * len(drawn) // wanted] if len(drawn) else drawn, return_counts=True)
+    return sorted({*values.tolist(), *np.nextafter(values[times > 1], INF).tolist()} - {-INF, INF})

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,7 @@ from tabprep.operators.stats import col, one_row
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EULER = 0.5772156649015329
+FEW_COPIES = 64              # of an equal row, each with a number of its own
 NODE_SCHEMA = "tree int, node int, feature int, cut double, depth double"
 
 
@@ -33,6 +34,17 @@ def expected_depth(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
 
 
+def _drawn_copies(share: float):
+    """Of many equal rows, how many are drawn if each is with the same chance: binomial, seeded by a hash of the row."""
+    @F.pandas_udf(T.LongType())
+    def draw(copies: pd.Series, mark: pd.Series) -> pd.Series:
+        return pd.Series([
+            0 if np.isnan(n) else int(np.random.default_rng(int(m) & (2 ** 63 - 1)).binomial(int(n), share))
+            for n, m in zip(copies.to_numpy(dtype=float), mark)], dtype="int64")
+
+    return draw
+
+
 def grow_tree(data: np.ndarray, tree: int, limit: int, seed: int) -> pd.DataFrame:
     """Split at random until rows are alone, alike or at the depth limit.
 
@@ -118,7 +130,8 @@ class IsolationForest:
     seed: int = 42
     row_key: Sequence[str] | None = None
 
-    def fit(self, df: DataFrame, cols: Sequence[str]) -> IsolationForestModel:
+    def _grown(self, df: DataFrame, cols: Sequence[str]) -> IsolationForestModel:
+        """The trees, without a cut."""
         counts = one_row(df, {None: F.count(F.lit(1)), **{c: F.count(col(c)) for c in cols}})
         rows = counts.pop(None)
         gaps = [c for c, n in counts.items() if n < rows]
@@ -135,24 +148,57 @@ class IsolationForest:
             return grow_tree(ordered[names].to_numpy(dtype=float), int(ordered["tree"].iloc[0]), limit, seed)
 
         nodes = self._samples(df, cols, names, rows, size).groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
-        model = IsolationForestModel(tuple(cols), nodes, size, self.contamination)
+        return IsolationForestModel(tuple(cols), nodes, size, self.contamination)
+
+    def _cut(self, scored: DataFrame) -> float:
+        return exact_quantiles(scored, ["score"], [1.0 - self.contamination])["score"][1.0 - self.contamination]
+
+    def fit(self, df: DataFrame, cols: Sequence[str]) -> IsolationForestModel:
+        model = self._grown(df, cols)
         scored = df.select(model.score().alias("score")).persist(StorageLevel.MEMORY_AND_DISK)   # one double per row
         try:
-            cut = exact_quantiles(scored, ["score"], [1.0 - self.contamination])
+            return replace(model, cut=self._cut(scored))
+        finally:
+            scored.unpersist()
+
+    def fit_flags(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+        """The table with ``score`` and ``outlier``, every row scored once.
+
+        The scored table stays in the executors' memory and disk until it is unpersisted, as the cut is a pass of its own.
+        """
+        scored = df.withColumn("score", self._grown(df, cols).score()).persist(StorageLevel.MEMORY_AND_DISK)
+        return scored.withColumn("outlier", F.col("score") > F.lit(self._cut(scored)))
+
+    def fit_keep(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+        """The rows that are no outliers among those passed in, which are scored once and kept as in ``fit_flags``."""
+        scored = df.withColumn("__score", self._grown(df, cols).score()).persist(StorageLevel.MEMORY_AND_DISK)
+        cut = self._cut(scored.select(F.col("__score").alias("score")))
+        return scored.where(F.col("__score") <= F.lit(cut)).drop("__score")
+
+    def count_outliers(self, df: DataFrame, cols: Sequence[str]) -> tuple[int, int]:
+        """Rows, and those of them that are outliers."""
+        scored = df.select(self._grown(df, cols).score().alias("score")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return tuple(scored.agg(F.count("*"), F.count_if(F.col("score") > F.lit(self._cut(scored)))).first())
         finally:
             scored.unpersist()
-        return IsolationForestModel(
-            model.columns, nodes, size, self.contamination, cut["score"][1.0 - self.contamination])
 
     def _samples(self, df: DataFrame, cols: Sequence[str], names: Sequence[str], rows: int, size: int) -> DataFrame:
         """``size`` rows per tree, chosen by seeded hash: the same ones however the table is partitioned."""
         values = [col(c).cast("double").alias(n) for c, n in zip(cols, names)]
         if self.row_key:
             hashed = df.select(F.xxhash64(F.lit(self.seed), *[col(k) for k in self.row_key]).alias("pick"), *values)
-        else:       # every copy of a repeated row has its own chance
+        else:       # every copy of a repeated row has its own chance, but only those that are likely to be taken are made
             counted = df.select(*values).groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
-            each = counted.select(*names, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
-            hashed = each.select(F.xxhash64(F.lit(self.seed), *names, "copy").alias("pick"), *names)
+            wanted = self.trees * size
+            share = min(1.0, (wanted + 6 * math.sqrt(wanted) + 20) / rows)
+            many = F.col("copies") > FEW_COPIES
+            drawn = F.when(many & F.lit(share < 1.0), _drawn_copies(share)(
+                F.when(many, F.col("copies")), F.xxhash64(F.lit(self.seed), *names))).otherwise(F.col("copies"))
+            some = counted.select(*names, many.alias("many"), drawn.alias("drawn")).where("drawn > 0")
+            each = some.select(*names, "many", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("drawn"))).alias("copy"))
+            free = F.shiftrightunsigned(F.xxhash64(F.lit(self.seed), *names, "copy"), 11) * (1.0 / (1 << 53))
+            hashed = each.select(F.when(F.col("many"), free * share).otherwise(free).alias("pick"), *names).where(F.col("pick") < share)
         lowest = hashed.orderBy("pick", *names).limit(self.trees * size)       # top-k per task, then merged
         if rows >= self.trees * size:
             place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("pick", *names))

@@ -7,7 +7,7 @@ runs inside the buckets, and a small table with one row per bucket carries value
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -233,17 +233,17 @@ def _carries(
         *[F.when(F.col(f"__tail{i}.g").eqNullSafe(F.col("__edge")), F.col(f"__tail{i}.v")).alias(c) for i, c in enumerate(cols)])
 
 
-def running_before(df: DataFrame, key: str, weight: str, name: str, buckets: OrderedBuckets) -> DataFrame:
-    """Add the total weight (a SQL expression) of all rows with a smaller key. The key must be unique."""
-    tagged = buckets.tag(df.withColumn("__w", F.expr(weight)))
-    local = tagged.withColumn(name, F.expr(
-        f"coalesce(sum(__w) over (partition by {BUCKET} order by `{key}` rows between unbounded preceding "
-        "and 1 preceding), 0L)"))
+def running_before(df: DataFrame, key: str, weights: Mapping[str, str], buckets: OrderedBuckets) -> DataFrame:
+    """Add, by name, the total of each weight (a SQL expression) over all rows with a smaller key. The key must be unique."""
+    held = {name: f"__w{i}" for i, name in enumerate(weights)}
+    tagged = buckets.tag(df.withColumns({w: F.expr(weights[name]) for name, w in held.items()}))
+    past = "rows between unbounded preceding and 1 preceding"
+    local = tagged.withColumns({
+        name: F.expr(f"coalesce(sum({w}) over (partition by {BUCKET} order by `{key}` {past}), 0L)") for name, w in held.items()})
     if not buckets.single:
-        offsets = tagged.groupBy(BUCKET).agg(F.sum("__w").alias("__total")).selectExpr(
-            f"{BUCKET} as __b",
-            f"coalesce(sum(__total) over (partition by 0 order by {BUCKET} rows between unbounded preceding "
-            "and 1 preceding), 0L) as __offset")
-        local = local.join(F.broadcast(offsets), F.expr(f"{BUCKET} = __b")).withColumn(       # one row per bucket
-            name, F.expr(f"`{name}` + __offset"))
-    return local.drop("__w", BUCKET, "__b", "__offset")
+        totals = tagged.groupBy(BUCKET).agg(*[F.sum(w).alias(w) for w in held.values()])
+        offsets = totals.selectExpr(f"{BUCKET} as __b", *[
+            f"coalesce(sum({w}) over (partition by 0 order by {BUCKET} {past}), 0L) as {w}o" for w in held.values()])
+        local = local.join(F.broadcast(offsets), F.expr(f"{BUCKET} = __b"))       # one row per bucket
+        local = local.withColumns({name: F.expr(f"`{name}` + {w}o") for name, w in held.items()})
+    return local.drop(*held.values(), BUCKET, "__b", *[f"{w}o" for w in held.values()])

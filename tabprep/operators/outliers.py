@@ -93,18 +93,24 @@ def handle_outliers(
             raise NotImplementedError("an isolation forest has no bounds to clip to")
         from tabprep.operators.iforest import IsolationForest
         cols = ColumnRoles.of(df).without(exclude).numeric
-        return IsolationForest(row_key=row_key).fit(df, cols).keep_inliers(df) if cols else df
+        return IsolationForest(row_key=row_key).fit_keep(df, cols) if cols else df
     limits = bounds(df, method, exclude, quantile_method)
     return drop_outside(df, limits) if strategy == "drop" else clip_to(df, limits)
 
 
 def outlier_report(
     df: DataFrame, method: str = "iqr", exclude: Sequence[str] = (), quantile_method: str = "exact",
+    row_key: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row: rows, rows a drop removes, their percentage, and values a clip would move.
 
-    Both counts come from one scan with the bounds in place.
+    Both counts come from one scan with the bounds in place. A forest has no bounds to clip to: its last number is null.
     """
+    if method == "isolation_forest":
+        from tabprep.operators.iforest import IsolationForest
+        rows, removed = IsolationForest(row_key=row_key).count_outliers(df, ColumnRoles.of(df).without(exclude).numeric)
+        return df.sparkSession.createDataFrame(
+            [(rows, removed, removed * 100.0 / rows, None)], "rows bigint, rows_removed bigint, percent_removed double, values_clipped bigint")
     limits = bounds(df, method, exclude, quantile_method)
     known = {c: b for c, b in limits.items() if b[0] is not None}
     inside = reduce(and_, [

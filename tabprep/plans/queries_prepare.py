@@ -396,7 +396,33 @@ def isolation(spark, sf_dir):
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-    return IsolationForest(row_key=key).fit(lines, cols).keep_inliers(lines)
+    return IsolationForest(row_key=key).fit_keep(lines, cols)
+
+
+PLANTED = "l_orderkey % 100 = 1"
+FAR_SQL = "l_extendedprice * 50 + 1e7"
+
+
+@query("outlier_forest_planted", f"""
+    select count(*) as rows, count(*) filter (where {PLANTED}) as planted, cast(0 as bigint) as planted_kept,
+           true as a_tenth_removed from lineitem""")
+def forest_planted(spark, sf_dir):
+    """Lines moved far away are all found, and about a tenth of the rows goes."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.expr(PLANTED).alias("planted"), F.expr(f"case when {PLANTED} then {FAR_SQL} else l_extendedprice end").alias("price"),
+        F.expr(f"case when {PLANTED} then l_quantity + 1000 else l_quantity end").alias("quantity"), "l_discount", "l_tax")
+    flags = IsolationForest().fit_flags(lines, ["price", "quantity", "l_discount", "l_tax"])
+    kept = F.count_if(F.col("planted") & ~F.col("outlier"))
+    share = F.count_if("outlier") / F.count("*")
+    return flags.agg(F.count("*").alias("rows"), F.count_if("planted").alias("planted"), kept.alias("planted_kept"),
+                     share.between(0.08, 0.12).alias("a_tenth_removed"))
+
+
+@query("outlier_forest_report", "select count(*) as rows, true as a_tenth_removed, cast(null as bigint) as values_clipped from lineitem")
+def forest_report(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    found = outlier_report(lines, "isolation_forest")
+    return found.select("rows", F.col("percent_removed").between(8, 12).alias("a_tenth_removed"), "values_clipped")
 
 
 # ---- encoding ----

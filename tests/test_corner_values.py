@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.text import parse_number
 from tabprep.operators.corr import correlation
-from tabprep.operators.iforest import IsolationForest
+from tabprep.operators.iforest import IsolationForest, _drawn_copies
 from tabprep.operators.outliers import bounds, count_outside, drop_outside
 from tabprep.operators.quantiles import quantiles
 from tabprep.operators.scale import Scaler
@@ -53,3 +53,18 @@ def test_bags_do_not_depend_on_splits(spark):
     parts = [bagged(lines.repartition(n), "id").select("*", F.spark_partition_id().alias("p")) for n in (2, 7)]
     assert parts[0].rdd.getNumPartitions() == FOREST_PARTS
     assert sorted(map(tuple, parts[0].collect())) == sorted(map(tuple, parts[1].collect()))
+
+
+def test_forest_on_one_row_with_very_many_copies(spark):
+    """Ten million equal rows are drawn by number, not made."""
+    hot = spark.range(1).select(F.lit(1.0).alias("x"), F.lit(2.0).alias("y"), F.lit(10_000_000).alias("copies"))
+    drawn = hot.select(_drawn_copies(0.0026)(F.col("copies"), F.lit(7)).alias("k"))
+    assert abs(drawn.first()["k"] - 26_000) < 6 * 26_000 ** 0.5
+    rows = spark.range(200_000).select(F.when(F.col("id") < 190_000, 1.0).otherwise(F.col("id") % 1000 / 100).alias("x"), F.lit(1.0).alias("y"))
+    planted = spark.createDataFrame([(500.0 + i, -500.0) for i in range(3)], "x double, y double")
+    forest = IsolationForest(trees=50, contamination=0.02)
+    flags = forest.fit_flags(rows.union(planted), ["x", "y"])
+    assert flags.where("x > 400 and outlier").count() == 3 and flags.count() == 200_003
+    kept = forest.fit_keep(rows.union(planted), ["x", "y"])
+    assert kept.count() == flags.where("not outlier").count() and kept.columns == ["x", "y"]
+    assert forest.count_outliers(rows.union(planted), ["x", "y"]) == (200_003, flags.where("outlier").count())

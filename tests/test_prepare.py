@@ -194,7 +194,7 @@ def test_running_before(spark):
     df = spark.range(500).withColumnRenamed("id", "key").repartition(7)
     buckets = OrderedBuckets.fit(df, ["key"], 30)
     assert not buckets.single
-    got = values(running_before(df, "key", "2L", "b", buckets))
+    got = values(running_before(df, "key", {"b": "2L"}, buckets))
     assert got == [(i, 2 * i) for i in range(500)]
 
 
