@@ -7,13 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.llm.common import Scratch, name
 from tabprep.llm.components import components
 
 FRAGMENTS = 8                            # in which overlaps are counted
+SIGNATURE = 16                           # longs of bits that can rule a pair out before its tokens move
+GAIN = 0.5                               # share of a round's pairs that must link for another round
 BROADCAST_KEYS = 4_000_000               # shared keys, 8 bytes each, that may be broadcast
 BROADCAST_PAIRS = 1_000_000              # two 8-byte nodes each
 CACHE_WORDS = 1_000_000                  # per Python worker; a full cache is emptied
@@ -89,8 +91,20 @@ def fragment_keys(tokens: np.ndarray, bounds: list[int], differ: list[int]) -> n
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def signature(tokens: np.ndarray) -> np.ndarray:
+    """A bit for the hash of each token, as ``SIGNATURE`` longs."""
+    bits = np.zeros(64 * SIGNATURE, np.uint8)
+    bits[(_mix(tokens) >> np.uint64(7)) % np.uint64(len(bits))] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def _lists(values: list[np.ndarray], kind=np.uint64) -> pa.Array:
+    ends = np.cumsum([0] + [len(x) for x in values])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*values, np.empty(0, kind)]).view(np.int64)))
+
+
 def _sets(docs: DataFrame, key: str, size: int, percent: int, what: str) -> DataFrame:
-    """Per document its set's hash and size, with the keys or with the tokens by fragment."""
+    """Per document its set's hash and size, with the keys, or with the tokens by fragment and their signature."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,24 +113,32 @@ def _sets(docs: DataFrame, key: str, size: int, percent: int, what: str) -> Data
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                hashes, sizes, lists = [], [], []
-                for text in part.column("text").to_pylist():
-                    tokens = shingle_set(text, size, cache)
-                    hashes.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) if len(tokens) else 0)
-                    sizes.append(len(tokens))
-                    if what != "sizes":
-                        lists.append(tokens if what == "tokens" else fragment_keys(tokens, bounds, differ) if len(tokens) else tokens)
-                columns = [part.column("key"), pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64())]
-                if what != "sizes":
-                    ends = np.cumsum([0] + [len(x) for x in lists])
-                    values = np.concatenate(lists) if lists else np.empty(0, np.uint64)
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64))))
-                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "list"][:len(columns)])
-
-    fields = f"key {kind}, node bigint, n bigint" + (", list array<bigint>" if what != "sizes" else "")
+                sets = [shingle_set(text, size, cache) for text in part.column("text").to_pylist()]
+                hashes = [xxhash.xxh3_64_intdigest(tokens.tobytes()) if len(tokens) else 0 for tokens in sets]
+                columns = [part.column("key"), pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array([len(x) for x in sets], pa.int64())]
+                if what == "keys":
+                    columns.append(_lists([fragment_keys(tokens, bounds, differ) if len(tokens) else tokens for tokens in sets]))
+                else:
+                    columns += [_lists(sets), _lists([signature(tokens) for tokens in sets], np.int64)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "list", "bits"][:len(columns)])
+
+    fields = f"key {kind}, node bigint, n bigint, list array<bigint>" + (", bits array<bigint>" if what == "tokens" else "")
     return docs.select(name(key).alias("key"), name("text").cast("string").alias("text")).mapInArrow(run, fields)
 
 
+def _possible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose signatures allow the similarity: a bit that only one set has is a token that the other lacks."""
+    ends = [signs.select(F.col("node").alias(f"__{e}"), F.col("n").alias(f"n{e}"), F.col("bits").alias(f"b{e}")) for e in "uv"]
+    met = pairs.join(ends[0], F.col("u") == F.col("__u")).join(ends[1], F.col("v") == F.col("__v"))
+
+    def most(a: str, b: str) -> Column:
+        alone = F.zip_with(f"b{a}", f"b{b}", lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))).cast("bigint"))
+        return F.col(f"n{a}") - F.aggregate(alone, F.lit(0).cast("bigint"), lambda x, y: x + y)
+
+    shared = F.least(most("u", "v"), most("v", "u"))
+    return met.filter(shared * (100 + percent) >= F.col("both") * percent).select("u", "v", "both")
+
+
 def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """Intersection sizes: counted fragment by fragment, then summed per pair.
 
@@ -192,6 +214,27 @@ def _only(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(wanted) if few else wanted, name(key).eqNullSafe(F.col("__first")), "left_semi")
 
 
+def _hooked(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots after some links: the lower root of each takes the highest it is linked with, and that one's, if it moves too.
+
+    What it leaves apart is merged later; equal roots always mean connected.
+    """
+    ends = [roots.select(F.col("node").alias(f"__{e}"), F.col("root").alias(f"r{e}")) for e in "uv"]
+    met = links.join(ends[0], F.col("u") == F.col("__u")).join(ends[1], F.col("v") == F.col("__v")).filter("ru <> rv")
+    moved = met.groupBy(F.least("ru", "rv").alias("old")).agg(F.max(F.greatest("ru", "rv")).alias("new"))
+    again = moved.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
+    moved = moved.join(again, F.col("new") == F.col("__old"), "left").select("old", F.coalesce("__new", "new").alias("new"))
+    return roots.join(moved, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+
+
+def _merged(scratch: Scratch, weight: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The component of every node, exact."""
+    if links is None:
+        return weight.select("node", F.col("node").alias("root"))
+    found = weight.select("node").join(components(links), "node", "left")
+    return scratch.keep(found.select("node", F.coalesce("root", "node").alias("root")))[0]
+
+
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
     """Per document: the key, ``n_shingles`` and ``component_id``, the least key that links lead to.
 
@@ -199,25 +242,24 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     union. Documents with equal sets are one node from the start (sets are told apart by a 64-bit hash). Keys
     (see ``fragment_keys``) that two nodes share make candidates. Not all pairs of a key are tried: in each round
     every node is held against one other, of the heads of its keys (their nodes with the most shared keys) that which it
-    shares most keys with, among those it is not connected with. Rounds go on while they find links; what is still apart
-    then is tried pair by pair, if enough keys are shared. Each pair tried is counted exactly, in eight fragments whose
-    partial overlaps are summed.
+    shares most keys with, among those it is not connected with. Rounds go on while half of their pairs link; what is still
+    apart then is tried pair by pair, if enough keys are shared. Pairs whose signatures leave a link possible are
+    counted exactly, in eight fragments whose partial overlaps are summed.
 
     Documents without words, null texts included, have 0 shingles and stay alone; of several rows with one key
     each gets a row, and they are one document if their texts agree. A null key is allowed and is no least key.
     The table may be empty. Only the key and ``text`` are read. Intermediate tables are removed when they have been read.
     """
     scratch = Scratch(docs.sparkSession)
-    light, _ = scratch.keep(_sets(docs, key, size, percent, "sizes"))
+    full, full_at = scratch.keep(_sets(docs, key, size, percent, "keys"))
+    light, _ = scratch.keep(full.select("key", "node", "n"))
     nodes = light.filter("n > 0").groupBy("node").agg(F.min("key").alias("first"), F.first("n").alias("n"))
-    reps = _only(docs, key, nodes.select(F.col("first").alias("__first")))
-    listed = _sets(reps, key, size, percent, "keys").filter("n > 0").select("node", F.explode("list").alias("at"))
-    shared = listed.groupBy("at").agg(F.count("*").alias("__n")).filter("__n > 1").select(F.col("at").alias("__at"))
-    shared, shared_at = scratch.keep(shared)
+    listed = _only(full, "key", nodes.select(F.col("first").alias("__first"))).filter("n > 0").select("node", F.explode("list").alias("at"))
+    shared, shared_at = scratch.keep(listed.groupBy("at").agg(F.count("*").alias("__n")).filter("__n > 1").select(F.col("at").alias("__at")))
     small = shared.count() <= BROADCAST_KEYS
     plain, plain_at = scratch.keep(
         listed.join(F.broadcast(shared) if small else shared, F.col("at") == F.col("__at")).select("at", "node").distinct())
-    scratch.drop(shared_at)
+    scratch.drop(full_at, shared_at)
     weight = plain.groupBy("node").agg(F.count("*").alias("w")).join(nodes, "node")
     weight, _ = scratch.keep(weight.select("node", "w", "n", "first"))
     members, members_at = scratch.keep(plain.join(weight.select("node", "w", "n"), "node"))
@@ -225,26 +267,28 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     texts = _only(docs, key, weight.select(F.col("first").alias("__first")))
     parts, parts_at = scratch.keep(
         _sets(texts, key, size, percent, "tokens")
-        .select("node", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "list")
-        .select("node", "fragment", F.filter("list", lambda t: F.pmod(F.shiftrightunsigned(t, 61), F.lit(FRAGMENTS)) == F.col("fragment")).alias("tokens")))
+        .select("node", "n", "bits", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "list")
+        .select("node", "n", "fragment", F.when(F.col("fragment") == 0, F.col("bits")).alias("bits"),
+                F.filter("list", lambda t: F.pmod(F.shiftrightunsigned(t, 61), F.lit(FRAGMENTS)) == F.col("fragment")).alias("tokens")))
+    signs = parts.filter("fragment = 0").select("node", "n", "bits").dropDuplicates(["node"])
 
-    roots, roots_at = scratch.keep(weight.select("node", F.col("node").alias("root")))
-    links, tried, last = None, None, False
+    roots, links, tried = weight.select("node", F.col("node").alias("root")), None, None
     while True:
         now = members.join(roots, "node")
-        pairs, _ = scratch.keep((_open_pairs if last else _hub_pairs)(now, percent, tried))
+        pairs, _ = scratch.keep(_possible(_hub_pairs(now, percent, tried), signs, percent))
         new, _ = scratch.keep(_linked(pairs, parts, percent))
-        found = new.count()
+        held, found = pairs.count(), new.count()
         if found:
-            links, old = new if links is None else links.union(new), (roots_at,)
-            merged = components(links)
-            roots, roots_at = scratch.keep(
-                weight.select("node").join(merged, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
-            scratch.drop(*old)
-        if last:
-            break
+            links = new if links is None else links.union(new)
+            roots, _ = scratch.keep(_hooked(roots, new))
         tried = pairs.select("u", "v") if tried is None else tried.union(pairs.select("u", "v"))
-        last = found == 0
+        if found < GAIN * held or not held:
+            break
+    roots = _merged(scratch, weight, links)
+    pairs, _ = scratch.keep(_possible(_open_pairs(members.join(roots, "node"), percent, tried), signs, percent))
+    new, _ = scratch.keep(_linked(pairs, parts, percent))
+    if not new.isEmpty():
+        roots = _merged(scratch, weight, new if links is None else links.union(new))
     scratch.drop(members_at, parts_at)
     least = weight.join(roots, "node").groupBy("root").agg(F.min("first").alias("component"))
     placed = roots.join(least, "root").select("node", "component")
