@@ -107,7 +107,9 @@ def _top_sql(source, cols):
                as rank from ({counted})) where rank <= 5"""
 
 
-TOP_COLUMNS = ("l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+TOP_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+    "l_linestatus", "l_shipdate")
 
 
 @query("top_values", _top_sql("lineitem", TOP_COLUMNS))
