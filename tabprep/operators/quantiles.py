@@ -1,17 +1,17 @@
-"""Exact quantiles of many columns by a radix histogram, without sorting or gathering a column.
-
-A double has a 64-bit whole number in the same order (see ``order_code``), read as four digits of 16 bits. One scan counts the rows
-of all columns by their first digit. The running counts say in which bin each wanted rank lies; the next scan counts
-the rows of those bins alone by their next digit, and so on. A bin whose least and greatest value agree, or whose first or last row
-is wanted, settles at once, so four scans are the most and two are usual. A task holds at most 65,536 counts per
-column and open bin, however many rows there are and however they are distributed.
+"""Exact quantiles of many columns by histograms of ever finer digits, without sorting or gathering a column.
+
+One scan counts the rows of all columns by a first digit: the sign and size of the value, a sixteenth of a power of two wide. The
+running counts say in which bin each wanted rank lies; the next scan counts the rows of those bins alone by which of
+65,536 equal parts of the bin's range they lie in, and so on. A bin whose least and greatest value agree, or whose first or last
+row is wanted, settles at once. A part is a 2^-20 of the one before, so four scans reach single doubles and two or three are
+usual. A task holds at most 65,536 counts per column and open bin, however many rows there are and however they
+are distributed, and no step is decided by a sample.
 """
 
 from __future__ import annotations
 
 import math
-import struct
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -20,44 +20,10 @@ from pyspark.sql import functions as F
 
 from tabprep.operators.stats import col, one_row
 
-DIGIT, LEVELS = 16, 4
+PARTS = 65_535
+FIRST, MIDDLE = 16, 1 << 16  # bins per power of two, and a number above all their places
 COLUMNS = 100                # per scan
 ACCURACY = 10_000            # percentile_approx: rank error of at most rows / ACCURACY
-INF = float("inf")
-INF_CODE = 0x7FF << 52
-
-
-def order_code(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The columns ``c0``, ``c1``, ...: per value a long in the order of the doubles, null for null and NaN.
-
-    It is the double's bit pattern, found by exact arithmetic: the power of two below the size of the value, and the
-    quotient, which has 52 bits behind its point. Negative values count down from -1; both zeros are 0.
-    """
-    at = [f"c{i}" for i in range(len(cols))]
-    named = df.select(*[col(c).cast("double").alias(a) for c, a in zip(cols, at)])
-    guessed = named.select("*", *[
-        F.when((F.abs(a) > 0) & (F.abs(a) < INF), F.floor(F.log2(F.abs(a)))).alias(f"g{a}") for a in at])
-
-    def power(a: str) -> Column:                       # the guess may be one off next to a power of two
-        g, size = F.col(f"g{a}"), F.abs(F.col(a))
-        two = F.pow(F.lit(2.0), g)
-        return F.greatest(F.when(two > size, g - 1).when(two * 2 <= size, g + 1).otherwise(g), F.lit(-1022))
-
-    raised = guessed.select(*at, *[power(a).alias(f"e{a}") for a in at])
-
-    def code(a: str) -> Column:
-        e, size = F.col(f"e{a}"), F.abs(F.col(a))
-        bits = (e + 1022) * (1 << 52) + (size / F.pow(F.lit(2.0), e) * float(1 << 52)).cast("bigint")
-        whole = F.when(size == 0, F.lit(0)).when(size == INF, F.lit(INF_CODE)).when(e.isNotNull(), bits).cast("bigint")
-        return F.when(F.isnan(a), F.lit(None)).when(F.col(a) < 0, -1 - whole).otherwise(whole)
-
-    return raised.select(*[code(a).alias(a) for a in at])
-
-
-def decoded(code: int) -> float:
-    """The double of an order code."""
-    size = struct.unpack(">d", struct.pack(">q", code if code >= 0 else -1 - code))[0]
-    return size if code >= 0 else -size
 
 
 def interpolate(low: float, high: float, at: float) -> float:
@@ -67,6 +33,16 @@ def interpolate(low: float, high: float, at: float) -> float:
     return (math.ceil(at) - at) * low + (at - math.floor(at)) * high
 
 
+def _size_bin(x: Column) -> Column:
+    """A whole number that rises with the value: logarithms are rounded, but never against their order."""
+    place = F.floor(F.least(F.log2(F.abs(x)), F.lit(1100.0)) * FIRST) + MIDDLE
+    return F.when(x > 0, place).when(x < 0, -place).otherwise(F.lit(0).cast("bigint"))
+
+
+def _high_bits(x: Column) -> Column:
+    return F.shiftright(x, 48)
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float | None]]:
     """Linearly interpolated quantiles ``{column: {p: value}}``; nulls and NaN are left out, of no rows they are null."""
     probs = sorted(set(probs))
@@ -77,7 +53,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
         last = F.col("total") - 1
         asked = [f(F.lit(p) * last) for p in probs for f in (F.floor, F.ceil)]
         places = lambda total: {k for p in probs for k in (math.floor(p * (total - 1)), math.ceil(p * (total - 1)))}
-        found = _select(order_code(df, part), len(part), dict.fromkeys(range(len(part)), asked), lambda i, total: places(total))
+        found = _select(_doubles(df, part), dict.fromkeys(range(len(part)), asked), lambda i, total: places(total), _size_bin)
         for i, (total, values) in found.items():
             for p in probs:
                 at = p * (total - 1)
@@ -92,46 +68,52 @@ def order_statistics(df: DataFrame, ranks: Mapping[str, Iterable[int]], whole: b
     """
     cols, wanted = list(ranks), {c: sorted(set(ks)) for c, ks in ranks.items()}
     asked = {i: [F.lit(k) for k in wanted[c]] for i, c in enumerate(cols)}
-    codes = df.select(*[col(c).cast("bigint").alias(f"c{i}") for i, c in enumerate(cols)]) if whole else order_code(df, cols)
-    found = _select(
-        codes, len(cols), asked, lambda i, total: [k for k in wanted[cols[i]] if k < total], int if whole else decoded)
+    values = df.select(*[col(c).cast("bigint").alias(f"c{i}") for i, c in enumerate(cols)]) if whole else _doubles(df, cols)
+    found = _select(values, asked, lambda i, total: [k for k in wanted[cols[i]] if k < total], _high_bits if whole else _size_bin)
     return {c: found[i][1] if i in found else {} for i, c in enumerate(cols)}
 
 
+def _doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns ``c0``, ``c1``, ... as doubles: null for NaN, one zero for both."""
+    doubles = [col(c).cast("double") for c in cols]
+    return df.select(*[F.when(~F.isnan(d), d + F.lit(0.0)).alias(f"c{i}") for i, d in enumerate(doubles)])
+
+
 def _select(
-    codes: DataFrame, columns: int, asked: Mapping[int, Sequence[Column]], ranks, read=decoded,
+    values: DataFrame, asked: Mapping[int, Sequence[Column]], ranks: Callable, first: Callable[[Column], Column],
 ) -> dict[int, tuple[int, dict[int, float]]]:
     """``{column: (rows, {rank: value})}``. ``asked`` finds the ranks' bins in the first scan, before the rows are known."""
-    found: dict[int, tuple[int, dict[int, float]]] = {}
-    hits = reduce(or_, [(F.col("i") == i) & _crossed(asked[i]) for i in range(columns)])
-    bins = _histogram(codes, {i: None for i in range(columns)}, 0).where(hits).collect()
-    for i in range(columns):
-        own = [b for b in bins if b["i"] == i]
-        if own:
-            found[i] = (own[0]["total"], {})
-    wanted = {(i, None): [(k, 0) for k in ranks(i, total)] for i, (total, _) in found.items()}
-    for level in range(1, LEVELS + 1):
-        open_: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for (i, prefix), places in wanted.items():
-            own = [b for b in bins if b["i"] == i and (prefix is None or b["key"] >> DIGIT == prefix)]
+    cells = [F.struct(F.lit(i).alias("i"), first(F.col(f"c{i}")).alias("digit"), F.col(f"c{i}").alias("v")) for i in asked]
+    hits = reduce(or_, [(F.col("i") == i) & _crossed(ks) for i, ks in asked.items()])
+    bins = _histogram(values, cells).where(hits).collect()
+    found: dict[int, tuple[int, dict[int, float]]] = {b["i"]: (b["total"], {}) for b in bins}
+    # bin: its column, and (rank, rows below the bin) for each rank in it
+    open_ = {i: (i, [(k, 0) for k in ranks(i, total)]) for i, (total, _) in found.items()}
+    while open_:
+        wider: dict[tuple, list[tuple[int, int]]] = {}
+        for at, (i, places) in open_.items():
+            own = [b for b in bins if b["i"] == at]
             for rank, below in places:
                 b = next(b for b in own if b["upto"] - b["n"] <= rank - below < b["upto"])
-                first = below + b["upto"] - b["n"]
-                if b["lo"] == b["hi"] or rank == first:
-                    found[i][1][rank] = read(b["lo"])
-                elif rank == first + b["n"] - 1:
-                    found[i][1][rank] = read(b["hi"])
+                lowest = below + b["upto"] - b["n"]
+                if b["lo"] == b["hi"] or rank == lowest:
+                    found[i][1][rank] = b["lo"]
+                elif rank == lowest + b["n"] - 1:
+                    found[i][1][rank] = b["hi"]
                 else:
-                    open_.setdefault((i, b["key"]), []).append((rank, first))
+                    wider.setdefault((i, b["lo"], b["hi"]), []).append((rank, lowest))
+        open_ = {at: (i, places) for at, ((i, _, _), places) in enumerate(wider.items())}
         if not open_:
             break
-        prefixes: dict[int, list[int]] = {}
-        for i, key in open_:
-            prefixes.setdefault(i, []).append(key)
-        hits = reduce(or_, [
-            (F.col("i") == i) & (F.col("prefix") == key) & _crossed([F.lit(rank - first) for rank, first in places])
-            for (i, key), places in open_.items()])
-        bins, wanted = _histogram(codes, prefixes, level).where(hits).collect(), open_
+        cells = {}
+        for at, (i, lo, hi) in enumerate(wider):
+            x = F.col(f"c{i}")
+            digit = F.floor((x - F.lit(lo)) / F.lit(float(hi - lo)) * F.lit(float(PARTS)))
+            cell = F.struct(F.lit(at).alias("i"), digit.alias("digit"), x.alias("v"))
+            cells[i] = cells[i].when(x.between(lo, hi), cell) if i in cells else F.when(x.between(lo, hi), cell)
+        touched = reduce(or_, [F.col(f"c{i}").between(lo, hi) for i, lo, hi in wider])
+        hits = reduce(or_, [(F.col("i") == at) & _crossed([F.lit(k - below) for k, below in places]) for at, (_, places) in open_.items()])
+        bins = _histogram(values.where(touched), list(cells.values())).where(hits).collect()
     return found
 
 
@@ -139,21 +121,12 @@ def _crossed(ranks: Sequence[Column]) -> Column:
     return reduce(or_, [(F.col("upto") > k) & (F.col("upto") - F.col("n") <= k) for k in ranks])
 
 
-def _histogram(codes: DataFrame, prefixes: Mapping[int, Sequence[int] | None], level: int) -> DataFrame:
-    """Counts, running counts and extremes by the digits up to ``level``, of the codes that begin with a wanted prefix."""
-    cells, touched = [], []
-    for i, wanted in prefixes.items():
-        code = F.col(f"c{i}")
-        inside = code.isNotNull() if wanted is None else F.shiftright(code, DIGIT * (LEVELS - level)).isin(list(wanted))
-        touched.append(inside)
-        cells.append(F.struct(F.lit(i).alias("i"), F.when(inside, code).alias("code")))
-    rows = codes.where(reduce(or_, touched)).select(F.inline(F.array(*cells))).where(F.col("code").isNotNull())
-    key = F.shiftright("code", DIGIT * (LEVELS - 1 - level))
-    counted = rows.groupBy("i", key.alias("key")).agg(F.count("*").alias("n"), F.min("code").alias("lo"), F.max("code").alias("hi"))
-    prefix = F.shiftright("key", DIGIT) if level else F.lit(0).cast("bigint")
-    counted = counted.withColumn("prefix", prefix)
-    group = Window.partitionBy("i", "prefix")                                  # at most 65,536 rows
-    running = group.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+def _histogram(values: DataFrame, cells: Sequence[Column]) -> DataFrame:
+    """Counts, running counts and extremes of the cells ``(i, digit, v)`` by bin and digit."""
+    rows = values.select(F.inline(F.array(*cells))).where(F.col("v").isNotNull())
+    counted = rows.groupBy("i", "digit").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    group = Window.partitionBy("i")                                            # at most 131,072 rows
+    running = group.orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
     return counted.withColumns({"upto": F.sum("n").over(running), "total": F.sum("n").over(group)})
 
 

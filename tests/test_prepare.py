@@ -11,7 +11,7 @@ from tabprep.operators.iforest import IsolationForest
 from tabprep.operators.impute import Imputer, modes
 from tabprep.operators.ordered import BUCKET, OrderedBuckets, fill, running_before
 from tabprep.operators.outliers import bounds, clip_to, count_outside, drop_outside, handle_outliers, outlier_report
-from tabprep.operators.quantiles import decoded, exact_quantiles, order_code, order_statistics, quantiles
+from tabprep.operators.quantiles import exact_quantiles, order_statistics, quantiles
 from tabprep.operators.roles import ColumnRoles
 from tabprep.operators.scale import Scaler
 from tabprep.operators.split import assign_folds, split_exact, split_hash
@@ -44,28 +44,14 @@ def test_exact_quantiles_have_the_bits_of_percentile(spark):
         assert all([got[c][p] for p in PROBS] == list(want[c]) for c in cols)
 
 
-def test_order_codes_are_the_bits_of_doubles(spark):
-    """All powers of two and their neighbours, subnormal numbers, zeros, infinities and random bit patterns."""
-    rng = np.random.default_rng(3)
-    powers = [2.0 ** e for e in range(-1074, 1024)]
-    near = [np.nextafter(p, w) for p in powers for w in (0.0, np.inf)]
-    drawn = rng.integers(-2 ** 63, 2 ** 63 - 1, 20_000).view(np.float64)
-    values = [float(v) for v in np.concatenate([powers, near, drawn[~np.isnan(drawn)], [0.0, np.inf]])]
-    values += [-v for v in values]
-    got = order_code(spark.createDataFrame([(v,) for v in values], "v double"), ["v"]).collect()
-    want = [int(np.float64(abs(v)).view(np.int64)) for v in values]
-    want = [-1 - b if v < 0 else b for v, b in zip(values, want)]
-    assert [r[0] for r in got] == want
-    assert all(decoded(c) == v for c, v in zip(want, values))
-    gaps = spark.createDataFrame([(None,), (float("nan"),)], "v double")
-    assert [r[0] for r in order_code(gaps, ["v"]).collect()] == [None, None]
-
-
 def test_quantiles_of_hard_columns_in_five_jobs(spark):
     """Values that share most of their bits, of both signs and all sizes, and ties, each against a sort."""
     rng = np.random.default_rng(4)
     n = 3001
+    powers = np.array([2.0 ** e for e in range(-1074, 1024)])
+    drawn = rng.integers(-2 ** 63, 2 ** 63 - 1, 9000).view(np.float64)
     hard = {
+        "bits": drawn[~np.isnan(drawn)][:n], "powers": rng.permutation(np.concatenate([powers, -powers, np.nextafter(powers, 0)]))[:n],
         "close": 1.0 + rng.integers(0, 5000, n) * 2.0 ** -52, "sized": rng.normal(size=n) * 10.0 ** rng.integers(-300, 300, n),
         "tied": rng.integers(-2, 3, n).astype(float), "tiny": rng.integers(-9, 9, n) * 5e-324, "far": np.where(rng.random(n) < 0.4, -np.inf, np.inf)}
     pdf = pd.DataFrame(hard)
