@@ -126,17 +126,24 @@ def _sets(docs: DataFrame, key: str, size: int, percent: int, what: str) -> Data
     return docs.select(name(key).alias("key"), name("text").cast("string").alias("text")).mapInArrow(run, fields)
 
 
-def _possible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose signatures allow the similarity: a bit that only one set has is a token that the other lacks."""
-    ends = [signs.select(F.col("node").alias(f"__{e}"), F.col("n").alias(f"n{e}"), F.col("bits").alias(f"b{e}")) for e in "uv"]
-    met = pairs.join(ends[0], F.col("u") == F.col("__u")).join(ends[1], F.col("v") == F.col("__v"))
-
+def _allowed(left: str, right: str, both: Column, percent: int) -> Column:
+    """Whether two signatures allow the similarity: a bit that only one set has is a token that the other lacks."""
     def most(a: str, b: str) -> Column:
-        alone = F.zip_with(f"b{a}", f"b{b}", lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))).cast("bigint"))
-        return F.col(f"n{a}") - F.aggregate(alone, F.lit(0).cast("bigint"), lambda x, y: x + y)
+        alone = [F.bit_count(F.col(f"{a}{i}").bitwiseAND(F.bitwise_not(F.col(f"{b}{i}")))) for i in range(SIGNATURE)]
+        return F.col(f"{a}n") - sum(alone[1:], alone[0])
+
+    return F.least(most(left, right), most(right, left)) * (100 + percent) >= both * percent
+
 
-    shared = F.least(most("u", "v"), most("v", "u"))
-    return met.filter(shared * (100 + percent) >= F.col("both") * percent).select("u", "v", "both")
+def _signed(signs: DataFrame, side: str) -> DataFrame:
+    return signs.select(F.col("node").alias(f"__{side}"), F.col("n").alias(f"{side}n"), *[
+        F.get("bits", F.lit(i)).alias(f"{side}{i}") for i in range(SIGNATURE)])
+
+
+def _possible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose signatures allow a link."""
+    met = pairs.join(_signed(signs, "x"), F.col("u") == F.col("__x")).join(_signed(signs, "y"), F.col("v") == F.col("__y"))
+    return met.filter(_allowed("x", "y", F.col("both"), percent)).select("u", "v", "both")
 
 
 def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -181,27 +188,31 @@ def _hub_pairs(now: DataFrame, percent: int, tried: DataFrame | None) -> DataFra
     return best.select("best.u", "v", "best.both")
 
 
-def _open_pairs(now: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
-    """All pairs of different components that share enough keys for a link.
+def _open_pairs(now: DataFrame, signs: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
+    """All pairs of different components that share enough keys for a link, and whose signatures allow it.
 
     A pair that is apart shares open keys only, so its shared keys are counted in full. In a key the nodes of the component that
-    holds most of it are met by the others, not by each other.
+    holds most of it are met by the others, not by each other. The signatures are compared where the nodes meet, so a
+    key with many unlike nodes makes no rows.
     """
     bounds, differ = size_classes(percent)
     held = now.groupBy("at", "root").agg(F.count("*").alias("k"))
     major = held.groupBy("at").agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("roots")).filter("roots > 1")
     major = major.select(F.col("at").alias("__at"), F.col("top.root").alias("major"))
-    open_ = now.join(major, F.col("at") == F.col("__at")).select("at", "node", "root", "n", "major")
-    some = open_.filter("root <> major").select(F.col("at").alias("__at"), F.col("node").alias("u"), F.col("root").alias("__root"), F.col("n").alias("m"))
-    met = open_.join(some, F.col("at") == F.col("__at")).filter(
-        (F.col("root") != F.col("__root")) & ((F.col("root") == F.col("major")) | (F.col("node") < F.col("u")))).filter(_near_sizes("n", "m", percent))
+    open_ = now.join(major, F.col("at") == F.col("__at")).select("at", "node", "root", "major")
+    some = open_.filter("root <> major").select(F.col("at").alias("__at"), F.col("node").alias("u"), F.col("root").alias("__root"))
+    mine = open_.join(_signed(signs, "y"), F.col("node") == F.col("__y"))
+    yours = some.join(_signed(signs, "x"), F.col("u") == F.col("__x"))
+    met = mine.join(yours, (F.col("at") == F.col("__at")) & (F.col("root") != F.col("__root"))
+                    & ((F.col("root") == F.col("major")) | (F.col("node") < F.col("u")))
+                    & _near_sizes("xn", "yn", percent) & _allowed("x", "y", F.col("xn") + F.col("yn"), percent))
     most = int(bounds[-1])
     least = F.lit(0)
     for low, d in zip(bounds, differ):                       # the class of the smaller set
         if low < most and d:
-            least = F.when(F.least("n", "m") >= low, F.lit(d // 50 + 2)).otherwise(least)
+            least = F.when(F.least("xn", "yn") >= low, F.lit(d // 50 + 2)).otherwise(least)
     counted = met.groupBy(F.greatest("u", "node").alias("u"), F.least("u", "node").alias("v")).agg(
-        F.count("*").alias("c"), F.max(F.col("n") + F.col("m")).alias("both"), F.max(least).alias("least")).filter("c >= least")
+        F.count("*").alias("c"), F.max(F.col("xn") + F.col("yn")).alias("both"), F.max(least).alias("least")).filter("c >= least")
     if tried is not None:
         both = tried.union(tried.select("v", "u")).distinct()
         counted = counted.join(both, ["u", "v"], "left_anti")
@@ -285,7 +296,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
         if found < GAIN * held or not held:
             break
     roots = _merged(scratch, weight, links)
-    pairs, _ = scratch.keep(_possible(_open_pairs(members.join(roots, "node"), percent, tried), signs, percent))
+    pairs, _ = scratch.keep(_open_pairs(members.join(roots, "node"), signs, percent, tried))
     new, _ = scratch.keep(_linked(pairs, parts, percent))
     if not new.isEmpty():
         roots = _merged(scratch, weight, new if links is None else links.union(new))

@@ -100,7 +100,8 @@ def profiles(docs: DataFrame) -> DataFrame:
     return (
         chars.alias("a").join(totals.alias("b"), same("a", "b")).join(top.alias("c"), same("a", "c"))
         .filter(F.col("total") >= MIN_PROFILE_WORDS)
-        .select("a.lang", "char_shares", F.col("top.word").alias("common"), F.concat(shares, F.array(rest)).alias("word_shares")))
+        .select("a.lang", F.col("char_shares").alias("__char_shares"), F.col("top.word").alias("__common"),
+                F.concat(shares, F.array(rest)).alias("__word_shares")))
 
 
 def judge(docs: DataFrame, references: DataFrame | None = None) -> DataFrame:
@@ -108,7 +109,7 @@ def judge(docs: DataFrame, references: DataFrame | None = None) -> DataFrame:
 
     Everything about a document is worked out in its row: no shuffle, whatever its length. A document is rejected
     if the base rule fails, or if the distance of its character classes or of its common words to the profile of
-    its language is above the limit. Documents below the length guards are not judged by that histogram (their
+    its language is above the limit, which for words is at most nine tenths of what a text without them has. Documents below the length guards are not judged by that histogram (their
     distance is null), nor are those whose language, null being one, has no profile. Null texts count as empty and
     fail the base rule. Columns of these names are replaced, all others kept.
     """
@@ -129,15 +130,18 @@ def judge(docs: DataFrame, references: DataFrame | None = None) -> DataFrame:
             "n_repeat_words": _repeat_words(F.col("__words"))}))
     joined = with_lookup(counted, known, "lang", F.xxhash64(text))
     own_chars = F.transform("__classes", lambda c: c / F.col("__chars"))
-    hits = F.transform("common", lambda w: F.size("__words") - F.size(F.array_remove(F.col("__words"), w)))
+    hits = F.transform("__common", lambda w: F.size("__words") - F.size(F.array_remove(F.col("__words"), w)))
     own_words = let(hits, lambda h: F.concat(
         F.transform(h, lambda c: c / F.col("n_words")),
         F.array(1 - F.aggregate(h, F.lit(0), lambda a, b: a + b) / F.col("n_words"))))
-    char_distance = F.when((F.col("__chars") >= MIN_CHARS) & F.col("char_shares").isNotNull(), _distance(own_chars, F.col("char_shares")))
-    word_distance = F.when((F.col("n_words") >= MIN_WORDS) & F.col("common").isNotNull(), _distance(own_words, F.col("word_shares")))
+    char_distance = F.when((F.col("__chars") >= MIN_CHARS) & F.col("__char_shares").isNotNull(), _distance(own_chars, F.col("__char_shares")))
+    word_distance = F.when((F.col("n_words") >= MIN_WORDS) & F.col("__common").isNotNull(), _distance(own_words, F.col("__word_shares")))
     judged = joined.withColumns({
         "word_chars": (F.col("__chars") - F.get("__classes", F.lit(3))).cast("bigint"),
         "char_distance": char_distance, "word_distance": word_distance,
         "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))})
-    near = F.coalesce(F.col("char_distance") <= CHAR_LIMIT, F.lit(True)) & F.coalesce(F.col("word_distance") <= WORD_LIMIT, F.lit(True))
+    # a text with none of the common words is rejected in every language, however little of it they cover
+    none = F.transform("__word_shares", lambda x, i: (i == F.size("__word_shares") - 1).cast("double"))
+    limit = F.least(F.lit(WORD_LIMIT), 0.9 * _distance(none, F.col("__word_shares")))
+    near = F.coalesce(F.col("char_distance") <= CHAR_LIMIT, F.lit(True)) & F.coalesce(F.col("word_distance") <= limit, F.lit(True))
     return judged.withColumn("kept", ~F.col("base_failed") & near).select(*[name(c) for c in kept.columns], *made)

@@ -86,7 +86,8 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.size(words(body())).cast("bigint").alias("size"))
     return mix(docs).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("bigint").alias("taken"))
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("bigint").alias("taken"),
+        F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"))
 
 
 SPACES = "\\x20\\x09-\\x0D"
