@@ -16,6 +16,7 @@ from tabprep.operators.stats import col, numeric_summary, one_row
 
 BINS = 30
 GRID_POINTS = 200
+FINENESS = 64         # bins per bandwidth
 REACH = 9.0           # bandwidths; a Gaussian beyond is below the rounding of the sum
 
 
@@ -69,13 +70,14 @@ def _bin_of(x: Column, start: float, width: float, bins: int) -> Column:
 
 
 def kde(
-    df: DataFrame, cols: Sequence[str] | None = None, points: int = GRID_POINTS, weighted_bins: int | None = None,
+    df: DataFrame, cols: Sequence[str] | None = None, points: int = GRID_POINTS, fineness: int = FINENESS,
 ) -> DataFrame:
     """``(column, point, x, density)``: Gaussian density by Scott's rule on an even grid from minimum to maximum.
 
-    Every value adds to the grid points within reach of its kernel only, and the additions are combined on the map
-    side, so the shuffle holds ``points`` rows per column and task. With ``weighted_bins`` values are first counted
-    in that many bins (2,048 are plenty), which makes the work per row constant and the result approximate.
+    One scan counts all columns in bins of a ``fineness``-th of the bandwidth, with the first three moments of the values
+    about the middle of their bin; only these are shuffled, whatever the rows. A bin adds to the grid points within
+    ``REACH`` bandwidths by the expansion of the kernel to the third order, so the error is below
+    ``(1 / (2 * fineness)) ** 4 / 8`` of the kernel's peak, 5e-10 by default, and below 3e-18 of it for what lies farther off.
     """
     names = numeric_columns(df, cols)
     stats = numeric_summary(df, names, ("count", "std", "min", "max"))
@@ -86,33 +88,31 @@ def kde(
             setup[c] = (s["min"], (s["max"] - s["min"]) / (points - 1), s["std"] * s["count"] ** -0.2, s["count"])
     spark = df.sparkSession
     frame = spark.createDataFrame(
-        [(c, *v) for c, v in setup.items()], "column string, start double, step double, width double, total bigint",
-    ).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        [(c, *v) for c, v in setup.items()], "column string, start double, step double, width double, total bigint")
     if not setup:
         sums = spark.createDataFrame([], "column string, point int, total_weight double")
     else:
-        # The constants of a column ride along with its values.
-        values = df.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("value"), F.lit(v[0]).alias("start"),
-                     F.lit(v[1]).alias("step"), F.lit(v[2]).alias("width")) for c, v in setup.items()
-        ]))).where(F.col("value").isNotNull())
-        start, step, width = F.col("start"), F.col("step"), F.col("width")
-        weight: Column = F.lit(1.0)
-        if weighted_bins:
-            size = step * (points - 1) / weighted_bins
-            slot = F.least(F.floor((F.col("value") - start) / size), F.lit(weighted_bins - 1))
-            # The mean of a bin stands for its values, so the error is of second order in the bin width.
-            values = values.groupBy("column", "start", "step", "width", slot.alias("slot")).agg(
-                F.count(F.lit(1)).alias("w"), F.avg("value").alias("value"))
-            weight = F.col("w")
-        place = (F.col("value") - start) / step
-        reach = width * REACH / step
-        first = F.greatest(F.ceil(place - reach), F.lit(0)).cast("int")
-        last = F.least(F.floor(place + reach), F.lit(points - 1)).cast("int")
-        near = values.withColumn("point", F.explode(F.when(first <= last, F.sequence(first, last))))
-        z = (start + F.col("point") * step - F.col("value")) / width
-        sums = near.groupBy("column", "point").agg(F.sum(weight * F.exp(z * z * -0.5)).alias("total_weight"))
-    return frame.join(F.broadcast(sums), ["column", "point"], "left").select(   # points rows per column
+        cells = []
+        for c, (start, _, width, _) in setup.items():
+            place = (col(c).cast("double") - start) / width * fineness
+            cells.append(F.struct(F.lit(c).alias("column"), F.floor(place).alias("bin"), place.alias("place")))
+        d = (F.col("place") - F.col("bin") - 0.5) / fineness              # from the middle of the bin, in bandwidths
+        bins = (
+            df.select(F.inline(F.array(*cells))).where(F.col("place").isNotNull()).select("column", "bin", d.alias("d"))
+            .groupBy("column", "bin").agg(
+                F.count(F.lit(1)).alias("n"), F.sum("d").alias("d1"), F.sum(F.expr("d * d")).alias("d2"), F.sum(F.expr("d * d * d")).alias("d3"))
+            .join(F.broadcast(frame), "column"))                           # one row per column
+        middle, per = (F.col("bin") + 0.5) / fineness, F.col("step") / F.col("width")
+        first = F.greatest(F.ceil((middle - REACH) / per), F.lit(0)).cast("int")
+        last = F.least(F.floor((middle + REACH) / per), F.lit(points - 1)).cast("int")
+        near = bins.select(
+            "column", "n", "d1", "d2", "d3", middle.alias("middle"), per.alias("per"), F.explode(F.when(first <= last, F.sequence(first, last))).alias("point"))
+        z = F.col("point") * F.col("per") - F.col("middle")
+        near = near.withColumn("z", z)
+        weight = F.expr("exp(-0.5D * z * z) * (n + z * d1 + (z * z - 1) / 2 * d2 + (z * z - 3) * z / 6 * d3)")
+        sums = near.groupBy("column", "point").agg(F.sum(weight).alias("total_weight"))
+    grid = frame.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    return grid.join(F.broadcast(sums), ["column", "point"], "left").select(   # points rows per column
         "column", "point", (F.col("start") + F.col("point") * F.col("step")).alias("x"),
         (F.coalesce("total_weight", F.lit(0.0)) / (F.col("total") * F.col("width") * math.sqrt(2 * math.pi))).alias("density"),
     )

@@ -10,14 +10,14 @@ from tabprep.operators.distribution import box_stats, histogram, kde
 from tabprep.operators.profile import Facts, profile, profile_long
 
 
-def explore(df: DataFrame, corr_method: str = "pearson", kde_bins: int | None = None) -> dict[str, DataFrame]:
+def explore(df: DataFrame, corr_method: str = "pearson") -> dict[str, DataFrame]:
     """The profile tables plus correlation, histogram, density and box statistics, from one collection of facts."""
     facts = Facts.collect(df)
     return {
         **profile(df, facts),
         "correlation": correlation(df, corr_method),
         "histogram": histogram(df),
-        "kde": kde(df, weighted_bins=kde_bins),
+        "kde": kde(df),
         "box_stats": box_stats(df, quartiles=dict(facts.quartiles)),
     }
 
