@@ -113,8 +113,10 @@ def find_spans(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     marked = docs.select(name(key).alias("__id"), F.xxhash64(text).alias("__mark"), text.alias("__body"))
     found = checkpointed(_candidates(marked))
     found = found.withColumn("valid", F.col("strict") & _valid(F.col("kind"), F.col("match")))
-    place = Window.partitionBy("__id", "__mark").orderBy("start", F.col("valid").desc(), "end", "kind", "strict")
-    earlier, later = place.rowsBetween(Window.unboundedPreceding, -1), place.rowsBetween(1, Window.unboundedFollowing)
+    # what follows is looked at in reverse: a frame to the end would be gone through anew for every row
+    group, upto = Window.partitionBy("__id", "__mark"), (Window.unboundedPreceding, -1)
+    earlier = group.orderBy("start", F.col("valid").desc(), "end", "kind", "strict").rowsBetween(*upto)
+    later = group.orderBy(F.desc("start"), "valid", F.desc("end"), F.desc("kind"), F.desc("strict")).rowsBetween(*upto)
 
     def touches(kind: str) -> Column:
         of_kind = F.col("valid") & (F.col("kind") == kind)
@@ -146,9 +148,9 @@ def find_spans(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         loose = model.transform(assembler.transform(rows.filter("apart"))).withColumn("p", chance).filter(F.col("p") >= limit)
         loose = loose.select("__id", "__mark", "kind", "start", "end")
         both = base.withColumn("taken", F.lit(1)).union(loose.withColumn("taken", F.lit(0)))
-        by_place = Window.partitionBy("__id", "__mark", "kind").orderBy("start", F.col("taken").desc(), F.col("end").desc())
-        reach = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
-        soon = F.min(F.when(F.col("taken") == 1, F.col("start"))).over(by_place.rowsBetween(1, Window.unboundedFollowing))
+        of_kind = Window.partitionBy("__id", "__mark", "kind")
+        reach = F.max("end").over(of_kind.orderBy("start", F.col("taken").desc(), F.col("end").desc()).rowsBetween(*upto))
+        soon = F.min(F.when(F.col("taken") == 1, F.col("start"))).over(of_kind.orderBy(F.desc("start"), "taken", "end").rowsBetween(*upto))
         free = (F.coalesce(reach, F.lit(-1)) <= F.col("start")) & (F.coalesce(soon, F.col("end")) >= F.col("end"))
         every = both.withColumn("free", free).filter((F.col("taken") == 1) | F.col("free")).select(*base.columns)
     rank = F.array_position(F.lit(list(KINDS)), F.col("kind"))

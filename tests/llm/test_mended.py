@@ -63,17 +63,23 @@ def test_base_spans_against_brute_force(spark, documents):
         assert set(joined.split(",")) <= set(row.spans.split(","))
 
 
-N = 300_000
-LONG = {
-    "digits": "7" * N, "spaced": "4 " * N, "dashes": "4-" * N, "domain": "a@b" + ".c" * N, "local": "a" * N, "dots": "1." * N,
-    "plus": "+1" * N, "phone": "+1" + " " * N, "ats": "a@" * N, "dotted": "." * N, "spelled": "x (at) y (dot) " * (N // 8)}
+def long_texts(n):
+    return {
+        "digits": "7" * n, "spaced": "4 " * n, "dashes": "4-" * n, "domain": "a@b" + ".c" * n, "local": "a" * n, "dots": "1." * n,
+        "plus": "+1" * n, "phone": "+1" + " " * n, "ats": "a@" * n, "dotted": "." * n, "spelled": "x (at) y (dot) " * (n // 8)}
 
 
-def test_spans_in_very_long_runs(spark):
-    rows = [(i, t) for i, t in enumerate(LONG.values())]
-    got = find_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "base").collect()
-    for r in got:
+def test_spans_in_long_runs(spark):
+    """Short enough for the plain search, then long enough to overflow a recursive one."""
+    rows = list(enumerate(long_texts(600).values()))
+    for r in find_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "base").collect():
         assert [(s.kind, s.start, s.end) for s in r.base] == base_spans(rows[r.doc_id][1])
+    n = 100_000
+    texts = long_texts(n)
+    found = find_spans(spark.createDataFrame(list(texts.items()), "doc_id string, text string"))
+    got = {r.doc_id: r for r in found.select("doc_id", F.size("base").alias("n"), F.get("base", F.lit(0)).alias("first")).collect()}
+    assert (got["domain"].n, got["domain"].first.end) == (1, 2 * n + 3) and got["dots"].n == n // 4
+    assert all(got[k].n == 0 for k in texts if k not in ("domain", "dots"))
 
 
 # ---- quality
