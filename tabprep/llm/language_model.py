@@ -145,7 +145,9 @@ class LogBilinear:
         A row is met with its count as weight; rows above the mean count are met several times, with equal shares.
         """
         rng = np.random.default_rng(seed)
-        log_noise, table = np.log(NOISE * noise), np.cumsum(noise)
+        log_noise, table = np.log(NOISE * noise).astype(np.float32), np.cumsum(noise)
+        spread = lambda at, values: np.bincount(
+            (at[:, None] * SIZE + np.arange(SIZE)).ravel(), values.ravel(), CLASSES * SIZE + SIZE).reshape(-1, SIZE)
         times = np.ceil(n / n.mean()).astype(np.int64)
         met = rng.permutation(np.repeat(np.arange(len(n)), times))
         weight = n / times
@@ -153,7 +155,7 @@ class LogBilinear:
         squares = [np.full_like(v, 1e-3) for v in self.values()]
         for at in range(0, len(met), batch):
             rows = met[at:at + batch]
-            c, share = code[rows], weight[rows] / (usual * len(rows))
+            c, share = code[rows], (weight[rows] / (usual * len(rows))).astype(np.float32)
             word, one, two = c % CLASSES, c // CLASSES % (CLASSES + 1), c // CLASSES // (CLASSES + 1)
             r1, r2 = self.context[one], self.context[two]
             q = r1 @ self.near + r2 @ self.far
@@ -164,16 +166,13 @@ class LogBilinear:
             up = share / (1.0 + np.exp(np.clip(right, -30, 30)))
             down = -share[:, None] / (1.0 + np.exp(-np.clip(wrong, -30, 30)))
             dq = up[:, None] * own + down @ other
-            grads = [np.zeros_like(v) for v in self.values()]
-            np.add.at(grads[0], one, dq @ self.near.T)
-            np.add.at(grads[0], two, dq @ self.far.T)
-            np.add.at(grads[1], word, up[:, None] * q)
-            np.add.at(grads[1], drawn, down.T @ q)
-            grads[4] += np.bincount(word, up, CLASSES) + np.bincount(drawn, down.sum(axis=0), CLASSES)
-            grads[2], grads[3] = r1.T @ dq, r2.T @ dq
+            grads = [
+                spread(one, dq @ self.near.T) + spread(two, dq @ self.far.T),
+                (spread(word, up[:, None] * q) + spread(drawn, down.T @ q))[:CLASSES], r1.T @ dq, r2.T @ dq,
+                np.bincount(word, up, CLASSES) + np.bincount(drawn, down.sum(axis=0), CLASSES)]
             for value, grad, square in zip(self.values(), grads, squares):
-                square += grad * grad
-                value += step * grad / np.sqrt(square) * 0.1
+                square += (grad * grad).astype(np.float32)
+                value += (step * grad / np.sqrt(square) * 0.1).astype(np.float32)
 
     def log_totals(self) -> np.ndarray:
         """The logarithm that normalises each context, by products of batches of contexts with all classes."""
@@ -190,13 +189,12 @@ class Scorer:
     """Log10 probabilities of classes in their contexts, from the parameters and one total per context."""
 
     def __init__(self, model: LogBilinear):
-        self.near, self.far = model.context @ model.near, model.context @ model.far
-        self.target, self.bias, self.totals = model.target, model.bias, model.log_totals()
+        self.near, self.far = [(model.context @ m).astype(np.float32) for m in (model.near, model.far)]
+        self.target, self.bias, self.totals = model.target.astype(np.float32), model.bias, model.log_totals()
 
     def __call__(self, contexts: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-        seen, place = np.unique(contexts, return_inverse=True)
-        queries = self.near[seen % (CLASSES + 1)] + self.far[seen // (CLASSES + 1)]
-        score = np.einsum("ij,ij->i", queries[place], self.target[kinds])
+        two, one = np.divmod(contexts, CLASSES + 1)
+        score = np.einsum("ij,ij->i", self.near[one] + self.far[two], self.target[kinds])
         return (score + self.bias[kinds] - self.totals[contexts]) / np.log(10)
 
 
@@ -213,7 +211,7 @@ def _fit(trigrams: DataFrame, unigram: np.ndarray) -> LogBilinear:
             table = pa.Table.from_batches(held) if (held := list(batches)) else None
             if table is None or not table.num_rows:
                 return
-            local = LogBilinear([v.copy() for v in now])
+            local = LogBilinear([v.astype(np.float32) for v in now])
             n = table.column("n").to_numpy().astype(np.float64)
             local.train(table.column("code").to_numpy(), n, noise, turn, STEP / (1 + 0.5 * turn) * 4)
             flat = np.concatenate([v.ravel() for v in local.values()])
