@@ -121,7 +121,8 @@ def refined_eigen(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 top = np.abs(b).max()
                 if top > 0:
                     x[:, group] = y @ np.linalg.eigh(((b + b.T) / (2 * top)).astype(np.float64))[1][:, ::-1].astype(WIDE)
-    x = x / np.sqrt((x * x).sum(axis=0))
+    for _ in range(2):                         # where values are below the extended precision, turns leave a rest of it
+        x = x @ (3 * unit - x.T @ x) / 2
     values = (x * (a @ x)).sum(axis=0)
     order = np.argsort(-values, kind="stable")
     x, values = x[:, order], values[order]
