@@ -259,7 +259,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
 
     Documents without words, null texts included, have 0 shingles and stay alone; of several rows with one key
     each gets a row, and they are one document if their texts agree. A null key is allowed and is no least key.
-    The table may be empty. Only the key and ``text`` are read. Intermediate tables are removed when they have been read.
+    The table may be empty. Only the key and ``text`` are read. The large intermediate tables are removed once read.
     """
     scratch = Scratch(docs.sparkSession)
     full, full_at = scratch.keep(_sets(docs, key, size, percent, "keys"))
