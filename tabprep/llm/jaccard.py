@@ -14,7 +14,7 @@ from tabprep.llm.common import Scratch, name
 from tabprep.llm.components import components
 
 FRAGMENTS = 8                            # in which overlaps are counted
-SIGNATURE = 16                           # longs of bits that can rule a pair out before its tokens move
+SIGNATURE = 16                           # longs of bits that can rule a pair out before its tokens move; large sets have more
 GAIN = 0.5                               # share of a round's pairs that must link for another round
 BROADCAST_KEYS = 4_000_000               # shared keys, 8 bytes each, that may be broadcast
 BROADCAST_PAIRS = 1_000_000              # two 8-byte nodes each
@@ -91,11 +91,21 @@ def fragment_keys(tokens: np.ndarray, bounds: list[int], differ: list[int]) -> n
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def signature(tokens: np.ndarray) -> np.ndarray:
-    """A bit for the hash of each token, as ``SIGNATURE`` longs."""
-    bits = np.zeros(64 * SIGNATURE, np.uint8)
-    bits[(_mix(tokens) >> np.uint64(7)) % np.uint64(len(bits))] = 1
-    return np.packbits(bits).view(np.int64)
+def signature(tokens: np.ndarray, longs: int = SIGNATURE) -> np.ndarray:
+    """Whether an odd number of tokens has each hash, as bits.
+
+    Tokens of both sets leave no mark on the difference of two signatures: it shows how many tokens are in one only.
+    """
+    held = np.bincount(((_mix(tokens) >> np.uint64(7)) % np.uint64(64 * longs)).view(np.int64), minlength=64 * longs)
+    return np.packbits((held & 1).astype(np.uint8)).view(np.int64)
+
+
+def long_signature(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """A signature in which unlike sets of this size differ by more bits than linked ones can; empty where the short one does."""
+    longs = SIGNATURE
+    while 32 * longs * (100 + percent) < 2.2 * len(tokens) * (100 - percent):
+        longs *= 2
+    return signature(tokens, longs) if longs > SIGNATURE else np.empty(0, np.int64)
 
 
 def _lists(values: list[np.ndarray], kind=np.uint64) -> pa.Array:
@@ -119,24 +129,36 @@ def _sets(docs: DataFrame, key: str, size: int, percent: int, what: str) -> Data
                 if what == "keys":
                     columns.append(_lists([fragment_keys(tokens, bounds, differ) if len(tokens) else tokens for tokens in sets]))
                 else:
-                    columns += [_lists(sets), _lists([signature(tokens) for tokens in sets], np.int64)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "list", "bits"][:len(columns)])
+                    columns += [_lists(sets), _lists([signature(tokens) for tokens in sets], np.int64),
+                                _lists([long_signature(tokens, percent) for tokens in sets], np.int64)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "list", "bits", "more"][:len(columns)])
 
-    fields = f"key {kind}, node bigint, n bigint, list array<bigint>" + (", bits array<bigint>" if what == "tokens" else "")
+    fields = f"key {kind}, node bigint, n bigint, list array<bigint>" + (", bits array<bigint>, more array<bigint>" if what == "tokens" else "")
     return docs.select(name(key).alias("key"), name("text").cast("string").alias("text")).mapInArrow(run, fields)
 
 
 def _allowed(left: str, right: str, both: Column, percent: int) -> Column:
-    """Whether two signatures allow the similarity: a bit that only one set has is a token that the other lacks."""
-    def most(a: str, b: str) -> Column:
-        alone = [F.bit_count(F.col(f"{a}{i}").bitwiseAND(F.bitwise_not(F.col(f"{b}{i}")))) for i in range(SIGNATURE)]
-        return F.col(f"{a}n") - sum(alone[1:], alone[0])
+    """Whether two signatures allow the similarity: each bit in which they differ is a token that one of the sets lacks."""
+    def near(apart: Column) -> Column:
+        return apart * (100 + percent) <= both * (100 - percent)
+
+    def apart(a: Column, b: Column) -> Column:
+        bits = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("bigint"))
+        return F.aggregate(bits, F.lit(0).cast("bigint"), lambda total, n: total + n)
 
-    return F.least(most(left, right), most(right, left)) * (100 + percent) >= both * percent
+    def halved(a: Column) -> Column:                     # the signature of half the length
+        half = (F.size(a) / 2).cast("int")
+        return F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+    short = [F.bit_count(F.col(f"{left}{i}").bitwiseXOR(F.col(f"{right}{i}"))) for i in range(SIGNATURE)]
+    a, b = F.col(f"{left}more"), F.col(f"{right}more")
+    long = F.when((F.size(a) == 0) | (F.size(b) == 0), True).when(F.size(a) == F.size(b), near(apart(a, b)))
+    long = long.when(F.size(a) == 2 * F.size(b), near(apart(halved(a), b))).when(F.size(b) == 2 * F.size(a), near(apart(a, halved(b))))
+    return near(sum(short[1:], short[0])) & long.otherwise(True)
 
 
 def _signed(signs: DataFrame, side: str) -> DataFrame:
-    return signs.select(F.col("node").alias(f"__{side}"), F.col("n").alias(f"{side}n"), *[
+    return signs.select(F.col("node").alias(f"__{side}"), F.col("n").alias(f"{side}n"), F.col("more").alias(f"{side}more"), *[
         F.get("bits", F.lit(i)).alias(f"{side}{i}") for i in range(SIGNATURE)])
 
 
@@ -173,17 +195,20 @@ def _near_sizes(n: str, m: str, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def _hub_pairs(now: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
-    """Per node the pair it has the most keys of, of the pairs with the heads of its keys: none with its own component."""
+def _headed(now: DataFrame) -> DataFrame:
+    """The keys of more than one component, with their heads: the nodes with the most shared keys."""
     heads = now.groupBy("at").agg(
         F.max(F.struct("w", "node", "root", "n")).alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi")
     ).filter("lo < hi").select(F.col("at").alias("__at"), "hub")
-    met = now.join(heads, F.col("at") == F.col("__at")).filter(F.col("root") != F.col("hub.root"))
+    return now.join(heads, F.col("at") == F.col("__at")).drop("__at")
+
+
+def _hub_pairs(met: DataFrame, percent: int) -> DataFrame:
+    """Per node the pair it has the most keys of, of the pairs with the heads of its keys: none with its own component, none tried."""
+    met = met.filter((F.col("root") != F.col("hub.root")) & ~F.coalesce(F.array_contains("tried", F.col("hub.node")), F.lit(False)))
     met = met.select(F.col("hub.node").alias("u"), F.col("node").alias("v"), F.col("hub.w").alias("w"), "n", F.col("hub.n").alias("m"))
     met = met.filter(_near_sizes("n", "m", percent)).groupBy("u", "v").agg(
         F.count("*").alias("c"), F.max("w").alias("w"), F.max(F.col("n") + F.col("m")).alias("both"))
-    if tried is not None:
-        met = met.join(tried, ["u", "v"], "left_anti")
     best = met.groupBy("v").agg(F.max(F.struct("c", "w", "u", "both")).alias("best"))
     return best.select("best.u", "v", "best.both")
 
@@ -278,21 +303,30 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     texts = _only(docs, key, weight.select(F.col("first").alias("__first")))
     parts, parts_at = scratch.keep(
         _sets(texts, key, size, percent, "tokens")
-        .select("node", "n", "bits", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "list")
-        .select("node", "n", "fragment", F.when(F.col("fragment") == 0, F.col("bits")).alias("bits"),
+        .select("node", "n", "bits", "more", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "list")
+        .select("node", "n", "fragment", *[F.when(F.col("fragment") == 0, F.col(c)).alias(c) for c in ("bits", "more")],
                 F.filter("list", lambda t: F.pmod(F.shiftrightunsigned(t, 61), F.lit(FRAGMENTS)) == F.col("fragment")).alias("tokens")))
-    signs = parts.filter("fragment = 0").select("node", "n", "bits").dropDuplicates(["node"])
+    signs = parts.filter("fragment = 0").select("node", "n", "bits", "more").dropDuplicates(["node"])
 
     roots, links, tried = weight.select("node", F.col("node").alias("root")), None, None
     while True:
-        now = members.join(roots, "node")
-        pairs, _ = scratch.keep(_possible(_hub_pairs(now, percent, tried), signs, percent))
+        if tried is None:
+            now = members.withColumns({"root": F.col("node"), "tried": F.lit(None).cast("array<bigint>")})
+        else:
+            before = tried.groupBy("v").agg(F.collect_set("u").alias("tried"))
+            now = members.join(roots.join(before, F.col("node") == F.col("v"), "left").select("node", "root", "tried"), "node")
+        met, met_at = scratch.keep(_headed(now))                               # keys inside a component stay inside
+        scratch.drop(members_at)
+        members, members_at = met.select("at", "node", "w", "n"), met_at
+        chosen, _ = scratch.keep(_hub_pairs(met, percent))
+        pairs, _ = scratch.keep(_possible(chosen, signs, percent))
         new, _ = scratch.keep(_linked(pairs, parts, percent))
         held, found = pairs.count(), new.count()
         if found:
             links = new if links is None else links.union(new)
             roots, _ = scratch.keep(_hooked(roots, new))
-        tried = pairs.select("u", "v") if tried is None else tried.union(pairs.select("u", "v"))
+        apart = chosen.join(new, ["u", "v"], "left_anti").select("u", "v")
+        tried = apart if tried is None else tried.union(apart)
         if found < GAIN * held or not held:
             break
     roots = _merged(scratch, weight, links)
