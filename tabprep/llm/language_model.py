@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,41 +21,52 @@ SIZE = 24                                # of a class vector
 ROUNDS, NOISE, STEP = 4, 64, 0.25
 PART_ROWS, LEAST_PARTS = 500_000, 8      # rows of the trigram counts that one part trains on, and parts of small tables
 END_HASH = 0
-CACHE_WORDS = 1_000_000
+SLICE_BYTES = 2 << 20                     # of text that is taken at a time, whole documents
+HELD = 4_000_000                         # trigrams, or words with counts, that a task holds before it passes them on
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word) or 1
-        return out
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of documents of about ``SLICE_BYTES`` of text, one at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
 
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens of some texts, the tokens as places among them, and where each text begins.
 
-def _tokens(texts: list[str | None], cache: _Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of some texts, each with its end, and where each text begins."""
-    out, ends = [], [0]
-    for text in texts:
-        out.extend(map(cache.__getitem__, (text or "").encode().lower().split()))
-        out.append(END_HASH)
-        ends.append(len(out))
-    return np.array(out, np.uint64).view(np.int64), np.array(ends)
+    Only A-Z are lowered, and the six ASCII spaces part words. The empty word is the end that each text has.
+    """
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    ended = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(texts, "", " "))
+    split = pc.ascii_split_whitespace(ended)
+    found = split.flatten().dictionary_encode()
+    _, places, held = found.dictionary.buffers()
+    data, places = held.to_pybytes() if held else b"", np.frombuffer(places, np.int32, len(found.dictionary) + 1)
+    words = [data[i:j] for i, j in zip(places.tolist(), places[1:].tolist())]              # to_pylist takes four times as long
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+    hashes = np.where(np.diff(places) == 0, END_HASH, np.where(hashes == 0, 1, hashes))
+    ends = split.offsets.to_numpy().astype(np.int64)
+    return hashes, found.indices.to_numpy(), ends - ends[0]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache, held, n = _Hashes(), [], 0
+    held, n = [], 0
 
     def flush() -> pa.RecordBatch:
-        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        values, place = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([c for _, c in held])).astype(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["hash", "n"])
 
     for batch in batches:
-        texts = batch.filter(batch.column("train")).column("text").to_pylist()
-        for at in range(0, len(texts), 200):
-            tokens, _ = _tokens(texts[at:at + 200], cache)
-            held.append(tokens)
-            n += len(tokens)
-            if n > 2_000_000:
+        for part in _slices(batch.filter(batch.column("train"))):
+            hashes, tokens, _ = _tokens(part.column("text"))
+            held.append((hashes, np.bincount(tokens, minlength=len(hashes))))
+            n += len(hashes)
+            if n > HELD // 4:
                 yield flush()
                 held, n = [], 0
     if held:
@@ -101,20 +113,19 @@ def _contexts(kinds: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _trigrams(head: Head):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, held, n = _Hashes(), [], 0
+        held, n = [], 0
 
         def flush() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["code", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts)], ["code", "n"])
 
         for batch in batches:
-            texts = batch.filter(batch.column("train")).column("text").to_pylist()
-            for at in range(0, len(texts), 200):
-                tokens, ends = _tokens(texts[at:at + 200], cache)
-                kinds, _, _ = head.classify(tokens)
-                held.append(_contexts(kinds, ends[:-1]) * CLASSES + kinds)
+            for part in _slices(batch.filter(batch.column("train"))):
+                hashes, tokens, ends = _tokens(part.column("text"))
+                kinds = head.classify(hashes)[0][tokens]
+                held.append((_contexts(kinds, ends[:-1]) * CLASSES + kinds).astype(np.int32))       # below 2 ** 25
                 n += len(kinds)
-                if n > 2_000_000:
+                if n > HELD:
                     yield flush()
                     held, n = [], 0
         if held:
@@ -233,13 +244,11 @@ def _score(head: Head, scorer: Scorer, scale: float, total: int):
     end_base = np.log10((total + 0.1) / scale)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Hashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                tokens, ends = _tokens(part.column("text").to_pylist(), cache)
-                kinds, place, found = head.classify(tokens)
-                is_end = tokens == END_HASH
+            for part in _slices(batch):
+                hashes, tokens, ends = _tokens(part.column("text"))
+                kinds, place, found = [v[tokens] for v in head.classify(hashes)]
+                is_end = kinds == END
                 model = scorer(_contexts(kinds, ends[:-1]), kinds)
                 if len(inside):
                     model += np.where(found, inside[place], 0.0)
@@ -248,7 +257,7 @@ def _score(head: Head, scorer: Scorer, scale: float, total: int):
                 open_ = ~(found | is_end)
                 doc = np.repeat(np.arange(part.num_rows), np.diff(ends))
                 starts = ends[:-1]
-                rest = tokens[open_]
+                rest = hashes[tokens[open_]]
                 order = np.lexsort((rest, doc[open_]))
                 rest, owner = rest[order], doc[open_][order]
                 new = np.flatnonzero(np.concatenate(([True], (rest[1:] != rest[:-1]) | (owner[1:] != owner[:-1])))) if len(rest) else np.empty(0, np.int64)

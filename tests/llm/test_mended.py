@@ -6,10 +6,11 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tabprep.llm import queries
+from tabprep.llm import language_model, queries
 from tabprep.llm.language_model import CLASSES, LogBilinear, Scorer, score_texts
 from tabprep.llm.mix import mix
 from tabprep.llm.pii import find_spans
@@ -161,3 +162,15 @@ def test_mix_meets_its_targets(spark):
     assert (copies * got["size"] == got.taken).all() and set(",".join(got.shards[copies > 0]).split(",")) <= set("01234567")
     again = mix(spark.createDataFrame(documents).select("doc_id", "source", F.lit(5).cast("bigint").alias("size")).limit(0))
     assert again.collect() == []
+
+
+def test_distinct_words_are_hashed_once(monkeypatch):
+    """Every token was hashed or looked up by itself."""
+    texts = ["", None, "  ", "a", " A\x0bb\x0c\x1cc\td\ne\rf  ", "".join(map(chr, range(1, 300))), "\u00c9 \u00e9  x y", "end " * 500]
+    seen, real = [], language_model.xxhash.xxh64_intdigest
+    monkeypatch.setattr(language_model.xxhash, "xxh64_intdigest", lambda w: seen.append(w) or real(w))
+    hashes, tokens, ends = language_model._tokens(pa.array(["unread", *texts])[1:])
+    wanted = [(text or "").encode().lower().split() for text in texts]
+    flat = np.array([h for words in wanted for h in [*map(real, words), language_model.END_HASH]], np.uint64).view(np.int64)
+    assert hashes[tokens].tolist() == flat.tolist() and ends.tolist() == np.cumsum([0] + [len(w) + 1 for w in wanted]).tolist()
+    assert len(seen) == len(set(seen))
