@@ -153,6 +153,8 @@ class OrderedBuckets:
             heavy = {f"{path}.0": v for path, v in heavy.items() if v[0] != at}
             for r in left:
                 after = at + (r["lo"] == r["hi"])
+                if after > at and parts[at].kind == "null" and r["hi"] == 0.0:       # nothing but nulls: no other part of the key differs
+                    after = next((i for i in range(after, len(parts)) if parts[i].key != parts[at].key), len(parts))
                 if after < len(parts):
                     heavy[r["path"]] = (after, r["n"], r["hi"] if after == at else None)
         return found

@@ -385,3 +385,12 @@ def test_folds(spark):
     assert {r["fold"] for r in got} == set(range(5)) and sum(r["count"] for r in got) == 1000
     with pytest.raises(ValueError):
         assign_folds(spark.range(3), ["id"], 1)
+
+
+def test_null_keys_are_not_cut_by_their_text(spark):
+    """Rows whose text key is null went through a cut, two scans of the table, for every five bytes of the longest text."""
+    df = spark.range(400).selectExpr("id", "if(id = 7, repeat('x', 40), null) as code", "if(id % 5 = 0, id, null) as v")
+    kinds = [cut.part.kind for cut in OrderedBuckets.fit(df, ["code", "id"], 20).cuts]
+    assert kinds[0] == "null" and "text" not in kinds and len(kinds) <= 4
+    found = {r["id"]: r["v"] for r in fill(df, ["v"], ["code", "id"], rows_per_bucket=20).collect()}
+    assert found == {i: 395 if i == 7 else i - i % 5 for i in range(400)}
