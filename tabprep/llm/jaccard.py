@@ -15,6 +15,8 @@ from tabprep.llm.components import components
 
 FRAGMENTS = 8                            # in which overlaps are counted
 SIGNATURE = 16                           # longs of bits that can rule a pair out before its tokens move; large sets have more
+KEY_BITS = 40                            # of a key: equal keys are candidates only, and fewer bytes move
+FIRST = 16                               # least open keys of a node that decide where a pair is met
 GAIN = 0.5                               # share of a round's pairs that must link for another round
 BROADCAST_KEYS = 4_000_000               # shared keys, 8 bytes each, that may be broadcast
 BROADCAST_PAIRS = 1_000_000              # two 8-byte nodes each
@@ -88,7 +90,7 @@ def fragment_keys(tokens: np.ndarray, bounds: list[int], differ: list[int]) -> n
         if n - len(starts) > slack:
             empty = np.setdiff1d(np.arange(n, dtype=np.uint64), place[starts])
             out.append(_mix(empty * M1 + tag))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    return np.concatenate(out) >> np.uint64(64 - KEY_BITS) if out else np.empty(0, np.uint64)
 
 
 def signature(tokens: np.ndarray, longs: int = SIGNATURE) -> np.ndarray:
@@ -157,8 +159,8 @@ def _allowed(left: str, right: str, both: Column, percent: int) -> Column:
     return near(sum(short[1:], short[0])) & long.otherwise(True)
 
 
-def _signed(signs: DataFrame, side: str) -> DataFrame:
-    return signs.select(F.col("node").alias(f"__{side}"), F.col("n").alias(f"{side}n"), F.col("more").alias(f"{side}more"), *[
+def _signed(signs: DataFrame, side: str, *kept: str) -> DataFrame:
+    return signs.select(F.col("node").alias(f"__{side}"), *[F.col(c).alias(f"{side}{c}") for c in ("n", "more", *kept)], *[
         F.get("bits", F.lit(i)).alias(f"{side}{i}") for i in range(SIGNATURE)])
 
 
@@ -213,12 +215,14 @@ def _hub_pairs(met: DataFrame, percent: int) -> DataFrame:
     return best.select("best.u", "v", "best.both")
 
 
-def _open_pairs(now: DataFrame, signs: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
-    """All pairs of different components that share enough keys for a link, and whose signatures allow it.
+def _meetings(now: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Where nodes of different components meet whose signatures allow a link.
 
     A pair that is apart shares open keys only, so its shared keys are counted in full. In a key the nodes of the component that
     holds most of it are met by the others, not by each other. The signatures are compared where the nodes meet, so a
-    key with many unlike nodes makes no rows.
+    key with many unlike nodes makes no rows. If the ``FIRST`` least open keys of two nodes have one in common, the pair
+    makes a row at the least of those only, not at each of its thousands of shared keys; if both lists are whole, they
+    show how many keys are shared, and if not, the pair is taken without a count.
     """
     bounds, differ = size_classes(percent)
     held = now.groupBy("at", "root").agg(F.count("*").alias("k"))
@@ -226,18 +230,29 @@ def _open_pairs(now: DataFrame, signs: DataFrame, percent: int, tried: DataFrame
     major = major.select(F.col("at").alias("__at"), F.col("top.root").alias("major"))
     open_ = now.join(major, F.col("at") == F.col("__at")).select("at", "node", "root", "major")
     some = open_.filter("root <> major").select(F.col("at").alias("__at"), F.col("node").alias("u"), F.col("root").alias("__root"))
-    mine = open_.join(_signed(signs, "y"), F.col("node") == F.col("__y"))
-    yours = some.join(_signed(signs, "x"), F.col("u") == F.col("__x"))
-    met = mine.join(yours, (F.col("at") == F.col("__at")) & (F.col("root") != F.col("__root"))
-                    & ((F.col("root") == F.col("major")) | (F.col("node") < F.col("u")))
-                    & _near_sizes("xn", "yn", percent) & _allowed("x", "y", F.col("xn") + F.col("yn"), percent))
+    firsts = open_.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("at")), 1, FIRST).alias("firsts"))
+    signed = signs.join(firsts, "node")
+    mine = open_.join(_signed(signed, "y", "firsts"), F.col("node") == F.col("__y"))
+    yours = some.join(_signed(signed, "x", "firsts"), F.col("u") == F.col("__x"))
+    common = F.array_intersect("xfirsts", "yfirsts")
     most = int(bounds[-1])
     least = F.lit(0)
     for low, d in zip(bounds, differ):                       # the class of the smaller set
         if low < most and d:
             least = F.when(F.least("xn", "yn") >= low, F.lit(d // 50 + 2)).otherwise(least)
-    counted = met.groupBy(F.greatest("u", "node").alias("u"), F.least("u", "node").alias("v")).agg(
-        F.count("*").alias("c"), F.max(F.col("xn") + F.col("yn")).alias("both"), F.max(least).alias("least")).filter("c >= least")
+    whole = (F.size("xfirsts") < FIRST) & (F.size("yfirsts") < FIRST)
+    here = F.when(F.arrays_overlap("xfirsts", "yfirsts"), (F.array_min(common) == F.col("at")) & (~whole | (F.size(common) >= least))).otherwise(True)
+    return mine.join(yours, (F.col("at") == F.col("__at")) & (F.col("root") != F.col("__root"))
+                      & ((F.col("root") == F.col("major")) | (F.col("node") < F.col("u")))
+                      & _near_sizes("xn", "yn", percent) & _allowed("x", "y", F.col("xn") + F.col("yn"), percent) & here).select(
+        F.greatest("u", "node").alias("u"), F.least("u", "node").alias("v"), (F.col("xn") + F.col("yn")).alias("both"),
+        least.alias("least"), F.arrays_overlap("xfirsts", "yfirsts").alias("once"))
+
+
+def _open_pairs(now: DataFrame, signs: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
+    """All pairs of different components that share enough keys for a link, and whose signatures allow it."""
+    counted = _meetings(now, signs, percent).groupBy("u", "v").agg(
+        F.count("*").alias("c"), F.max("both").alias("both"), F.max("least").alias("least"), F.max("once").alias("once")).filter("once or c >= least")
     if tried is not None:
         both = tried.union(tried.select("v", "u")).distinct()
         counted = counted.join(both, ["u", "v"], "left_anti")
@@ -325,7 +340,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
         if found:
             links = new if links is None else links.union(new)
             roots, _ = scratch.keep(_hooked(roots, new))
-        apart = chosen.join(new, ["u", "v"], "left_anti").select("u", "v")
+        apart, _ = scratch.keep(chosen.join(new, ["u", "v"], "left_anti").select("u", "v"))      # read in every later round
         tried = apart if tried is None else tried.union(apart)
         if found < GAIN * held or not held:
             break

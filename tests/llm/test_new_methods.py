@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabprep.llm import language_id, queries, spelling
+from tabprep.llm import jaccard
 from tabprep.llm.jaccard import jaccard_classes
 from tabprep.llm.language_id import Features, Leader, identify
 from tabprep.llm.spelling import neighbourhood, variant_groups
@@ -264,3 +265,13 @@ def test_languages_of_odd_rows(spark):
     assert {(r.lang_pred, r.score) for r in unlabelled} == {("und", 0.0)}
     one = identify(df.withColumn("lang", F.lit("xx"))).filter("doc_id = 0").first()
     assert one.lang_pred == "xx" and math.isclose(one.score, 1.0)
+
+
+def test_a_pair_meets_at_one_of_its_keys(spark):
+    """Two nodes with 1,000 shared keys made 1,000 rows; without a common key among their least they still make one each."""
+    keys = [(at, node, node) for node in (1, 2) for at in range(1000)]
+    keys += [(at, 3, 3) for at in range(2000, 2040)] + [(at, 4, 4) for at in range(1980, 2004)] + [(at, 5, 5) for at in range(1980, 2000)]
+    now = spark.createDataFrame(keys, "at bigint, node bigint, root bigint")
+    signs = spark.createDataFrame([(node, 1000, [0] * jaccard.SIGNATURE, []) for node in range(1, 6)], "node bigint, n bigint, bits array<bigint>, more array<bigint>")
+    rows = sorted(tuple(r) for r in jaccard._meetings(now, signs, 80).groupBy("u", "v").count().collect())
+    assert rows == [(2, 1, 1), (4, 3, 4), (5, 4, 1)]
