@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import Scratch, name
+from tabprep.llm.common import BROADCAST_BYTES, Scratch, name
 from tabprep.llm.components import components
 
 FRAGMENTS = 8                            # in which overlaps are counted
@@ -18,8 +18,8 @@ SIGNATURE = 16                           # longs of bits that can rule a pair ou
 KEY_BITS = 40                            # of a key: equal keys are candidates only, and fewer bytes move
 FIRST = 16                               # least open keys of a node that decide where a pair is met
 GAIN = 0.5                               # share of a round's pairs that must link for another round
-BROADCAST_KEYS = 4_000_000               # shared keys, 8 bytes each, that may be broadcast
-BROADCAST_PAIRS = 1_000_000              # two 8-byte nodes each
+DOCUMENT_BYTES = 160                     # of a document key as a broadcast holds it, with its slots; it may be a struct of two hashes and an id
+PAIR_BYTES = 160                         # of a pair and its hub, held likewise
 CACHE_WORDS = 1_000_000                  # per Python worker; a full cache is emptied
 M1, M2, M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 
@@ -175,7 +175,7 @@ def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
     The tokens of ``v`` travel to those of ``u`` once; the pairs come to both without moving tokens if they are few.
     """
-    few = pairs.count() <= BROADCAST_PAIRS
+    few = pairs.count() * PAIR_BYTES <= BROADCAST_BYTES
     ends = F.broadcast(pairs.select("u", "v")) if few else pairs.select("u", "v")
     hubs = pairs.select(F.col("u").alias("node")).distinct()
     moved = parts.join(ends, F.col("node") == F.col("v")).select("u", "v", "fragment", F.col("tokens").alias("b"))
@@ -261,7 +261,7 @@ def _open_pairs(now: DataFrame, signs: DataFrame, percent: int, tried: DataFrame
 
 def _only(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """The documents with a wanted key, the null key included."""
-    few = wanted.count() <= BROADCAST_KEYS
+    few = wanted.count() * DOCUMENT_BYTES <= BROADCAST_BYTES
     return docs.join(F.broadcast(wanted) if few else wanted, name(key).eqNullSafe(F.col("__first")), "left_semi")
 
 
@@ -306,11 +306,9 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     light, _ = scratch.keep(full.select("key", "node", "n"))
     nodes = light.filter("n > 0").groupBy("node").agg(F.min("key").alias("first"), F.first("n").alias("n"))
     listed = _only(full, "key", nodes.select(F.col("first").alias("__first"))).filter("n > 0").select("node", F.explode("list").alias("at"))
-    shared, shared_at = scratch.keep(listed.groupBy("at").agg(F.count("*").alias("__n")).filter("__n > 1").select(F.col("at").alias("__at")))
-    small = shared.count() <= BROADCAST_KEYS
-    plain, plain_at = scratch.keep(
-        listed.join(F.broadcast(shared) if small else shared, F.col("at") == F.col("__at")).select("at", "node").distinct())
-    scratch.drop(full_at, shared_at)
+    held = F.count("*").over(Window.partitionBy("at"))       # one shuffle on the key at any size, and no table of the shared keys
+    plain, plain_at = scratch.keep(listed.select("at", "node", held.alias("held")).filter("held > 1").select("at", "node").distinct())
+    scratch.drop(full_at)
     weight = plain.groupBy("node").agg(F.count("*").alias("w")).join(nodes, "node")
     weight, _ = scratch.keep(weight.select("node", "w", "n", "first"))
     members, members_at = scratch.keep(plain.join(weight.select("node", "w", "n"), "node"))

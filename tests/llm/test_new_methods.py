@@ -275,3 +275,26 @@ def test_a_pair_meets_at_one_of_its_keys(spark):
     signs = spark.createDataFrame([(node, 1000, [0] * jaccard.SIGNATURE, []) for node in range(1, 6)], "node bigint, n bigint, bits array<bigint>, more array<bigint>")
     rows = sorted(tuple(r) for r in jaccard._meetings(now, signs, 80).groupBy("u", "v").count().collect())
     assert rows == [(2, 1, 1), (4, 3, 4), (5, 4, 1)]
+
+
+def test_broadcasts_are_bounded_by_what_they_hold(spark):
+    """A million keys take tens of MB on the driver, so they are shuffled; a few are broadcast."""
+    docs = spark.range(10).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    for n, few in ((1_000, True), (1_000_000, False)):
+        plan = jaccard._only(docs, "doc_id", spark.range(n).select(F.col("id").alias("__first")))
+        assert ("ResolvedHint (strategy=broadcast)" in plan._jdf.queryExecution().analyzed().toString()) == few
+        pairs = spark.range(n).select(F.col("id").alias("u"), (F.col("id") + n).alias("v"))
+        parts = spark.range(10).selectExpr("id as node", "0 as fragment", "array(id) as tokens")
+        plan = jaccard._overlaps(pairs, parts)
+        assert ("ResolvedHint (strategy=broadcast)" in plan._jdf.queryExecution().analyzed().toString()) == few
+
+
+def test_classes_with_and_without_broadcasts(spark, monkeypatch):
+    texts = [" ".join(f"w{n}x{i}" for i in range(80)) + tail for n in range(6) for tail in ("", " more", " and again")] + [None, ""]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(None, texts[0]), (3, texts[3]), (4, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    least = {text: i - i % 3 for i, text in enumerate(texts) if text}
+    want = sorted(str((i, least.get(text, i))) for i, text in rows)
+    for most in (jaccard.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(jaccard, "BROADCAST_BYTES", most)
+        assert sorted(str((r.doc_id, r.component_id)) for r in jaccard_classes(docs).collect()) == want
