@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,7 @@ GAIN = 0.5                               # share of a round's pairs that must li
 DOCUMENT_BYTES = 160                     # of a document key as a broadcast holds it, with its slots; it may be a struct of two hashes and an id
 PAIR_BYTES = 160                         # of a pair and its hub, held likewise
 CACHE_WORDS = 1_000_000                  # per Python worker; a full cache is emptied
+SEEN_SETS = 200_000                      # of which a task knows that their keys are listed; emptied likewise
 M1, M2, M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -116,11 +117,14 @@ def _lists(values: list[np.ndarray], kind=np.uint64) -> pa.Array:
 
 
 def _sets(docs: DataFrame, key: str, size: int, percent: int, what: str) -> DataFrame:
-    """Per document its set's hash and size, with the keys, or with the tokens by fragment and their signature."""
+    """Per document its set's hash and size, with the keys, or with the tokens by fragment and their signature.
+
+    A task lists the keys of equal sets once; the other documents with that set have an empty list.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Words()
+        cache, seen = _Words(), set()
         bounds, differ = size_classes(percent)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
@@ -129,7 +133,14 @@ def _sets(docs: DataFrame, key: str, size: int, percent: int, what: str) -> Data
                 hashes = [xxhash.xxh3_64_intdigest(tokens.tobytes()) if len(tokens) else 0 for tokens in sets]
                 columns = [part.column("key"), pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array([len(x) for x in sets], pa.int64())]
                 if what == "keys":
-                    columns.append(_lists([fragment_keys(tokens, bounds, differ) if len(tokens) else tokens for tokens in sets]))
+                    lists = []
+                    for tokens, h in zip(sets, hashes):
+                        fresh = len(tokens) > 0 and h not in seen
+                        if len(seen) >= SEEN_SETS:
+                            seen.clear()
+                        seen.add(h)
+                        lists.append(fragment_keys(tokens, bounds, differ) if fresh else np.empty(0, np.uint64))
+                    columns.append(_lists(lists))
                 else:
                     columns += [_lists(sets), _lists([signature(tokens) for tokens in sets], np.int64),
                                 _lists([long_signature(tokens, percent) for tokens in sets], np.int64)]
@@ -188,6 +199,8 @@ def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs that reach the similarity."""
+    if pairs.count() * PAIR_BYTES > BROADCAST_BYTES:
+        parts = _sieved(parts, "node", pairs.select("u").union(pairs.select("v")))
     counted = _overlaps(pairs, parts).withColumnsRenamed({"u": "__u", "v": "__v"})
     return counted.join(pairs, (F.col("u") == F.col("__u")) & (F.col("v") == F.col("__v"))).filter(
         F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent).select("u", "v")
@@ -198,11 +211,11 @@ def _near_sizes(n: str, m: str, percent: int):
 
 
 def _headed(now: DataFrame) -> DataFrame:
-    """The keys of more than one component, with their heads: the nodes with the most shared keys."""
-    heads = now.groupBy("at").agg(
-        F.max(F.struct("w", "node", "root", "n")).alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi")
-    ).filter("lo < hi").select(F.col("at").alias("__at"), "hub")
-    return now.join(heads, F.col("at") == F.col("__at")).drop("__at")
+    """The keys of more than one component, with their heads: the nodes with the most shared keys. One shuffle on the key."""
+    whole = Window.partitionBy("at")
+    return now.withColumns({
+        "hub": F.max(F.struct("w", "node", "root", "n")).over(whole), "lo": F.min("root").over(whole), "hi": F.max("root").over(whole)
+    }).filter("lo < hi").drop("lo", "hi")
 
 
 def _hub_pairs(met: DataFrame, percent: int) -> DataFrame:
@@ -215,20 +228,26 @@ def _hub_pairs(met: DataFrame, percent: int) -> DataFrame:
     return best.select("best.u", "v", "best.both")
 
 
-def _meetings(now: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+def _contested(now: DataFrame) -> DataFrame:
+    """The keys of more than one component, with that which holds most of each. One shuffle on the key."""
+    whole = Window.partitionBy("at")
+    open_ = now.select("at", "node", "root", F.min("root").over(whole).alias("lo"), F.max("root").over(whole).alias("hi")).filter("lo < hi")
+    held = open_.withColumn("k", F.count("*").over(Window.partitionBy("at", "root")))
+    return held.select("at", "node", "root", F.max(F.struct("k", "root")).over(whole)["root"].alias("major"))
+
+
+def _meetings(now: DataFrame, signs: DataFrame, percent: int, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Where nodes of different components meet whose signatures allow a link.
 
     A pair that is apart shares open keys only, so its shared keys are counted in full. In a key the nodes of the component that
     holds most of it are met by the others, not by each other. The signatures are compared where the nodes meet, so a
     key with many unlike nodes makes no rows. If the ``FIRST`` least open keys of two nodes have one in common, the pair
     makes a row at the least of those only, not at each of its thousands of shared keys; if both lists are whole, they
-    show how many keys are shared, and if not, the pair is taken without a count.
+    show how many keys are shared, and if not, the pair is taken without a count. ``keep`` may write the open keys,
+    which are read three times.
     """
     bounds, differ = size_classes(percent)
-    held = now.groupBy("at", "root").agg(F.count("*").alias("k"))
-    major = held.groupBy("at").agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("roots")).filter("roots > 1")
-    major = major.select(F.col("at").alias("__at"), F.col("top.root").alias("major"))
-    open_ = now.join(major, F.col("at") == F.col("__at")).select("at", "node", "root", "major")
+    open_ = keep(_contested(now))
     some = open_.filter("root <> major").select(F.col("at").alias("__at"), F.col("node").alias("u"), F.col("root").alias("__root"))
     firsts = open_.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("at")), 1, FIRST).alias("firsts"))
     signed = signs.join(firsts, "node")
@@ -249,9 +268,9 @@ def _meetings(now: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
         least.alias("least"), F.arrays_overlap("xfirsts", "yfirsts").alias("once"))
 
 
-def _open_pairs(now: DataFrame, signs: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
+def _open_pairs(now: DataFrame, signs: DataFrame, percent: int, tried: DataFrame | None, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """All pairs of different components that share enough keys for a link, and whose signatures allow it."""
-    counted = _meetings(now, signs, percent).groupBy("u", "v").agg(
+    counted = _meetings(now, signs, percent, keep).groupBy("u", "v").agg(
         F.count("*").alias("c"), F.max("both").alias("both"), F.max("least").alias("least"), F.max("once").alias("once")).filter("once or c >= least")
     if tried is not None:
         both = tried.union(tried.select("v", "u")).distinct()
@@ -265,6 +284,20 @@ def _only(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(wanted) if few else wanted, name(key).eqNullSafe(F.col("__first")), "left_semi")
 
 
+def _sieved(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose key may be among the wanted ones, null included; no wanted one is missed.
+
+    Hashes of the wanted keys are marked in a bit map of a fixed size, which is broadcast: what surely is not wanted
+    stays where it is, and only the rest moves in the exact join that follows.
+    """
+    slots = max(1, BROADCAST_BYTES // 64)                                       # a row of 64 bits takes 64 bytes at most
+    marks = wanted.toDF("__key").select(F.pmod(F.xxhash64("__key"), F.lit(64 * slots)).alias("__mark"))
+    marks = marks.groupBy(F.expr("__mark div 64").alias("__slot")).agg(F.expr("bit_or(shiftleft(1L, cast(__mark % 64 as int)))").alias("__bits"))
+    marked = rows.withColumn("__mark", F.pmod(F.xxhash64(name(column)), F.lit(64 * slots)))
+    met = marked.join(F.broadcast(marks), F.expr("__mark div 64") == F.col("__slot"))
+    return met.filter(F.expr("getbit(__bits, cast(__mark % 64 as int)) = 1")).drop("__mark", "__slot", "__bits")
+
+
 def _hooked(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Roots after some links: the lower root of each takes the highest it is linked with, and that one's, if it moves too.
 
@@ -305,15 +338,16 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     full, full_at = scratch.keep(_sets(docs, key, size, percent, "keys"))
     light, _ = scratch.keep(full.select("key", "node", "n"))
     nodes = light.filter("n > 0").groupBy("node").agg(F.min("key").alias("first"), F.first("n").alias("n"))
-    listed = _only(full, "key", nodes.select(F.col("first").alias("__first"))).filter("n > 0").select("node", F.explode("list").alias("at"))
-    held = F.count("*").over(Window.partitionBy("at"))       # one shuffle on the key at any size, and no table of the shared keys
-    plain, plain_at = scratch.keep(listed.select("at", "node", held.alias("held")).filter("held > 1").select("at", "node").distinct())
+    listed = full.select("node", F.explode("list").alias("at"))             # copies once per task: no list moves to find the others
+    whole = Window.partitionBy("at")                         # one shuffle on the key at any size, and no table of the shared keys
+    held = listed.select("at", "node", F.min("node").over(whole).alias("lo"), F.max("node").over(whole).alias("hi")).filter("lo < hi")
+    members, members_at = scratch.keep(held.select("at", "node").distinct())
     scratch.drop(full_at)
-    weight = plain.groupBy("node").agg(F.count("*").alias("w")).join(nodes, "node")
+    weight = members.groupBy("node").agg(F.count("*").alias("w")).join(nodes, "node")
     weight, _ = scratch.keep(weight.select("node", "w", "n", "first"))
-    members, members_at = scratch.keep(plain.join(weight.select("node", "w", "n"), "node"))
-    scratch.drop(plain_at)
-    texts = _only(docs, key, weight.select(F.col("first").alias("__first")))
+    wanted = weight.select(F.col("first").alias("__first"))
+    texts = docs if weight.count() * DOCUMENT_BYTES <= BROADCAST_BYTES else _sieved(docs, key, wanted)
+    texts = _only(texts, key, wanted)
     parts, parts_at = scratch.keep(
         _sets(texts, key, size, percent, "tokens")
         .select("node", "n", "bits", "more", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "list")
@@ -321,16 +355,16 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
                 F.filter("list", lambda t: F.pmod(F.shiftrightunsigned(t, 61), F.lit(FRAGMENTS)) == F.col("fragment")).alias("tokens")))
     signs = parts.filter("fragment = 0").select("node", "n", "bits", "more").dropDuplicates(["node"])
 
-    roots, links, tried = weight.select("node", F.col("node").alias("root")), None, None
+    sizes, roots, links, tried = weight.select("node", "w", "n"), weight.select("node", F.col("node").alias("root")), None, None
     while True:
         if tried is None:
-            now = members.withColumns({"root": F.col("node"), "tried": F.lit(None).cast("array<bigint>")})
+            held = sizes.withColumns({"root": F.col("node"), "tried": F.lit(None).cast("array<bigint>")})
         else:
             before = tried.groupBy("v").agg(F.collect_set("u").alias("tried"))
-            now = members.join(roots.join(before, F.col("node") == F.col("v"), "left").select("node", "root", "tried"), "node")
-        met, met_at = scratch.keep(_headed(now))                               # keys inside a component stay inside
+            held = sizes.join(roots, "node").join(before, F.col("node") == F.col("v"), "left").drop("v")
+        met, met_at = scratch.keep(_headed(members.join(held, "node")))        # keys inside a component stay inside
         scratch.drop(members_at)
-        members, members_at = met.select("at", "node", "w", "n"), met_at
+        members, members_at = met.select("at", "node"), met_at
         chosen, _ = scratch.keep(_hub_pairs(met, percent))
         pairs, _ = scratch.keep(_possible(chosen, signs, percent))
         new, _ = scratch.keep(_linked(pairs, parts, percent))
@@ -343,7 +377,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
         if found < GAIN * held or not held:
             break
     roots = _merged(scratch, weight, links)
-    pairs, _ = scratch.keep(_open_pairs(members.join(roots, "node"), signs, percent, tried))
+    pairs, _ = scratch.keep(_open_pairs(members.join(roots, "node"), signs, percent, tried, lambda df: scratch.keep(df)[0]))
     new, _ = scratch.keep(_linked(pairs, parts, percent))
     if not new.isEmpty():
         roots = _merged(scratch, weight, new if links is None else links.union(new))
