@@ -298,3 +298,54 @@ def test_classes_with_and_without_broadcasts(spark, monkeypatch):
     for most in (jaccard.BROADCAST_BYTES, 0):
         monkeypatch.setattr(jaccard, "BROADCAST_BYTES", most)
         assert sorted(str((r.doc_id, r.component_id)) for r in jaccard_classes(docs).collect()) == want
+
+
+def test_key_lists_of_copies_are_left_out_where_they_arise(spark):
+    """Each had one, and from 209,715 sets on all lists were shuffled to find the others."""
+    texts = [" ".join(f"w{n}x{i}" for i in range(60)) for n in range(3)]
+    docs = spark.createDataFrame([(i, texts[i % 3]) for i in range(12)] + [(12, None), (13, "")], "doc_id bigint, text string").coalesce(1)
+    rows = jaccard._sets(docs, "doc_id", 4, 85, "keys").collect()
+    assert len(rows) == 14 and sorted(len(r.list) > 0 for r in rows) == [False] * 11 + [True] * 3
+    apart = jaccard._sets(docs.repartition(4), "doc_id", 4, 85, "keys").collect()
+    assert {r.node for r in apart if r.list} == {r.node for r in rows if r.n}           # a full task list hides no set
+
+
+def test_only_texts_are_filtered_by_document(spark, monkeypatch):
+    """The lists of keys were, too; the classes are those of brute force, with full memories of sets."""
+    seen, only = [], jaccard._only
+    monkeypatch.setattr(jaccard, "_only", lambda docs, *rest: (seen.append(docs.columns), only(docs, *rest))[1])
+    monkeypatch.setattr(jaccard, "SEEN_SETS", 1)
+    monkeypatch.setattr(jaccard, "BROADCAST_BYTES", 64 * 64)
+    base = [f"w{i}" for i in range(80)]
+    texts = [" ".join(base[:80 - i % 7]) for i in range(21)] + [" ".join(f"v{n}x{i}" for i in range(40 + n % 2)) for n in (1, 2, 3)]
+    got = jaccard_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), size=4, percent=85)
+    assert [r.component_id for r in got.orderBy("doc_id").collect()] == brute_components(texts, 4, 85)
+    assert seen == [["doc_id", "text"]]
+
+
+def test_open_keys_and_heads_against_a_count(spark):
+    rng = np.random.default_rng(3)
+    rows = {(int(at), int(node)) for at, node in zip(rng.integers(0, 60, 200), rng.integers(0, 30, 200))}
+    root = [int(x) for x in rng.integers(0, 4, 30)]
+    now = spark.createDataFrame([(at, node, root[node], node % 5, 100 + node) for at, node in rows], "at bigint, node bigint, root bigint, w bigint, n bigint")
+    held, by = collections.defaultdict(collections.Counter), collections.defaultdict(list)
+    for at, node in rows:
+        held[at][root[node]] += 1
+        by[at].append((node % 5, node, root[node], 100 + node))
+    want = sorted((at, node, root[node], max(held[at], key=lambda r: (held[at][r], r))) for at, node in rows if len(held[at]) > 1)
+    assert sorted(tuple(r) for r in jaccard._contested(now).collect()) == want
+    headed = jaccard._headed(now)
+    assert sorted((r.at, r.node, tuple(r.hub)) for r in headed.collect()) == sorted((at, node, max(by[at])) for at, node, *_ in want)
+    for plan in (headed, jaccard._contested(now)):
+        assert plan._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+
+
+def test_a_sieve_misses_no_wanted_row(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BROADCAST_BYTES", 64 * 1024)                          # 65,536 bits
+    kind = "struct<missing: boolean, id: bigint>"
+    docs = spark.range(20_000).select(F.when(F.col("id") > 0, F.struct(F.lit(False).alias("missing"), "id")).cast(kind).alias("a.key"))
+    wanted = docs.limit(1).union(docs.filter("`a.key`.id % 40 = 0"))
+    ids = {r[0] if r[0] is None else r[0].id for r in jaccard._sieved(docs, "a.key", wanted).collect()}
+    assert {None} | set(range(40, 20_000, 40)) <= ids | {None} and len(ids) < 1500
+    assert jaccard._sieved(docs, "a.key", docs.filter("`a.key` is null")).filter("`a.key` is null").count() == 1
+    assert jaccard._sieved(docs, "a.key", wanted.limit(0)).count() == 0
