@@ -21,9 +21,9 @@ BLOCKS = 4096                            # wanted of a large table
 PART_BYTES = 32 << 20                    # of text in a partition of blocks
 RANGE_BYTES = 64 << 20                   # of text whose anchors are counted by one task
 MERGE_KEYS = 500_000                     # keys of a range merged at once, about
-BUCKET_ROWS = 300_000                    # contexts dealt to one task
+BUCKET_ROWS = 200_000                    # contexts dealt to one task
 SOLVE_ROWS = 64_000                      # distinct contexts solved at once, more if they have equal leading bytes
-SAMPLES = 100_000                        # leading bytes sent to the driver, about
+SAMPLES = 1_000_000                      # anchors whose leading bytes are kept, about; those shared are sent to the driver
 BROADCAST_ROWS = 500_000                 # groups of equal texts, four numbers each
 LAST = (1 << 63) - 1                     # the id of a document without one
 
@@ -395,28 +395,32 @@ def _cut(ranges: int, splitters: np.ndarray):
     return make
 
 
-def _splitters(grams: list[tuple[bytes, int]], buckets: int) -> np.ndarray:
+def _splitters(sample: pa.Table, buckets: int) -> np.ndarray:
     """Leading bytes that deal the sampled ones, by their number of rows, into buckets of equal size."""
-    grams = sorted(grams)
-    if not grams or buckets < 2:
+    if not sample.num_rows or buckets < 2:
         return np.empty(0, f"S{GRAM}")
-    upto = np.cumsum([n for _, n in grams])
+    sample = sample.sort_by("gram")
+    upto = np.cumsum(sample.column("hits").to_numpy())
     at = np.searchsorted(upto, upto[-1] * np.arange(1, buckets) / buckets)
-    return np.unique(np.array([grams[k][0] for k in at], f"S{GRAM}"))
+    return np.unique(np.array(sample.column("gram").take(pa.array(at)).to_pylist(), f"S{GRAM}"))
 
 
 def _partitioned(df: DataFrame, parts: int, column: str) -> DataFrame:
     """Shuffle a table once and write it, so that later joins by the column leave it where it is.
 
-    Spark keeps the partitioning of a checkpoint only if the plan that made it was not adaptive.
+    Spark keeps the partitioning of a checkpoint only if the plan that made it was not adaptive. Whole texts go to
+    Python in small batches.
     """
-    conf, label = df.sparkSession.conf, "spark.sql.adaptive.enabled"
-    before = conf.get(label)
-    conf.set(label, "false")
+    conf = df.sparkSession.conf
+    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
+    before = {label: conf.get(label) for label in own}
     try:
+        for label, value in own.items():
+            conf.set(label, value)
         return checkpointed(df.repartition(parts, column))
     finally:
-        conf.set(label, before)
+        for label, value in before.items():
+            conf.set(label, value)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", length: int = 50) -> DataFrame:
@@ -473,8 +477,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", length: int = 50) -> Da
         _by_part("range", _shared(sampled)), "block bigint, range int, bits binary, hits bigint, gram binary"))
     hits = shared.agg(F.sum(F.when(F.col("block").isNotNull(), F.col("hits")))).first()[0] or 0
     buckets = max(cores, -(-hits // BUCKET_ROWS))
-    grams = shared.filter("gram is not null").select("gram", "hits").collect()
-    splitters = _splitters([(bytes(g), n) for g, n in grams], buckets)
+    splitters = _splitters(shared.filter("gram is not null").select("gram", "hits").toArrow(), buckets)
     texts = replied(texts, shared.filter("block is not null").select("block", "range", "bits"), "shared", "range", "bits")
     contexts = texts.mapInArrow(_opened(length, _contexts(ranges, splitters)), "block bigint, bucket int, contexts binary")
     solved = checkpointed(contexts.repartitionById(buckets, "bucket").mapInArrow(
