@@ -23,7 +23,7 @@ RANGE_BYTES = 64 << 20                   # of text whose anchors are counted by
 MERGE_KEYS = 500_000                     # keys of a range merged at once, about
 BUCKET_ROWS = 200_000                    # contexts dealt to one task
 SOLVE_ROWS = 64_000                      # distinct contexts solved at once, more if they have equal leading bytes
-SAMPLES = 1_000_000                      # anchors whose leading bytes are kept, about; those shared are sent to the driver
+SAMPLES = 1_000_000                      # anchors whose leading bytes are kept, about, one in 16 at most; those shared are sent to the driver
 BROADCAST_ROWS = 500_000                 # groups of equal texts, four numbers each
 LAST = (1 << 63) - 1                     # the id of a document without one
 
@@ -451,7 +451,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", length: int = 50) -> Da
     cores = docs.sparkSession.sparkContext.defaultParallelism
     limit = min(max(total // BLOCKS, BLOCK_BYTES[0]), BLOCK_BYTES[1])
     parts, ranges = (max(cores, -(-total // size)) for size in (PART_BYTES, RANGE_BYTES))
-    sampled = max(1, total // 16 // SAMPLES)
+    sampled = max(16, total // 16 // SAMPLES)
     blocks = _partitioned(
         rows.select("id", "mark", F.crc32("data").alias("check"), "data").sortWithinPartitions("mark", "id").mapInArrow(
             _blocks(limit), "block bigint, ids array<bigint>, marks array<bigint>, checks array<bigint>, sizes array<bigint>, text binary"),
